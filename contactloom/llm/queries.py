@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from contactloom.llm import secret_scan
+from contactloom.llm import quality_rules, secret_scan
 
 QUERIES: dict = {
     "op1_secret_scans": secret_scan.query,
+    "op5_quality_rules": quality_rules.query,
 }
 ORACLE: dict = {}
