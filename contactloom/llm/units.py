@@ -12,8 +12,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Units kept between chunks by a worker; the store is emptied when it is full.
-STORE = 400_000
+#: Units, and characters of units, kept between chunks by a worker; the store is emptied when it is full.
+STORE, STORE_CHARS = 400_000, 20_000_000
 
 
 class UnitEncoder:
@@ -25,6 +25,7 @@ class UnitEncoder:
 
     def _start(self) -> None:
         self.known: dict[str, int] = {}
+        self.chars = 0
         self.first = [0]
         self.flat: list[np.ndarray] = []
 
@@ -33,6 +34,7 @@ class UnitEncoder:
         at = [get(u, -1) for u in units]
         new = [u for u, i in zip(units, at, strict=True) if i < 0]
         if new:
+            self.chars += sum(map(len, new))
             for u, ids in zip(new, self.encode(new), strict=True):
                 self.known[u] = len(self.first) - 1
                 self.first.append(self.first[-1] + len(ids))
@@ -42,7 +44,7 @@ class UnitEncoder:
 
     def __call__(self, texts: Sequence[str]) -> Iterator[np.ndarray]:
         """ids of each text, in order."""
-        if len(self.known) > STORE:
+        if len(self.known) > STORE or self.chars > STORE_CHARS:
             self._start()
         units = self.cut(pa.array(texts, pa.large_string()))
         ends = units.offsets.to_numpy()
