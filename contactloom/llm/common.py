@@ -218,3 +218,71 @@ def words_of(batch: Batch, lower: bool = False) -> tuple[np.ndarray, np.ndarray,
     h = mix(roll.of(start, end) + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
     first = np.searchsorted(start, np.concatenate([batch.starts, [n]]))
     return start, end, h, first
+
+
+def buckets_for(spark: SparkSession, batches: DataFrame) -> int:
+    """Hash buckets for rounds over these batches: a bucket gets about what a few batches hold."""
+    return int(min(1 << 16, max(2 * parallelism(spark), batches.count() // 4, 1)))
+
+
+def group_min(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct keys sorted, place of each key among them, least and greatest value of each)."""
+    if not len(keys):
+        return keys, np.zeros(0, np.int64), values, values
+    order = np.argsort(keys, kind="stable")
+    s = keys[order]
+    new = np.concatenate([[True], s[1:] != s[:-1]])
+    first = np.flatnonzero(new)
+    inverse = np.empty(len(keys), np.int64)
+    inverse[order] = np.cumsum(new) - 1
+    v = values[order]
+    return s[first], inverse, np.minimum.reduceat(v, first), np.maximum.reduceat(v, first)
+
+
+def deal(keys: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(order, bounds): keys[order[bounds[b]:bounds[b + 1]]] are those of bucket b, in the order of keys."""
+    bucket = (keys % np.uint64(n)).astype(np.uint16 if n <= 1 << 16 else np.int64)
+    order = np.argsort(bucket, kind="stable")
+    return order, np.searchsorted(bucket[order], np.arange(n + 1))
+
+
+def requests(batch: int, keys: np.ndarray, n: int, **values: np.ndarray) -> pd.DataFrame:
+    """One row a bucket that has keys: (bucket, batch, blob)."""
+    order, bounds = deal(keys, n)
+    rows = []
+    for b in np.flatnonzero(bounds[1:] > bounds[:-1]).tolist():
+        part = order[bounds[b] : bounds[b + 1]]
+        rows.append((b, batch, pack(key=keys[part], **{k: v[part] for k, v in values.items()})))
+    return pd.DataFrame(rows, columns=["bucket", "batch", "blob"])
+
+
+def answers(keys: np.ndarray, n: int, rows: pd.DataFrame, name: str, dtype) -> np.ndarray:
+    """What the buckets answered for these keys, in their order. rows: (bucket, blob)."""
+    order, bounds = deal(keys, n)
+    out = np.zeros(len(keys), dtype)
+    for b, blob in zip(rows["bucket"].tolist(), rows["blob"], strict=True):
+        part = order[bounds[b] : bounds[b + 1]]
+        got = unpack(blob)[name]
+        if dtype == np.bool_:
+            got = np.unpackbits(got)[: len(part)].astype(np.bool_)
+        out[part] = got
+    return out
+
+
+REQUEST = "bucket int, batch long, blob binary"
+
+
+def answer_min(asked: DataFrame) -> DataFrame:
+    """(bucket, batch, blob) with `least`: for each key asked for, the least value over all batches."""
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        parts = [unpack(b) for b in frame["blob"]]
+        _, place, least, _ = group_min(np.concatenate([p["key"] for p in parts]), np.concatenate([p["value"] for p in parts]))
+        got, at, rows = least[place], 0, []
+        for p, batch in zip(parts, frame["batch"].tolist(), strict=True):
+            n = len(p["key"])
+            rows.append((int(frame["bucket"].iloc[0]), batch, pack(least=got[at : at + n])))
+            at += n
+        return pd.DataFrame(rows, columns=["bucket", "batch", "blob"])
+
+    return asked.groupBy("bucket").applyInPandas(run, REQUEST)

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from contactloom.llm import chat_format, fingerprint, packing, pieces, quality_rules, secret_scan, url_filter
+from contactloom.llm import chat_format, fingerprint, packing, pieces, quality_rules, secret_scan, suffix_dedup, url_filter
 
 QUERIES: dict = {
     "op1_secret_scans": secret_scan.query,
     "op2_best_fit_packing": packing.query,
     "op3_url_filters": url_filter.query,
     "op5_quality_rules": quality_rules.query,
+    "op6_suffix_dedup": suffix_dedup.query,
     "op7_chat_formatting": chat_format.query,
     "op8_piece_encoding": pieces.query,
     "op9_fingerprints": fingerprint.query,
