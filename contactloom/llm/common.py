@@ -86,7 +86,7 @@ def _batches(frames: Iterator[pd.DataFrame], limit: int) -> Iterator[pd.DataFram
             ends=np.cumsum([len(t) for t in texts], dtype=np.int64),
             text=b"".join(texts),
         )
-        out = pd.DataFrame({"batch": [part * (1 << 32) + k], "blob": [blob]})
+        out = pd.DataFrame({"batch": [(part << 20) + k], "blob": [blob]})
         k, size = k + 1, 0
         ids.clear(), null.clear(), texts.clear()
         return out
@@ -108,7 +108,8 @@ def _batches(frames: Iterator[pd.DataFrame], limit: int) -> Iterator[pd.DataFram
 def batch_documents(spark: SparkSession, docs: DataFrame, limit: int = BATCH_BYTES) -> DataFrame:
     """Written table (batch long, blob binary) of all rows of docs(doc_id, text); a null text is empty.
 
-    A batch number and a place in the batch name a row, also where doc_id is null or repeated.
+    A batch number and a place in the batch name a row, also where doc_id is null or repeated. A place is under
+    2**16, since each document counts for 64 bytes at least.
     """
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     # nullable ids reach pandas as objects, so that large ones keep all digits

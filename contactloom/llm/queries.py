@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from contactloom.llm import chat_format, fingerprint, packing, pieces, quality_rules, secret_scan, suffix_dedup, url_filter
+from contactloom.llm import chat_format, fingerprint, ngram_join, packing, pieces, quality_rules, secret_scan, suffix_dedup, url_filter
 
 QUERIES: dict = {
     "op1_secret_scans": secret_scan.query,
     "op2_best_fit_packing": packing.query,
     "op3_url_filters": url_filter.query,
+    "op4_ngram_jaccard_join": ngram_join.query,
     "op5_quality_rules": quality_rules.query,
     "op6_suffix_dedup": suffix_dedup.query,
     "op7_chat_formatting": chat_format.query,
