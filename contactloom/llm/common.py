@@ -45,7 +45,7 @@ def parallelism(spark: SparkSession) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
 
 
-def pack(**arrays: np.ndarray | bytes) -> bytes:
+def pack(_level: int = 1, **arrays: np.ndarray | bytes) -> bytes:
     """Arrays as one compressed value."""
     head, body = [], []
     for k, v in arrays.items():
@@ -53,7 +53,7 @@ def pack(**arrays: np.ndarray | bytes) -> bytes:
         raw = v if isinstance(v, bytes) else np.ascontiguousarray(v).tobytes()
         head.append(f"{k},{kind},{len(raw)}")
         body.append(raw)
-    return zstandard.ZstdCompressor(level=1).compress(";".join(head).encode() + b"\n" + b"".join(body))
+    return zstandard.ZstdCompressor(level=_level).compress(";".join(head).encode() + b"\n" + b"".join(body))
 
 
 def unpack(blob: bytes) -> dict[str, np.ndarray | bytes]:
@@ -81,6 +81,7 @@ def _batches(frames: Iterator[pd.DataFrame], limit: int) -> Iterator[pd.DataFram
     def close() -> pd.DataFrame:
         nonlocal k, size
         blob = pack(
+            5,
             ids=np.array(ids, np.int64),
             null=np.array(null, np.bool_),
             ends=np.cumsum([len(t) for t in texts], dtype=np.int64),
@@ -273,17 +274,18 @@ def answers(keys: np.ndarray, n: int, rows: pd.DataFrame, name: str, dtype) -> n
 REQUEST = "bucket int, batch long, blob binary"
 
 
+def least_of(frame: pd.DataFrame) -> pd.DataFrame:
+    """The answers of one bucket: for each key asked for, the least value over all batches."""
+    parts = [unpack(b) for b in frame["blob"]]
+    _, place, least, _ = group_min(np.concatenate([p["key"] for p in parts]), np.concatenate([p["value"] for p in parts]))
+    got, at, rows = least[place], 0, []
+    for p, batch in zip(parts, frame["batch"].tolist(), strict=True):
+        n = len(p["key"])
+        rows.append((int(frame["bucket"].iloc[0]), batch, pack(least=got[at : at + n])))
+        at += n
+    return pd.DataFrame(rows, columns=["bucket", "batch", "blob"])
+
+
 def answer_min(asked: DataFrame) -> DataFrame:
-    """(bucket, batch, blob) with `least`: for each key asked for, the least value over all batches."""
-
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        parts = [unpack(b) for b in frame["blob"]]
-        _, place, least, _ = group_min(np.concatenate([p["key"] for p in parts]), np.concatenate([p["value"] for p in parts]))
-        got, at, rows = least[place], 0, []
-        for p, batch in zip(parts, frame["batch"].tolist(), strict=True):
-            n = len(p["key"])
-            rows.append((int(frame["bucket"].iloc[0]), batch, pack(least=got[at : at + n])))
-            at += n
-        return pd.DataFrame(rows, columns=["bucket", "batch", "blob"])
-
-    return asked.groupBy("bucket").applyInPandas(run, REQUEST)
+    """(bucket, batch, blob) with `least`."""
+    return asked.groupBy("bucket").applyInPandas(least_of, REQUEST)

@@ -7,9 +7,9 @@ each other by content-chosen anchors, and suffixes are sorted only where a passa
    equal anchors. All windows of one anchor are a stretch of bytes, its context. Batches send their distinct anchors
    (four bytes each); buckets answer which of them occur in more than one place.
 2. For shared anchors, batches send their distinct contexts with the least doc_id of each. Where an earlier document
-   has the whole context, all of its windows repeat.
-3. The first document of each context can still share single windows with other contexts of the anchor. These windows
-   are sorted by the blockwise suffix array (`suffix_array.buckets`) of their batch's stretches; runs of equal
+   has the whole context, all of its windows repeat. They also ask which anchors have several contexts.
+3. The first document of each context can still share single windows with other contexts of its anchor, if there are
+   any. These windows are sorted by the blockwise suffix array (`suffix_array.buckets`) of their batch's stretches; runs of equal
    windows go to buckets once a batch, with the least doc_id, and come back with the least one of all.
 
 Anchors are only a filter that never misses; contexts and windows are told apart by 64-bit hashes of their bytes. A
@@ -39,13 +39,14 @@ from contactloom.llm.common import (
     batch_documents,
     buckets_for,
     group_min,
+    least_of,
     mix,
     pack,
     requests,
     unpack,
 )
 
-LENGTH, K = 50, 26
+LENGTH, K = 50, 34
 LAST = np.iinfo(np.int64).max
 
 
@@ -165,6 +166,28 @@ def _answer_shared(asked: DataFrame) -> DataFrame:
     return asked.groupBy("bucket").applyInPandas(run, REQUEST)
 
 
+def _answer_contexts(asked: DataFrame, n: int) -> DataFrame:
+    """Buckets under n: the least doc_id of each context. The others: whether an anchor has several contexts."""
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        bucket = int(frame["bucket"].iloc[0])
+        if bucket < n:
+            return least_of(frame)
+        parts = [unpack(b) for b in frame["blob"]]
+        keys = np.concatenate([p["key"] for p in parts])
+        _, place, low, high = group_min(keys, np.concatenate([p["digest"] for p in parts]))
+        many = np.bincount(place, weights=np.concatenate([p["several"] for p in parts])) > 0
+        several = ((low < high) | many)[place]
+        rows, at = [], 0
+        for p, batch in zip(parts, frame["batch"].tolist(), strict=True):
+            size = len(p["key"])
+            rows.append((bucket, batch, pack(several=np.packbits(several[at : at + size]))))
+            at += size
+        return pd.DataFrame(rows, columns=["bucket", "batch", "blob"])
+
+    return asked.groupBy("bucket").applyInPandas(run, REQUEST)
+
+
 class _State:
     """What a batch knows after the rounds answered so far. rows: (round, bucket, blob)."""
 
@@ -176,11 +199,15 @@ class _State:
         shared = answers(keys, n, got.get(1, none), "shared", np.bool_)[place]
         self.chosen = np.flatnonzero(shared)
         self.contexts, self.place, self.least, _ = group_min(a.context[self.chosen], a.id[self.chosen])
+        self.anchors, anchor_place, self.low, self.high = group_min(a.key[self.chosen], a.context[self.chosen])
         if 2 in got or not len(self.contexts):
-            first = answers(self.contexts, n, got.get(2, none), "least", np.int64)[self.place]
+            two = got.get(2, none)
+            first = answers(self.contexts, n, two[two["bucket"] < n], "least", np.int64)[self.place]
+            other = two[two["bucket"] >= n].assign(bucket=lambda x: x["bucket"] - n)
+            several = answers(self.anchors, n, other, "several", np.bool_)[anchor_place]
             later = first < a.id[self.chosen]
             self.repeated = self.chosen[later]
-            self.own = self.chosen[~later]
+            self.own = self.chosen[~later & several]
             self.starts, which = a.windows(self.own)
             self.ids = a.id[self.own][which]
             self.keys, self.key_place, self.key_least, _ = group_min(window_keys(a, self.starts), self.ids)
@@ -230,18 +257,22 @@ def removals(spark: SparkSession, docs: DataFrame, each: Callable[[Batch, np.nda
 
     def ask_contexts(batch: int, blob: bytes, rows: pd.DataFrame) -> pd.DataFrame:
         s = _State(blob, rows, n, length, k)
-        return requests(batch, s.contexts, n, value=s.least)
+        short = (s.anchors // np.uint64(n)).astype(np.uint32)
+        other = requests(batch, s.anchors, n, short=short, digest=s.low, several=s.low < s.high)
+        other["bucket"] += n
+        other["blob"] = [_shortened(b) for b in other["blob"]]
+        return pd.concat([requests(batch, s.contexts, n, value=s.least), other], ignore_index=True)
 
     def ask_windows(batch: int, blob: bytes, rows: pd.DataFrame) -> pd.DataFrame:
         s = _State(blob, rows, n, length, k)
-        return requests(batch, s.keys, n, value=s.key_least) if len(s.contexts) else requests(batch, s.contexts, n, value=s.least)
+        return requests(batch, s.keys, n, value=s.key_least)
 
     def finish(batch: int, blob: bytes, rows: pd.DataFrame) -> pd.DataFrame:
         s = _State(blob, rows, n, length, k)
         return each(s.a.batch, s.removed() if len(s.contexts) else np.zeros(len(s.a.batch.text), np.bool_))
 
     shared = _answer_shared(batches.mapInPandas(_each(ask_anchors), REQUEST))
-    contexts = answer_min(_with_answers(batches, [shared], ask_contexts, REQUEST))
+    contexts = _answer_contexts(_with_answers(batches, [shared], ask_contexts, REQUEST), n)
     windows = answer_min(_with_answers(batches, [shared, contexts], ask_windows, REQUEST))
     return _with_answers(batches, [shared, contexts, windows], finish, schema)
 
@@ -249,7 +280,8 @@ def removals(spark: SparkSession, docs: DataFrame, each: Callable[[Batch, np.nda
 def _shortened(blob: bytes) -> bytes:
     """An anchor request with four bytes a key; two keys of a bucket that agree in them only cost later rounds work."""
     x = unpack(blob)
-    return pack(key=x["short"], several=x["several"])
+    x["key"] = x.pop("short")
+    return pack(**x)
 
 
 def digests(batch: Batch, removed: np.ndarray) -> pd.DataFrame:
