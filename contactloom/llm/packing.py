@@ -21,13 +21,17 @@ from __future__ import annotations
 import bisect
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from contactloom.llm.common import write_table
+from contactloom.llm.units import UnitEncoder, chunks
 
 CAPACITY, END_ID = 4096, 1
 TOKENIZER = "word_bpe_49k.json"
@@ -42,47 +46,37 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@lru_cache(maxsize=2)
 def word_encoder(path: str):
     """Encoder of whole texts by `tokenizers`. Its pre-tokenizer drops white space and never joins words across it."""
-    import pyarrow.compute as pc
     from tokenizers import Tokenizer
 
-    from contactloom.llm.units import UnitEncoder
-
     tokenizer = Tokenizer.from_file(path)
 
     def encode(units: list[str]) -> list[list[int]]:
         return [e.ids for e in tokenizer.encode_batch_fast(units, add_special_tokens=False)]
 
-    return UnitEncoder(lambda texts: pc.ascii_split_whitespace(texts), encode)
-
-
-def _chunks(frame: pd.DataFrame, limit: int = 4 << 20) -> Iterator[pd.DataFrame]:
-    """Parts of a frame with about `limit` characters each, to bound memory."""
-    part = (frame["text"].str.len().cumsum() // limit).to_numpy()
-    for _, rows in frame.groupby(part, sort=False):
-        yield rows
+    return UnitEncoder(pc.ascii_split_whitespace, encode)
 
 
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """Pieces (doc_id, piece, start, length, ids_crc32) of all rows of docs (doc_id, text)."""
+    kinds = {"doc_id": pa.int64(), "piece": pa.int32(), "start": pa.int64(), "length": pa.int64(), "ids_crc32": pa.int64()}
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = word_encoder(path)
-        for frame in frames:
-            for rows in _chunks(frame):
+        for batch in batches:
+            for rows in chunks(batch):
                 out: list[tuple] = []
-                for doc_id, ids in zip(rows["doc_id"].tolist(), encode(rows["text"].tolist()), strict=True):
+                for doc_id, ids in zip(rows.column("doc_id").to_pylist(), encode(rows.column("text")), strict=True):
                     ids = np.append(ids, end_id).astype("<u4")
                     for k, at in enumerate(range(0, len(ids), capacity)):
                         part = ids[at : at + capacity]
                         out.append((doc_id, k, at, len(part), zlib.crc32(part.tobytes())))
-                x = pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-                x["doc_id"] = pd.array([None if d is None or d != d else int(d) for d in x["doc_id"]], dtype="Int64")
-                yield x
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds.values(), strict=True)], list(kinds))
 
-    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return rows.mapInPandas(run, PIECES)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    return rows.mapInArrow(run, PIECES)
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> pd.DataFrame:

@@ -21,11 +21,12 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contactloom.llm.units import UnitEncoder
+from contactloom.llm.units import UnitEncoder, chunks
 
 SPACE = "\u2581"
 MODEL = "piece_bpe_32k.model"
@@ -137,8 +138,6 @@ class PieceEncoder:
     PLAIN = re.compile(f"^ |  |{SPACE}")
 
     def __init__(self, path: str):
-        import pyarrow.compute as pc
-
         self.model = load(path)
         walk = self.model.walk
         self.units = UnitEncoder(lambda t: pc.split_pattern(t, " "), lambda units: [walk(SPACE + u)[0] for u in units])
@@ -164,27 +163,31 @@ class PieceEncoder:
         return out
 
 
+@lru_cache(maxsize=2)
+def encoder(path: str) -> PieceEncoder:
+    return PieceEncoder(path)
+
+
 def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, n_ids, ids_crc32, n_byte_ids, decoded_sha256): ids, and the text decoded from them, as digests."""
-    from contactloom.llm.packing import _chunks
+    kinds = {"doc_id": pa.int64(), "n_ids": pa.int64(), "ids_crc32": pa.int64(), "n_byte_ids": pa.int64(), "decoded_sha256": pa.string()}
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = PieceEncoder(path)
-        model = encoder.model
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = encoder(path)
+        model = encode.model
         is_byte = np.zeros(model.size, np.bool_)
         is_byte[model.bytes] = True
-        for frame in frames:
-            for rows in _chunks(frame):
+        for batch in batches:
+            for rows in chunks(batch):
                 out = []
-                for ids in encoder(rows["text"].tolist()):
+                for doc_id, ids in zip(rows.column("doc_id").to_pylist(), encode(rows.column("text").to_pylist()), strict=True):
                     raw = ids.astype("<u4").tobytes()
-                    out.append((len(ids), zlib.crc32(raw), int(is_byte[ids].sum()), hashlib.sha256(model.decode(ids).encode()).hexdigest()))
-                x = pd.DataFrame(out, columns=["n_ids", "ids_crc32", "n_byte_ids", "decoded_sha256"])
-                x.insert(0, "doc_id", pd.array([None if d is None or d != d else int(d) for d in rows["doc_id"]], dtype="Int64"))
-                yield x
+                    digest = hashlib.sha256(model.decode(ids).encode()).hexdigest()
+                    out.append((doc_id, len(ids), zlib.crc32(raw), int(is_byte[ids].sum()), digest))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds.values(), strict=True)], list(kinds))
 
-    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return rows.mapInPandas(run, "doc_id long, n_ids long, ids_crc32 long, n_byte_ids long, decoded_sha256 string")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    return rows.mapInArrow(run, "doc_id long, n_ids long, ids_crc32 long, n_byte_ids long, decoded_sha256 string")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
