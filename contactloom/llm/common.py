@@ -12,10 +12,12 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,53 +71,43 @@ def unpack(blob: bytes) -> dict[str, np.ndarray | bytes]:
     return out
 
 
-def _batches(frames: Iterator[pd.DataFrame], limit: int) -> Iterator[pd.DataFrame]:
+def _batches(parts: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
 
     part, k = TaskContext.get().partitionId(), 0
-    ids: list[int] = []
-    null: list[bool] = []
-    texts: list[bytes] = []
-    size = 0
-
-    def close() -> pd.DataFrame:
-        nonlocal k, size
-        blob = pack(
-            5,
-            ids=np.array(ids, np.int64),
-            null=np.array(null, np.bool_),
-            ends=np.cumsum([len(t) for t in texts], dtype=np.int64),
-            text=b"".join(texts),
-        )
-        out = pd.DataFrame({"batch": [(part << 20) + k], "blob": [blob]})
-        k, size = k + 1, 0
-        ids.clear(), null.clear(), texts.clear()
-        return out
-
-    for frame in frames:
-        for doc_id, text in zip(frame["doc_id"], frame["text"], strict=True):
-            missing = doc_id is None or doc_id != doc_id
-            raw = text.encode() if isinstance(text, str) else b""
-            ids.append(0 if missing else int(doc_id))
-            null.append(missing)
-            texts.append(raw)
-            size += len(raw) + 64
-            if size >= limit:
-                yield close()
-    if ids:
-        yield close()
-
-
-def batch_documents(spark: SparkSession, docs: DataFrame, limit: int = BATCH_BYTES) -> DataFrame:
+    for rows in parts:
+        text = pc.fill_null(rows.column("text").cast(pa.large_binary()), b"")
+        size = pc.binary_length(text).to_numpy(zero_copy_only=False).astype(np.int64) + 64
+        group = np.cumsum(size) // limit
+        cuts = [0, *(np.flatnonzero(group[1:] != group[:-1]) + 1).tolist(), len(group)]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            if a == b:
+                continue
+            mine, ids = rows.slice(a, b - a), rows.column("doc_id").slice(a, b - a)
+            arrays = {
+                "ids": pc.fill_null(ids, 0).to_numpy(zero_copy_only=False),
+                "null": pc.is_null(ids).to_numpy(zero_copy_only=False),
+                "ends": np.cumsum(size[a:b] - 64),
+                "text": b"".join(text.slice(a, b - a).to_pylist()),
+            }
+            if rows.num_columns > 2:
+                sink = pa.BufferOutputStream()
+                others = mine.select([c for c in mine.schema.names if c not in ("doc_id", "text")])
+                with pa.ipc.new_stream(sink, others.schema) as out:
+                    out.write_batch(others)
+                arrays["others"] = sink.getvalue().to_pybytes()
+            yield pa.RecordBatch.from_arrays([pa.array([(part << 20) + k], pa.int64()), pa.array([pack(5, **arrays)], pa.binary())], ["batch", "blob"])
+            k += 1
+
+
+def batch_documents(spark: SparkSession, docs: DataFrame, limit: int = BATCH_BYTES, others: Sequence[str] = ()) -> DataFrame:
     """Written table (batch long, blob binary) of all rows of docs(doc_id, text); a null text is empty.
 
     A batch number and a place in the batch name a row, also where doc_id is null or repeated. A place is under
-    2**16, since each document counts for 64 bytes at least.
+    2**16, since each document counts for 64 bytes at least. `others` names columns that travel with the rows.
     """
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    # nullable ids reach pandas as objects, so that large ones keep all digits
-    rows = rows.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
-    return write_table(spark, rows.mapInPandas(lambda it: _batches(it, limit), "batch long, blob binary"), "batches")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *[F.col(f"`{c}`") for c in others])
+    return write_table(spark, rows.mapInArrow(lambda it: _batches(it, limit), "batch long, blob binary"), "batches")
 
 
 class Batch:
@@ -128,6 +120,7 @@ class Batch:
         self.ends: np.ndarray = x["ends"]
         self.starts = np.concatenate([np.zeros(1, np.int64), self.ends[:-1]])
         self.text: bytes = x["text"]
+        self._others = x.get("others")
         self.n = len(self.ids)
 
     @property
@@ -138,6 +131,11 @@ class Batch:
         for a, b in zip(self.starts.tolist(), self.ends.tolist(), strict=True):
             yield self.text[a:b].decode()
 
+    def others(self) -> pd.DataFrame:
+        """The columns that travel with the rows."""
+        nullable = {pa.int64(): pd.Int64Dtype(), pa.int32(): pd.Int32Dtype(), pa.bool_(): pd.BooleanDtype()}
+        return pa.ipc.open_stream(self._others).read_all().to_pandas(types_mapper=nullable.get)
+
     def id_column(self) -> pd.Series:
         return pd.Series(np.where(self.null, None, self.ids.astype(object)), dtype="object").astype("Int64")
 

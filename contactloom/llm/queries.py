@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from contactloom.llm import chat_format, fingerprint, ngram_join, packing, pieces, quality_rules, secret_scan, suffix_dedup, url_filter
+from contactloom.llm import chat_format, fingerprint, ngram_join, packing, pieces, pitman_yor, quality_rules, secret_scan, suffix_dedup, url_filter
 
 QUERIES: dict = {
     "op1_secret_scans": secret_scan.query,
@@ -14,5 +14,6 @@ QUERIES: dict = {
     "op7_chat_formatting": chat_format.query,
     "op8_piece_encoding": pieces.query,
     "op9_fingerprints": fingerprint.query,
+    "op10_lm_scoring": pitman_yor.query,
 }
 ORACLE: dict = {}

@@ -22,7 +22,7 @@ others; rows with equal doc_ids don't remove anything from each other; other col
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -243,9 +243,9 @@ def _with_answers(batches: DataFrame, replies: list[DataFrame], call: Callable[[
     return batches.groupBy("batch").cogroup(told.groupBy("batch")).applyInPandas(run, schema)
 
 
-def removals(spark: SparkSession, docs: DataFrame, each: Callable[[Batch, np.ndarray], pd.DataFrame], schema: str, length: int = LENGTH, k: int = K) -> DataFrame:
+def removals(spark: SparkSession, docs: DataFrame, each: Callable[[Batch, np.ndarray], pd.DataFrame], schema: str, length: int = LENGTH, k: int = K, others: Sequence[str] = ()) -> DataFrame:
     """Rows made by `each` from every batch and the flags of its removed bytes."""
-    batches = batch_documents(spark, docs)
+    batches = batch_documents(spark, docs, others=others)
     n = buckets_for(spark, batches)
 
     def ask_anchors(batch: int, blob: bytes) -> pd.DataFrame:
@@ -298,6 +298,37 @@ def digests(batch: Batch, removed: np.ndarray) -> pd.DataFrame:
     return out
 
 
+def rewrite(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """docs with repeated passages taken out of `text` and `n_chars` set to what is left; rows of which no word is
+    left go. A character stays unless all of its bytes are removed."""
+    others = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
+    kinds, names = dict(docs.dtypes), docs.columns
+    schema = ", ".join(f"`{c}` {'bigint' if c in ('doc_id', 'n_chars') else kinds[c]}" for c in docs.columns)
+
+    def each(batch: Batch, removed: np.ndarray) -> pd.DataFrame:
+        data = batch.bytes
+        head = (data & 0xC0) != 0x80  # first bytes of characters
+        keep = np.zeros(len(data), np.bool_)
+        if len(data):
+            char = np.cumsum(head) - 1
+            keep = (np.bincount(char, weights=~removed) > 0)[char]
+        texts, rows = [], []
+        for i, (a, b) in enumerate(zip(batch.starts.tolist(), batch.ends.tolist(), strict=True)):
+            text = data[a:b][keep[a:b]].tobytes() if removed[a:b].any() else batch.text[a:b]
+            if text == batch.text[a:b] or text.strip():
+                rows.append(i)
+                texts.append(text.decode())
+        out = batch.others() if others else pd.DataFrame(index=range(batch.n))
+        out = out.iloc[rows].reset_index(drop=True)
+        out["doc_id"] = batch.id_column().iloc[rows].reset_index(drop=True)
+        out["text"] = texts
+        if "n_chars" in names:
+            out["n_chars"] = np.array([len(t) for t in texts], np.int64)
+        return out[names]
+
+    return removals(spark, docs, each, schema, others=others)
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op6: what is left of every document."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
