@@ -34,6 +34,7 @@ from contactloom.llm.common import (
     REQUEST,
     Batch,
     RollingHash,
+    _powers,
     answer_min,
     answers,
     batch_documents,
@@ -47,6 +48,7 @@ from contactloom.llm.common import (
 )
 
 LENGTH, K = 50, 34
+BLOCK = 1 << 15
 LAST = np.iinfo(np.int64).max
 
 
@@ -59,7 +61,6 @@ class Anchors:
         self.batch, self.length = batch, length
         self.roll = RollingHash(data)
         self.ids = np.where(batch.null, LAST, batch.ids)
-        grams = self.roll.all(k)
         wide = length - k + 1
         count = n - length + 1
         if count <= 0:
@@ -68,33 +69,42 @@ class Anchors:
             self.key = self.context = np.zeros(0, np.uint64)
             return
         bits = np.uint64(max(1, int(n).bit_length()))
-        # the upper bits of a multiplied hash order the k-grams; the place below makes the leftmost of equals the least
-        v = (grams ^ (grams >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-        v = (v >> bits << bits) | np.arange(len(v), dtype=np.uint64)
-        span = 1
-        low = v
-        while span * 2 <= wide:
-            low = np.minimum(low[: len(low) - span], low[span:])
-            span *= 2
-        if span < wide:
-            low = np.minimum(low[: count], low[wide - span : wide - span + count])
-        at = (low[:count] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
-        sizes = batch.ends - batch.starts
-        valid = np.zeros(n + 1, np.int32)
-        some = sizes >= length
-        np.add.at(valid, batch.starts[some], 1)
-        np.add.at(valid, batch.ends[some] - length + 1, -1)
-        ok = np.cumsum(valid)[:count] > 0
+        place_mask = (np.uint64(1) << bits) - np.uint64(1)
+        at = np.empty(count, np.int64)
+        sums, inverse = self.roll.sums, _powers(n + 1, self.roll.p, True)
+        for lo in range(0, count, BLOCK):  # stretches that the processor's cache holds
+            hi = min(count, lo + BLOCK)
+            top = hi + wide - 1
+            v = sums[lo + k : top + k] - sums[lo:top]
+            v *= inverse[lo:top]
+            # the upper bits of a multiplied hash order the k-grams; the place below makes the leftmost of equals the least
+            v ^= v >> np.uint64(29)
+            v *= np.uint64(0xBF58476D1CE4E5B9)
+            v &= ~place_mask
+            v |= np.arange(lo, top, dtype=np.uint64)
+            span = 1
+            while span * 2 <= wide:
+                v = np.minimum(v[: len(v) - span], v[span:])
+                span *= 2
+            if span < wide:
+                v = np.minimum(v[: hi - lo], v[wide - span : wide - span + hi - lo])
+            at[lo:hi] = v[: hi - lo] & place_mask
+        # starts of windows that leave their document
+        short = np.minimum(batch.ends - batch.starts, length - 1)
+        stop = np.cumsum(short)
+        bad = np.arange(int(stop[-1]) if len(stop) else 0) + np.repeat(batch.ends - stop, short)
+        ok = np.ones(count, np.bool_)
+        ok[bad[bad < count]] = False
         # a stretch ends where the anchor or the document changes; between documents there are invalid starts
-        new = ok.copy()
-        new[1:] &= ~ok[:-1] | (at[1:] != at[:-1])
-        self.first = np.flatnonzero(new)
-        stop = ok.copy()
-        stop[:-1] &= ~ok[1:] | (at[1:] != at[:-1])
-        self.last = np.flatnonzero(stop)
+        change = at[1:] != at[:-1]
+        new, end = ok.copy(), ok.copy()
+        new[1:] &= change | ~ok[:-1]
+        end[:-1] &= change | ~ok[1:]
+        self.first, self.last = np.flatnonzero(new), np.flatnonzero(end)
         self.doc = np.searchsorted(batch.ends, self.first, side="right")
         self.id = self.ids[self.doc]
-        self.key = mix(grams[at[self.first]])
+        anchor = at[self.first]
+        self.key = mix(self.roll.of(anchor, anchor + k))
         end = self.last + length
         self.context = mix(self.roll.of(self.first, end) + (end - self.first).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
@@ -251,16 +261,13 @@ def removals(spark: SparkSession, docs: DataFrame, each: Callable[[Batch, np.nda
     def ask_anchors(batch: int, blob: bytes) -> pd.DataFrame:
         a = Anchors(Batch(blob), length, k)
         keys, _, least, most = group_min(a.key, a.id)
-        asked = requests(batch, keys, n, several=least < most, short=(keys // np.uint64(n)).astype(np.uint32))
-        asked["blob"] = [_shortened(b) for b in asked["blob"]]
-        return asked
+        # two keys of a bucket that agree in what is sent only cost later rounds work
+        return requests(batch, keys, n, short=True, several=least < most)
 
     def ask_contexts(batch: int, blob: bytes, rows: pd.DataFrame) -> pd.DataFrame:
         s = _State(blob, rows, n, length, k)
-        short = (s.anchors // np.uint64(n)).astype(np.uint32)
-        other = requests(batch, s.anchors, n, short=short, digest=s.low, several=s.low < s.high)
+        other = requests(batch, s.anchors, n, short=True, digest=s.low, several=s.low < s.high)
         other["bucket"] += n
-        other["blob"] = [_shortened(b) for b in other["blob"]]
         return pd.concat([requests(batch, s.contexts, n, value=s.least), other], ignore_index=True)
 
     def ask_windows(batch: int, blob: bytes, rows: pd.DataFrame) -> pd.DataFrame:
@@ -277,13 +284,6 @@ def removals(spark: SparkSession, docs: DataFrame, each: Callable[[Batch, np.nda
     return _with_answers(batches, [shared, contexts, windows], finish, schema)
 
 
-def _shortened(blob: bytes) -> bytes:
-    """An anchor request with four bytes a key; two keys of a bucket that agree in them only cost later rounds work."""
-    x = unpack(blob)
-    x["key"] = x.pop("short")
-    return pack(**x)
-
-
 def digests(batch: Batch, removed: np.ndarray) -> pd.DataFrame:
     data = batch.bytes
     rows = []
