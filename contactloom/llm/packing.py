@@ -56,7 +56,13 @@ def word_encoder(path: str):
     def encode(units: list[str]) -> list[list[int]]:
         return [e.ids for e in tokenizer.encode_batch_fast(units, add_special_tokens=False)]
 
-    return UnitEncoder(pc.ascii_split_whitespace, encode)
+    def cut(texts: pa.Array) -> pa.ListArray:
+        # fewer distinct units: the tokenizer lowers letters itself, and always cuts between a letter and a stop
+        if not pc.any(pc.match_substring(texts, "<|")).as_py():  # special tokens are told by case
+            texts = pc.replace_substring_regex(pc.ascii_lower(texts), r"([a-z])([.,])", r"\1 \2")
+        return pc.ascii_split_whitespace(texts)
+
+    return UnitEncoder(cut, encode)
 
 
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
