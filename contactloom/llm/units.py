@@ -15,9 +15,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Units, and characters of units, that a worker keeps; the store is emptied when it is full.
-STORE, STORE_CHARS = 1_200_000, 20_000_000
+STORE, STORE_CHARS = 400_000, 8_000_000
 #: Bytes of text that are encoded at once.
-CHUNK = 8 << 20
+CHUNK = 6 << 20
 
 
 class UnitEncoder:
