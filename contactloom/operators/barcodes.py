@@ -102,8 +102,8 @@ def level_counts(counts: DataFrame, levels: tuple[int, ...] = LEVELS) -> DataFra
 def demux_stats(matched: DataFrame) -> DataFrame:
     """One row: reads, exact, imperfect, lost."""
     return matched.agg(
-        F.count("*").alias("n_reads"), F.count_if("valid").alias("n_valid"), F.count_if("valid and distance = 0").alias("n_perfect"),
-        F.count_if("valid and distance > 0").alias("n_imperfect"), F.count_if("not valid").alias("n_lost"),
+        F.count("*").alias("n_reads"), F.count_if("valid").alias("n_valid"), F.count_if(F.expr("valid and distance = 0")).alias("n_perfect"),
+        F.count_if(F.expr("valid and distance > 0")).alias("n_imperfect"), F.count_if(F.expr("not valid")).alias("n_lost"),
     )
 
 

@@ -52,7 +52,7 @@ def measure(pairs: DataFrame, re1: DataFrame | None, s: FilterSettings, re2: Dat
         for side in "ab":
             df = to_fragment(df, re1, f"chr_{side}", f"end_{side}", (f"idx_{side}", f"f_start_{side}", f"f_end_{side}"))
             d = F.when(F.col(f"strand_{side}") == "+", F.col(f"f_end_{side}") - F.col(f"start_{side}")).otherwise(F.col(f"start_{side}") - F.col(f"f_start_{side}"))
-            df = df.withColumn(f"delta_{side}", F.greatest(d, F.lit(0)))
+            df = df.withColumn(f"delta_{side}", F.when(F.col(f"idx_{side}").isNotNull(), F.greatest(d, F.lit(0))))
             known = known & F.col(f"idx_{side}").isNotNull()
         df = df.withColumn("size", F.col("delta_a") + F.col("delta_b"))
         if stars is not None:

@@ -46,6 +46,12 @@ def _adapter_at(seq: Column, adapter: str) -> Column:
     return F.when((at > 0) & (F.instr(F.lit(adapter), window) > 0), at - 1).when((at > 0) & (wrong < 2), at - 1)
 
 
+def _settled(df: DataFrame) -> DataFrame:
+    """df behind a generator. Each step uses the last one's columns several times; without a stop, a filter pushed
+    down through all steps would unfold into a sum of all their combinations."""
+    return df.select(F.inline(F.array(F.struct(*[F.col(c) for c in df.columns]))))
+
+
 def clip_all(reads: DataFrame, s: ClipSettings) -> DataFrame:
     """All reads (also too short ones) with clipped seq and qual, and flags and positions of what was done.
 
@@ -64,6 +70,7 @@ def clip_all(reads: DataFrame, s: ClipSettings) -> DataFrame:
         for c in ("seq", "qual"):
             df = df.withColumn(c, F.when(F.col("_at").isNotNull(), F.substring(c, F.lit(1), F.col("_at"))).otherwise(F.col(c)))
         df = df.withColumn("adapters", F.when(F.col("_at").isNotNull(), F.array_append("adapters", F.lit(k))).otherwise(F.col("adapters")))
+        df = _settled(df)
     junction = F.instr("seq", s.junction)
     before = F.substring("seq", F.lit(1), junction - 1)
     recog = F.when(junction > 0, F.instr(before, s.recognition)).otherwise(F.instr("seq", s.recognition))
@@ -72,22 +79,27 @@ def clip_all(reads: DataFrame, s: ClipSettings) -> DataFrame:
         F.when(junction > 0, junction - 1).alias("junction_at"),
         F.when(recog > 0, recog - 1).alias("recog_at"),
     )
+    df = _settled(df)
     at = F.col("junction_at")
     df = df.withColumn("seq", F.when(at.isNotNull(), F.concat(F.substring("seq", F.lit(1), at), F.lit(s.recognition))).otherwise(F.col("seq")))
     df = df.withColumn("qual", F.when(at.isNotNull(), F.substring("qual", F.lit(1), at + len(s.recognition))).otherwise(F.col("qual")))
+    df = _settled(df)
     # trailing Ns, then low-quality ends; the quality has as many characters as were taken off
     df = df.withColumn("_bare", F.rtrim(F.col("seq"), F.lit("N")))
     df = df.withColumn("_n", F.length("seq") - F.length("_bare")).withColumn("seq", F.col("_bare"))
     df = df.withColumn("qual", F.substring("qual", F.lit(1), F.greatest(F.length("qual") - F.col("_n"), F.lit(0))))
+    df = _settled(df)
     zero = QUALITY_ZERO[s.scheme]
     low = f"[\\x00-\\x{zero + s.min_quality - 1:02X}]"
     kept3 = F.length(F.regexp_replace("qual", low + "+$", ""))
     df = df.withColumn("_k3", kept3).withColumn("_lost3", F.length("qual") - F.col("_k3"))
     for c in ("seq", "qual"):
         df = df.withColumn(c, F.substring(c, F.lit(1), F.greatest(F.length(c) - F.col("_lost3"), F.lit(0))))
+    df = _settled(df)
     df = df.withColumn("_lost5", F.length("qual") - F.length(F.regexp_replace("qual", "^" + low + "+", "")))
     for c in ("seq", "qual"):
         df = df.withColumn(c, F.substring(c, F.col("_lost5") + 1, F.length(c)))
+    df = _settled(df)
     df = df.withColumn("clipped_quality", (F.col("_n") > 0) | (F.col("_lost3") > 0) | (F.col("_lost5") > 0))
     masked = F.array_join(
         F.zip_with(
@@ -100,7 +112,7 @@ def clip_all(reads: DataFrame, s: ClipSettings) -> DataFrame:
     df = df.withColumn("seq", F.when(F.col("qual").rlike(low), masked).otherwise(F.col("seq")))
     if len(s.junction) < len(s.recognition):
         df = df.withColumn("qual", F.when(F.length("qual") > 0, F.rpad("qual", F.length("seq"), F.substring("qual", -1, 1))).otherwise(F.col("qual")))
-    return df.drop("_at", "_bare", "_n", "_k3", "_lost3", "_lost5").withColumn("too_short", F.length("seq") < s.min_length)
+    return _settled(df.drop("_at", "_bare", "_n", "_k3", "_lost3", "_lost5")).withColumn("too_short", F.length("seq") < s.min_length)
 
 
 def clip(reads: DataFrame, s: ClipSettings) -> DataFrame:

@@ -41,7 +41,7 @@ def mapping_stats(alignments: DataFrame, unmapped_flag: int = 4) -> DataFrame:
     """One row: reads, and how many have one, several or no mapped alignments."""
     n = F.count_if(F.col("flag").bitwiseAND(unmapped_flag) == 0)
     reads = alignments.groupBy("read_no", "end").agg(n.alias("n"))
-    return reads.agg(F.count("*").alias("n_reads"), F.count_if("n = 1").alias("uniq"), F.count_if("n > 1").alias("ambiguous"), F.count_if("n = 0").alias("unmapped"))
+    return reads.agg(F.count("*").alias("n_reads"), F.count_if(F.expr("n = 1")).alias("uniq"), F.count_if(F.expr("n > 1")).alias("ambiguous"), F.count_if(F.expr("n = 0")).alias("unmapped"))
 
 
 def quartile_edges(histogram: DataFrame, shares: tuple[float, ...] = (0.25, 0.75), keys: tuple[str, ...] = ("series",)) -> DataFrame:

@@ -54,7 +54,7 @@ RUNS = """w AS (SELECT *, row_number() OVER (PARTITION BY chr_a, f_start_a, stra
   count(*) OVER (PARTITION BY chr_a, f_start_a, strand_a, chr_b, f_start_b, strand_b) AS run FROM acc),
 lost AS (SELECT DISTINCT x.pair_id FROM w x JOIN w y ON (x.chr_a, x.f_start_a, x.strand_a, x.chr_b, x.f_start_b, x.strand_b) = (y.chr_a, y.f_start_a, y.strand_a, y.chr_b, y.f_start_b, y.strand_b)
   WHERE y.r = 1 AND x.pair_id <> y.pair_id),
-reps AS (SELECT pair_id, sum(CASE WHEN r = 1 THEN run ELSE 0 END) AS repeats, max(ambig_size) AS size FROM w GROUP BY pair_id)"""
+reps AS (SELECT pair_id, sum(CASE WHEN r = 1 THEN run ELSE 0 END) AS repeats, max(ambig_size) AS places FROM w GROUP BY pair_id)"""
 ENDS = """e AS (SELECT DISTINCT * FROM (SELECT chr_a AS c, f_start_a AS p, strand_a AS s, chr_b AS oc, f_start_b AS op, strand_b AS os, pair_id FROM acc
   UNION ALL SELECT chr_b, f_start_b, strand_b, chr_a, f_start_a, strand_a, pair_id FROM acc)),
 b AS (SELECT c, p, s, count(*) AS n_ends, count(DISTINCT pair_id) AS n_groups FROM e GROUP BY 1, 2, 3 HAVING count(*) > 2 AND count(DISTINCT pair_id) > 2),
@@ -144,10 +144,10 @@ ORACLE: dict[str, str] = {
  x AS (SELECT v.*, up.pos AS up, mm.lo, mm.hi FROM v ASOF LEFT JOIN st up ON v.chr_a = up.chr AND v.start_a <= up.pos LEFT JOIN mm ON v.chr_a = mm.chr),
  y AS (SELECT x.*, dn.pos AS dn FROM x ASOF LEFT JOIN st dn ON x.chr_a = dn.chr AND x.start_a > dn.pos)
  SELECT pair_id, line_no, chr_a, start_a, strand_a, CASE WHEN strand_a = '+' THEN coalesce(up, hi) ELSE coalesce(dn, lo) END AS star FROM y""",
-    "g1_dedupe": f"WITH {T}, {RUNS} SELECT acc.pair_id, line_no, start_a, start_b, cast(repeats AS bigint) AS repeats FROM acc JOIN reps USING (pair_id) WHERE pair_id NOT IN (SELECT pair_id FROM lost) AND repeats / size >= 2",
+    "g1_dedupe": f"WITH {T}, {RUNS} SELECT acc.pair_id, line_no, start_a, start_b, cast(repeats AS bigint) AS repeats FROM acc JOIN reps USING (pair_id) WHERE pair_id NOT IN (SELECT pair_id FROM lost) AND repeats / places >= 2",
     "g2_dedupe_stats": f"""WITH {T}, {RUNS}, z AS (SELECT *, pair_id IN (SELECT pair_id FROM lost) AS gone FROM reps)
- SELECT count(*) AS input_reads, count(*) FILTER (gone) AS redundant, count(*) FILTER (NOT gone) AS effective, count(*) FILTER (NOT gone AND repeats / size < 2) AS unique_reads,
- count(*) FILTER (NOT gone AND repeats / size >= 2) AS supported, round(sum(repeats) FILTER (NOT gone) / count(*) FILTER (NOT gone), 6) AS mean_redundancy FROM z""",
+ SELECT count(*) AS input_reads, count(*) FILTER (gone) AS redundant, count(*) FILTER (NOT gone) AS effective, count(*) FILTER (NOT gone AND repeats / places < 2) AS unique_reads,
+ count(*) FILTER (NOT gone AND repeats / places >= 2) AS supported, round(sum(repeats) FILTER (NOT gone) / count(*) FILTER (NOT gone), 6) AS mean_redundancy FROM z""",
     "g3_promiscuous_ends": f"WITH {T}, {ENDS} SELECT c AS chr, p AS pos, s AS strand, n_ends, n_groups, remove, resolve FROM ends",
     "g4_promiscuity_stats": f"""WITH {T}, {ENDS}, hit AS (SELECT pair_id, bool_or(remove) AS rm, bool_or(resolve) AS rs FROM e JOIN ends USING (c, p, s) GROUP BY 1)
  SELECT CASE WHEN rm THEN 'promiscuous' WHEN rs THEN 'resolved' ELSE 'clean' END AS promiscuity, count(*) AS n FROM (SELECT DISTINCT pair_id FROM acc) LEFT JOIN hit USING (pair_id) GROUP BY 1""",
@@ -196,9 +196,9 @@ ORACLE: dict[str, str] = {
  SELECT chr_a, chr_b, round(sum(v), 6) AS relay FROM (SELECT x.chr_a, y.chr_a AS chr_b, sqrt(x.n_unambig * y.n_unambig) AS v FROM b2 x JOIN b2 y ON x.chr_b = y.chr_b AND x.chr_a < y.chr_a
  UNION ALL SELECT chr_a, chr_b, 5.0::double * n_unambig FROM pc WHERE chr_a <> chr_b) GROUP BY 1, 2""",
     "j1_contact_map": f"WITH {T}, {POS} SELECT chr_a, chr_b, cast(floor(pos_a / 100000) AS bigint) AS bin_a, cast(floor(pos_b / 100000) AS bigint) AS bin_b, count(*) AS n FROM pos GROUP BY 1, 2, 3, 4",
-    "j2_contact_probability": f"""WITH {T}, {POS}, n AS (SELECT cast(floor(abs(pos_a - pos_b) / 100000) AS bigint) AS bin, count(*) AS n FROM pos WHERE chr_a = chr_b GROUP BY 1),
+    "j2_contact_probability": f"""WITH {T}, {POS}, sep AS (SELECT cast(floor(abs(pos_a - pos_b) / 100000) AS bigint) AS bin, count(*) AS n FROM pos WHERE chr_a = chr_b GROUP BY 1),
  s AS (SELECT cast(floor((hi - lo) / 100000) AS bigint) + 1 AS bins FROM lim), p AS (SELECT bin, sum(bins - bin) AS possible FROM (SELECT bins, unnest(range(bins)) AS bin FROM s) GROUP BY 1)
- SELECT n.bin, n, round(n / possible, 9) AS probability FROM n JOIN p ON n.bin = p.bin""",
+ SELECT sep.bin, n, round(n / possible, 9) AS probability FROM sep JOIN p ON sep.bin = p.bin""",
     "j3_trans_density": f"WITH {T}, {POS} SELECT chr_a, chr_b, count(*) AS n, round(count(*) / (max((a.hi - a.lo + 1) / 1e6) * max((b.hi - b.lo + 1) / 1e6)), 9) AS density FROM pos JOIN lim a ON chr_a = a.chr JOIN lim b ON chr_b = b.chr WHERE chr_a <> chr_b GROUP BY 1, 2",
     "j3_isolated": f"""WITH {T}, {POS}, b AS (SELECT chr_a, chr_b, floor(pos_a / 20000) AS x, floor(pos_b / 20000) AS y, count(*) AS n FROM pos GROUP BY 1, 2, 3, 4),
  r AS (SELECT b.chr_a, b.chr_b, b.x, b.y, max(b.n) AS n, sum(o.n) AS around FROM b JOIN b o ON b.chr_a = o.chr_a AND b.chr_b = o.chr_b AND abs(b.x - o.x) <= 1 AND abs(b.y - o.y) <= 1 GROUP BY 1, 2, 3, 4)
