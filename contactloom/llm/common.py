@@ -13,6 +13,7 @@ import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -36,9 +37,33 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+#: Tables written while a `collecting` block is open go here.
+_collected: list[str] | None = None
+
+
+@contextmanager
+def collecting(paths: list[str]) -> Iterator[None]:
+    """Tables that are written inside the block are listed in paths, for `delete_tables`."""
+    global _collected
+    before, _collected = _collected, paths
+    try:
+        yield
+    finally:
+        _collected = before
+
+
+def delete_tables(spark: SparkSession, paths: list[str]) -> None:
+    """Remove written tables that nothing reads any more."""
+    while paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(paths.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def write_table(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it back: lineage ends at files that outlive an executor."""
     path = f"{shared_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    if _collected is not None:
+        _collected.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

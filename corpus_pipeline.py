@@ -6,36 +6,57 @@ Each stage takes (spark, docs, sf_dir) and works on all rows that the stage befo
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contactloom.llm import ngram_join, packing, quality_rules, secret_scan, suffix_dedup
-from contactloom.llm.common import write_table
+from contactloom.llm.common import collecting, delete_tables, write_table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: Tables that the running stage has written for itself.
+_tables: list[str] = []
 
+
+def stage(call: Stage) -> Stage:
+    """A stage begins when the one before has been written, so what that one wrote for itself can go."""
+
+    @wraps(call)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        delete_tables(spark, _tables)
+        with collecting(_tables):
+            return call(spark, docs, sf_dir)
+
+    return run_stage
+
+
+@stage
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules."""
     return quality_rules.keep_good(spark, docs)
 
 
+@stage
 def keep_first(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates: the one with the least doc_id."""
     return ngram_join.keep_first(spark, docs)
 
 
+@stage
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that an earlier one has."""
     return suffix_dedup.rewrite(spark, docs)
 
 
+@stage
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with every secret replaced by a mark."""
     return secret_scan.mask(docs).withColumn("n_chars", F.length("text").cast("long")).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
+@stage
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where every piece of every document goes."""
     return packing.pack(spark, docs, packing.tokenizer_path(packing.TOKENIZER))
@@ -55,8 +76,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for i, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
+    for i, (name, call) in enumerate(STAGES):
+        docs = call(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
             docs = write_table(spark, docs, name)
     return docs
