@@ -46,8 +46,7 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-@lru_cache(maxsize=2)
-def word_encoder(path: str):
+def word_encoder(path: str) -> UnitEncoder:
     """Encoder of whole texts by `tokenizers`. Its pre-tokenizer drops white space and never joins words across it."""
     from tokenizers import Tokenizer
 
@@ -65,12 +64,18 @@ def word_encoder(path: str):
     return UnitEncoder(cut, encode)
 
 
-def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
-    """Pieces (doc_id, piece, start, length, ids_crc32) of all rows of docs (doc_id, text)."""
+lasting_encoder = lru_cache(maxsize=2)(word_encoder)
+
+
+def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID, lasting: bool = True) -> DataFrame:
+    """Pieces (doc_id, piece, start, length, ids_crc32) of all rows of docs (doc_id, text).
+
+    A lasting encoder keeps the words that it has met for a worker's next tasks; the other one frees them.
+    """
     kinds = {"doc_id": pa.int64(), "piece": pa.int32(), "start": pa.int64(), "length": pa.int64(), "ids_crc32": pa.int64()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = word_encoder(path)
+        encode = (lasting_encoder if lasting else word_encoder)(path)
         for batch in batches:
             for rows in chunks(batch):
                 out: list[tuple] = []
@@ -178,9 +183,9 @@ def ranked(table: DataFrame, counts: dict[int, int]) -> DataFrame:
     return local.join(before, ["length", "salt"], "left").withColumn("rank", F.col("rank") + F.coalesce("skip", F.lit(0))).drop("salt", "skip")
 
 
-def pack(spark: SparkSession, docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+def pack(spark: SparkSession, docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID, lasting: bool = True) -> DataFrame:
     """Every piece with its sequence_id and offset."""
-    table = write_table(spark, pieces(docs, path, capacity, end_id), "pieces")
+    table = write_table(spark, pieces(docs, path, capacity, end_id, lasting), "pieces")
     counts = {int(r["length"]): r["n"] for r in table.groupBy("length").agg(F.count("*").alias("n")).collect()}  # capacity rows at most
     entries = plan(counts, capacity)
     arrays = {c: entries[c].to_numpy(np.int64) for c in entries.columns}

@@ -163,8 +163,11 @@ def judge(rows: DataFrame, refs: DataFrame, limits: Limits = Limits()) -> DataFr
 
 def keep_good(spark: SparkSession, docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """The rows of docs that pass all rules, with docs' columns."""
-    rows = write_table(spark, features(docs, limits=limits), "quality")
-    return judge(rows, references(rows, limits), limits).filter("kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    hidden = {c: f"_x{i}" for i, c in enumerate(docs.columns)}  # so that no column clashes with those of judge
+    plain = docs.toDF(*hidden.values())
+    rows = write_table(spark, features(plain, hidden["text"], hidden["lang"], limits), "quality")
+    kept = judge(rows, references(rows, limits), limits).filter("kept")
+    return kept.select(*[F.col(h).alias(c) for c, h in hidden.items()])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

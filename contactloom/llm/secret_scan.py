@@ -206,7 +206,9 @@ def joined(spans: Column) -> Column:
 def mask(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs with every span of every kind in `text` replaced by one [SECRET]; all columns stay, in order."""
     names = docs.columns
-    got = scan(docs.withColumn("_text", F.col(text)), "_text", [f"`{c}`" for c in names] + ["_text"])
+    hidden = {c: f"_x{i}" for i, c in enumerate(names)}  # so that no column clashes with those of scan
+    plain = docs.toDF(*hidden.values())
+    got = scan(plain.withColumn("_text", F.col(hidden[text])), "_text", [*hidden.values(), "_text"])
     t = F.col("_text")
     zero = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<string>)").alias("out"))
 
@@ -223,7 +225,7 @@ def mask(docs: DataFrame, text: str = "text") -> DataFrame:
         F.col("spans"), zero, step, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(t, acc["at"] + 1, F.length(t)))
     )
     new = F.when(F.size("spans") > 0, masked).otherwise(F.col("_text"))
-    return got.select(*[(new.alias(c) if c == text else F.col(f"`{c}`")) for c in names])
+    return got.select(*[(new if c == text else F.col(hidden[c])).alias(c) for c in names])
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Units, and characters of units, that a worker keeps; the store is emptied when it is full.
-STORE, STORE_CHARS = 400_000, 8_000_000
+STORE, STORE_CHARS = 1_000_000, 16_000_000
 #: Bytes of text that are encoded at once.
 CHUNK = 6 << 20
 

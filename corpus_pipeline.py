@@ -59,7 +59,7 @@ def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 @stage
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where every piece of every document goes."""
-    return packing.pack(spark, docs, packing.tokenizer_path(packing.TOKENIZER))
+    return packing.pack(spark, docs, packing.tokenizer_path(packing.TOKENIZER), lasting=False)
 
 
 STAGES: list[tuple[str, Stage]] = [
