@@ -170,11 +170,12 @@ def _star(ids: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         label = new
 
 
-def _pairs(side: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the pairs of a piece: of all rows where they are on one side, else those between sides 0 and 1."""
-    if (side == side[0]).all():
+def _pairs(piece: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the pairs of a piece: of all rows inside a block, else those between two blocks."""
+    i, j, side = int(piece["i"].iloc[0]), int(piece["j"].iloc[0]), piece["side"].to_numpy()
+    if i == j:
         return np.triu_indices(len(side), 1)
-    x, y = np.flatnonzero(side == side.min()), np.flatnonzero(side == side.max())
+    x, y = np.flatnonzero(side == i), np.flatnonzero(side == j)
     return np.repeat(x, len(y)), np.tile(y, len(x))
 
 
@@ -224,7 +225,7 @@ def candidates(spark: SparkSession, nodes: DataFrame, cfg: Settings) -> DataFram
     def compare(piece: pd.DataFrame) -> pd.DataFrame:
         ids = piece["node"].to_numpy()
         sig = np.frombuffer(b"".join(piece["sig"]), np.uint8).reshape(len(ids), cfg.size)
-        a, b = _pairs(piece["side"].to_numpy())
+        a, b = _pairs(piece)
         same, at = np.zeros(len(a), np.int64), 0
         for stop, need in zip(steps, least, strict=True):
             same = same + (sig[a, at:stop] == sig[b, at:stop]).sum(1)
@@ -256,7 +257,7 @@ def _verify(piece: pd.DataFrame, cfg: Settings) -> pd.DataFrame:
         x = np.zeros((len(ids), width), np.float32)
         x[owner[lo:hi], column[lo:hi] - at] = 1
         inter += x @ x.T
-    a, b = _pairs(piece["side"].to_numpy())
+    a, b = _pairs(piece)
     # over / under <= inter / (size a + size b - inter), in whole numbers
     good = (cfg.over + cfg.under) * np.rint(inter[a, b]).astype(np.int64) >= cfg.over * (size[a] + size[b])
     a, b = a[good], b[good]

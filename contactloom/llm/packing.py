@@ -64,7 +64,9 @@ def word_encoder(path: str) -> UnitEncoder:
     return UnitEncoder(cut, encode)
 
 
-lasting_encoder = lru_cache(maxsize=2)(word_encoder)
+@lru_cache(maxsize=2)
+def lasting_encoder(path: str) -> UnitEncoder:
+    return word_encoder(path)
 
 
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID, lasting: bool = True) -> DataFrame:
