@@ -9,7 +9,9 @@ No group of documents ever has to meet in one task.
 from __future__ import annotations
 
 import atexit
+import ctypes
 import shutil
+import sys
 import tempfile
 import uuid
 from collections.abc import Iterator, Sequence
@@ -165,6 +167,15 @@ class Batch:
         return pd.Series(np.where(self.null, None, self.ids.astype(object)), dtype="object").astype("Int64")
 
 
+def trim() -> None:
+    """Give memory that Arrow and the allocator hold, but don't use, back to the system: idle workers stay small."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        libc = ctypes.CDLL(None)
+        if hasattr(libc, "malloc_trim"):
+            libc.malloc_trim(0)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Finish a 64-bit hash (the public splitmix64 finaliser)."""
     x = x.astype(np.uint64, copy=True)

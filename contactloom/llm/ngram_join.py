@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contactloom.llm.common import Batch, _powers, batch_documents, mix, words_of, write_table
+from contactloom.llm.common import Batch, _powers, batch_documents, mix, trim, words_of, write_table
 from contactloom.llm.components import connected_components
 
 
@@ -136,6 +136,7 @@ def signatures(batches: DataFrame, cfg: Settings) -> DataFrame:
                         "bands": [x.astype(">u8").tobytes() for x in bands],
                     }
                 )
+        trim()
 
     return batches.mapInPandas(run, SCHEMA)
 
@@ -207,6 +208,7 @@ def _by_piece(rows: DataFrame, key: str, call: Callable[[pd.DataFrame], pd.DataF
                 yield pd.concat(out, ignore_index=True)
         if rest is not None and len(rest):
             yield call(rest)
+        trim()
 
     return rows.repartition(F.col(key), F.col("i"), F.col("j")).sortWithinPartitions(key, "i", "j").mapInPandas(run, schema)
 

@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from contactloom.llm.common import write_table
+from contactloom.llm.common import trim, write_table
 from contactloom.llm.units import UnitEncoder, chunks
 
 CAPACITY, END_ID = 4096, 1
@@ -46,11 +46,16 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def word_encoder(path: str) -> UnitEncoder:
-    """Encoder of whole texts by `tokenizers`. Its pre-tokenizer drops white space and never joins words across it."""
+@lru_cache(maxsize=2)
+def _tokenizer(path: str):
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
+    return Tokenizer.from_file(path)
+
+
+def word_encoder(path: str) -> UnitEncoder:
+    """Encoder of whole texts by `tokenizers`. Its pre-tokenizer drops white space and never joins words across it."""
+    tokenizer = _tokenizer(path)
 
     def encode(units: list[str]) -> list[list[int]]:
         return [e.ids for e in tokenizer.encode_batch_fast(units, add_special_tokens=False)]
@@ -87,6 +92,9 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = E
                         part = ids[at : at + capacity]
                         out.append((doc_id, k, at, len(part), zlib.crc32(part.tobytes())))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds.values(), strict=True)], list(kinds))
+        if not lasting:
+            del encode
+            trim()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     return rows.mapInArrow(run, PIECES)

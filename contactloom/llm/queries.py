@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from contactloom.llm import chat_format, fingerprint, ngram_join, packing, pieces, pitman_yor, quality_rules, secret_scan, suffix_dedup, url_filter
+from contactloom.llm.oracle import ORACLE  # noqa: F401
 
 QUERIES: dict = {
     "op1_secret_scans": secret_scan.query,
@@ -16,4 +17,3 @@ QUERIES: dict = {
     "op9_fingerprints": fingerprint.query,
     "op10_lm_scoring": pitman_yor.query,
 }
-ORACLE: dict = {}

@@ -44,6 +44,7 @@ from contactloom.llm.common import (
     mix,
     pack,
     requests,
+    trim,
     unpack,
 )
 
@@ -154,6 +155,7 @@ def _each(call: Callable[[int, bytes], pd.DataFrame]):
         for f in frames:
             for batch, blob in zip(f["batch"].tolist(), f["blob"], strict=True):
                 yield call(batch, blob)
+        trim()
 
     return run
 
@@ -248,6 +250,7 @@ def _with_answers(batches: DataFrame, replies: list[DataFrame], call: Callable[[
 
     def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         frames = [call(b, blob, right) for b, blob in zip(left["batch"].tolist(), left["blob"], strict=True)]
+        trim()
         return pd.concat(frames, ignore_index=True) if frames else pd.DataFrame(columns=[c.split()[0] for c in schema.split(", ")])
 
     return batches.groupBy("batch").cogroup(told.groupBy("batch")).applyInPandas(run, schema)
