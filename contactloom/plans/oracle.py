@@ -55,6 +55,8 @@ RUNS = """w AS (SELECT *, row_number() OVER (PARTITION BY chr_a, f_start_a, stra
 lost AS (SELECT DISTINCT x.pair_id FROM w x JOIN w y ON (x.chr_a, x.f_start_a, x.strand_a, x.chr_b, x.f_start_b, x.strand_b) = (y.chr_a, y.f_start_a, y.strand_a, y.chr_b, y.f_start_b, y.strand_b)
   WHERE y.r = 1 AND x.pair_id <> y.pair_id),
 reps AS (SELECT pair_id, sum(CASE WHEN r = 1 THEN run ELSE 0 END) AS repeats, max(ambig_size) AS places FROM w GROUP BY pair_id)"""
+#: The same by read starts, the most ambiguous first.
+RUNS_2 = RUNS.replace("f_start_", "start_").replace("ORDER BY ambig_size,", "ORDER BY ambig_size DESC,")
 ENDS = """e AS (SELECT DISTINCT * FROM (SELECT chr_a AS c, f_start_a AS p, strand_a AS s, chr_b AS oc, f_start_b AS op, strand_b AS os, pair_id FROM acc
   UNION ALL SELECT chr_b, f_start_b, strand_b, chr_a, f_start_a, strand_a, pair_id FROM acc)),
 b AS (SELECT c, p, s, count(*) AS n_ends, count(DISTINCT pair_id) AS n_groups FROM e GROUP BY 1, 2, 3 HAVING count(*) > 2 AND count(DISTINCT pair_id) > 2),
@@ -148,6 +150,7 @@ ORACLE: dict[str, str] = {
     "g2_dedupe_stats": f"""WITH {T}, {RUNS}, z AS (SELECT *, pair_id IN (SELECT pair_id FROM lost) AS gone FROM reps)
  SELECT count(*) AS input_reads, count(*) FILTER (gone) AS redundant, count(*) FILTER (NOT gone) AS effective, count(*) FILTER (NOT gone AND repeats / places < 2) AS unique_reads,
  count(*) FILTER (NOT gone AND repeats / places >= 2) AS supported, round(sum(repeats) FILTER (NOT gone) / count(*) FILTER (NOT gone), 6) AS mean_redundancy FROM z""",
+    "g1_dedupe_hybrid_population": f"WITH {T}, {RUNS_2} SELECT acc.pair_id, line_no, start_a, start_b, cast(repeats AS bigint) AS repeats, repeats / places >= 2 AS supported FROM acc JOIN reps USING (pair_id) WHERE pair_id NOT IN (SELECT pair_id FROM lost)",
     "g3_promiscuous_ends": f"WITH {T}, {ENDS} SELECT c AS chr, p AS pos, s AS strand, n_ends, n_groups, remove, resolve FROM ends",
     "g4_promiscuity_stats": f"""WITH {T}, {ENDS}, hit AS (SELECT pair_id, bool_or(remove) AS rm, bool_or(resolve) AS rs FROM e JOIN ends USING (c, p, s) GROUP BY 1)
  SELECT CASE WHEN rm THEN 'promiscuous' WHEN rs THEN 'resolved' ELSE 'clean' END AS promiscuity, count(*) AS n FROM (SELECT DISTINCT pair_id FROM acc) LEFT JOIN hit USING (pair_id) GROUP BY 1""",
