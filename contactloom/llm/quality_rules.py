@@ -35,7 +35,9 @@ CHAR_CLASSES = (
     ("digit", r"[0-9]+"),
     ("punct", r"[\x00-\x7F]+"),
 )
-CODES = "abcdefghijkl"
+CODES = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+#: Common words of all languages, each once.
+EVERY = sorted({w for ws in COMMON.values() for w in ws})
 WHITE = " \t\n\x0b\f\r"
 
 
@@ -50,6 +52,17 @@ class Limits:
     #: Jensen-Shannon distances (roots of divergences in bits, 0 to 1).
     max_char_distance: float = 0.30
     max_word_distance: float = 0.55
+    #: Hold words against those common in any language, at this share of the distance that a text without any has from
+    #: its reference (see `judge`). None: against those of the text's own language, at max_word_distance.
+    word_reach: float | None = None
+
+    @property
+    def n_common(self) -> int:
+        return 12 if self.word_reach is None else len(EVERY)
+
+
+#: What the pipeline drops by. The registered query keeps the defaults, which its SQL twin states.
+PIPELINE = Limits(word_reach=0.85)
 
 
 def _repeats(w: Column, size: int) -> Column:
@@ -93,17 +106,21 @@ def features(docs: DataFrame, text: str = "text", lang: str = "lang", limits: Li
     )
     for i, (_, pattern) in enumerate(CHAR_CLASSES[1:], 1):
         df = df.select("*", F.regexp_replace(f"_r{i - 1}", pattern, "").alias(f"_r{i}"))
-    lists = F.lit(None).cast("array<string>")
-    for k, ws in COMMON.items():
-        lists = F.when(F.col("_lang") == k, F.array(*map(F.lit, ws))).otherwise(lists)
+    if limits.word_reach is None:
+        words, lists = F.col("_w"), F.lit(None).cast("array<string>")
+        for k, ws in COMMON.items():
+            lists = F.when(F.col("_lang") == k, F.array(*map(F.lit, ws))).otherwise(lists)
+    else:
+        most = max(map(len, EVERY))
+        words, lists = F.filter("_w", lambda x: F.length(x) <= most), F.array(*map(F.lit, EVERY))
     df = df.withColumn("_common", lists)
-    at = F.transform("_w", lambda x: F.array_position(F.col("_common"), x).cast("int"))
+    at = F.transform(words, lambda x: F.array_position(F.col("_common"), x).cast("int"))
     codes = F.array_join(F.transform(F.filter(at, lambda p: p > 0), lambda p: F.substring(F.lit(CODES), p, F.lit(1))), "")
     df = df.withColumn("_codes", F.coalesce(codes, F.lit("")))
     lens = [F.col("_len"), *[F.length(f"_r{i}") for i in range(len(CHAR_CLASSES))]]
     chars = [a - b for a, b in zip(lens, lens[1:], strict=False)] + [lens[-1]]
     n_codes = F.length("_codes")
-    per_word = [n_codes - F.length(F.replace("_codes", F.lit(c), F.lit(""))) for c in CODES]
+    per_word = [n_codes - F.length(F.replace("_codes", F.lit(c), F.lit(""))) for c in CODES[: limits.n_common]]
     n_words = F.size("_w")
     q = F.struct(
         F.col("_lang").alias("lang"),
@@ -121,7 +138,7 @@ def features(docs: DataFrame, text: str = "text", lang: str = "lang", limits: Li
 
 def references(rows: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """(lang, ref_chars, ref_words): mean histograms of the long enough documents; at most one row a known language."""
-    n, m = len(CHAR_CLASSES) + 1, len(CODES) + 1
+    n, m = len(CHAR_CLASSES) + 1, limits.n_common + 1
     long = rows.filter((F.col("_q.n_chars") >= limits.judge_chars) & (F.col("_q.n_words") >= limits.judge_words))
     means = long.groupBy(F.col("_q.lang").alias("lang")).agg(
         F.array(*[F.round(F.avg(F.col("_q.char_share")[i]), 9) for i in range(n)]).alias("ref_chars"),
@@ -143,25 +160,37 @@ def _distance(p: Column, q: Column, n: int) -> Column:
 
 
 def judge(rows: DataFrame, refs: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    """rows (of `features`) with base_failed, char_distance, word_distance (null where not judged) and kept."""
+    """rows (of `features`) with base_failed, char_distance, word_distance (null where not judged) and kept.
+
+    With word_reach, a text's words are too far at that share of the distance at which a text without common words
+    would be: clean texts end below, gibberish is at 1, and common words of another language add to it. A reference
+    without common words judges none.
+    """
     names = [F.col(f"`{c}`") for c in rows.columns]
     got = rows.join(F.broadcast(refs.withColumnRenamed("lang", "_ref")), F.col("_q.lang") == F.col("_ref"), "left")
     q = lambda k: F.col(f"_q.{k}")
     long = (q("n_chars") >= limits.judge_chars) & (q("n_words") >= limits.judge_words)
     failed = (q("n_words") < limits.min_words) | (100 * q("n_repeat_words") > limits.repeat_percent * q("n_words"))
+    n_shares = limits.n_common + 1
+    edge = F.lit(limits.max_word_distance)
+    if limits.word_reach is not None:
+        bare = [F.lit(0.0)] * limits.n_common + [F.lit(1.0)]  # a text without common words
+        bare = _distance(bare, F.col("ref_words"), n_shares)
+        edge = F.when(bare > 0, limits.word_reach * bare).otherwise(F.lit(1.0))
     got = got.select(
         *names,
         failed.alias("base_failed"),
         F.when(long, _distance(q("char_share"), F.col("ref_chars"), len(CHAR_CLASSES) + 1)).alias("char_distance"),
-        F.when(long & (q("lang") != OTHER), _distance(q("word_share"), F.col("ref_words"), len(CODES) + 1)).alias("word_distance"),
+        F.when(long & (q("lang") != OTHER), _distance(q("word_share"), F.col("ref_words"), n_shares)).alias("word_distance"),
+        edge.alias("_edge"),
     )
     far = (F.coalesce(F.col("char_distance"), F.lit(0.0)) > limits.max_char_distance) | (
-        F.coalesce(F.col("word_distance"), F.lit(0.0)) > limits.max_word_distance
+        F.coalesce(F.col("word_distance"), F.lit(0.0)) > F.coalesce(F.col("_edge"), F.lit(1.0))
     )
-    return got.withColumn("kept", ~F.col("base_failed") & ~far)
+    return got.withColumn("kept", ~F.col("base_failed") & ~far).drop("_edge")
 
 
-def keep_good(spark: SparkSession, docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
+def keep_good(spark: SparkSession, docs: DataFrame, limits: Limits = PIPELINE) -> DataFrame:
     """The rows of docs that pass all rules, with docs' columns."""
     hidden = {c: f"_x{i}" for i, c in enumerate(docs.columns)}  # so that no column clashes with those of judge
     plain = docs.toDF(*hidden.values())

@@ -264,6 +264,18 @@ def test_quality_rules(spark, sf):
         assert r.base_failed == (n < 10 or 100 * len(covered) > 20 * n) and (not r.base_failed or not r.kept)
 
 
+def test_gibberish_and_wrong_language_go(spark):
+    rng = random.Random(8)
+    letters = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(5, 9)))
+    common = quality_rules.COMMON
+    text = lambda k, share=0.25: " ".join(rng.choice(common[k]) if rng.random() < share else letters() for _ in range(300))
+    rows = [(f"clean {k} {i}", text(k), k) for k in common for i in range(30)]
+    rows += [(f"gibberish {k}", text(k, 0), k) for k in common] + [(f"{j} as {k}", text(j), k) for j in common for k in common if j != k]
+    df = spark.createDataFrame(rows, "doc_id string, text string, lang string")
+    kept = {r.doc_id for r in quality_rules.keep_good(spark, df).collect()}
+    assert kept == {i for i, *_ in rows if i.startswith("clean")}
+
+
 def test_suffix_array():
     rng = random.Random(6)
     for _ in range(200):
