@@ -3,7 +3,7 @@
 `features` is row-local (SQL functions only). For each document it holds two histograms: shares of character classes,
 and shares of a language's common words. A language's reference is the mean histogram of its long enough documents,
 over the whole corpus (`references`: one row a language of a fixed list, so it is safe to broadcast). `judge` rejects
-a document whose Jensen-Shannon distance from its reference is too large; short documents are never judged by it.
+a document whose Jensen-Shannon distance from its reference is too large; no histogram of a short document is judged.
 
 Edge cases: a null text has no words; an unknown or null language has the reference of all such documents and no
 common words; with no words a document fails the base rules (under 10 words). Other columns pass through.
@@ -56,13 +56,16 @@ class Limits:
     #: its reference (see `judge`). None: against those of the text's own language, at max_word_distance.
     word_reach: float | None = None
 
+    #: Guard the histogram of characters by characters only and that of words by words only, instead of each by both.
+    apart: bool = False
+
     @property
     def n_common(self) -> int:
         return 12 if self.word_reach is None else len(EVERY)
 
 
 #: What the pipeline drops by. The registered query keeps the defaults, which its SQL twin states.
-PIPELINE = Limits(word_reach=0.85)
+PIPELINE = Limits(word_reach=0.85, apart=True)
 
 
 def _repeats(w: Column, size: int) -> Column:
@@ -136,13 +139,19 @@ def features(docs: DataFrame, text: str = "text", lang: str = "lang", limits: Li
     return df.select(*names, q.alias("_q"))
 
 
+def _long(limits: Limits) -> tuple[Column, Column]:
+    """Whether a text is long enough for its histogram of characters, and of words."""
+    chars, words = F.col("_q.n_chars") >= limits.judge_chars, F.col("_q.n_words") >= limits.judge_words
+    return (chars, words) if limits.apart else (chars & words, chars & words)
+
+
 def references(rows: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """(lang, ref_chars, ref_words): mean histograms of the long enough documents; at most one row a known language."""
     n, m = len(CHAR_CLASSES) + 1, limits.n_common + 1
-    long = rows.filter((F.col("_q.n_chars") >= limits.judge_chars) & (F.col("_q.n_words") >= limits.judge_words))
-    means = long.groupBy(F.col("_q.lang").alias("lang")).agg(
-        F.array(*[F.round(F.avg(F.col("_q.char_share")[i]), 9) for i in range(n)]).alias("ref_chars"),
-        F.array(*[F.round(F.avg(F.col("_q.word_share")[i]), 9) for i in range(m)]).alias("ref_words"),
+    chars, words = _long(limits)
+    means = rows.filter(chars | words).groupBy(F.col("_q.lang").alias("lang")).agg(
+        F.array(*[F.round(F.avg(F.when(chars, F.col("_q.char_share")[i])), 9) for i in range(n)]).alias("ref_chars"),
+        F.array(*[F.round(F.avg(F.when(words, F.col("_q.word_share")[i])), 9) for i in range(m)]).alias("ref_words"),
     )
     return means
 
@@ -169,7 +178,7 @@ def judge(rows: DataFrame, refs: DataFrame, limits: Limits = Limits()) -> DataFr
     names = [F.col(f"`{c}`") for c in rows.columns]
     got = rows.join(F.broadcast(refs.withColumnRenamed("lang", "_ref")), F.col("_q.lang") == F.col("_ref"), "left")
     q = lambda k: F.col(f"_q.{k}")
-    long = (q("n_chars") >= limits.judge_chars) & (q("n_words") >= limits.judge_words)
+    chars, words = _long(limits)
     failed = (q("n_words") < limits.min_words) | (100 * q("n_repeat_words") > limits.repeat_percent * q("n_words"))
     n_shares = limits.n_common + 1
     edge = F.lit(limits.max_word_distance)
@@ -180,8 +189,8 @@ def judge(rows: DataFrame, refs: DataFrame, limits: Limits = Limits()) -> DataFr
     got = got.select(
         *names,
         failed.alias("base_failed"),
-        F.when(long, _distance(q("char_share"), F.col("ref_chars"), len(CHAR_CLASSES) + 1)).alias("char_distance"),
-        F.when(long & (q("lang") != OTHER), _distance(q("word_share"), F.col("ref_words"), n_shares)).alias("word_distance"),
+        F.when(chars, _distance(q("char_share"), F.col("ref_chars"), len(CHAR_CLASSES) + 1)).alias("char_distance"),
+        F.when(words & (q("lang") != OTHER), _distance(q("word_share"), F.col("ref_words"), n_shares)).alias("word_distance"),
         edge.alias("_edge"),
     )
     far = (F.coalesce(F.col("char_distance"), F.lit(0.0)) > limits.max_char_distance) | (

@@ -276,6 +276,17 @@ def test_gibberish_and_wrong_language_go(spark):
     assert kept == {i for i, *_ in rows if i.startswith("clean")}
 
 
+def test_each_histogram_has_its_own_guard(spark):
+    rng = random.Random(9)
+    word = lambda a, n: "".join(rng.choice(a) for _ in range(n))
+    low, high = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/"
+    rows = [(f"clean {i}", " ".join(rng.choice(["the", "of", word(low, 6), word(low, 7)]) for _ in range(100)), "en") for i in range(40)]
+    rows += [("dump", "\n".join(word(high, 64) for _ in range(50)), "en"), ("short", " ".join(word(low, 1) for _ in range(80)), "en")]
+    df = spark.createDataFrame(rows, "doc_id string, text string, lang string")
+    kept = {r.doc_id for r in quality_rules.keep_good(spark, df).collect()}
+    assert kept == {i for i, *_ in rows if i.startswith("clean")}
+
+
 def test_suffix_array():
     rng = random.Random(6)
     for _ in range(200):
