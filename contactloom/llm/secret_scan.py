@@ -4,7 +4,8 @@ Everything is row-local and built from SQL functions. For each pattern the text
 (`regexp_extract_all`) and gaps (`split`); running lengths give code-point positions. A candidate (a long run of the
 characters of a class) is walked once by `aggregate`, whose state holds the counts of the window's characters and the
 sum of c*log2(c): each step adds one character, removes one, and so knows the window's Shannon entropy. Windows at
-or above the class's threshold merge into spans, unless the candidate is on the allow-list.
+or above the class's threshold merge into spans, but for those that overlap a text on the allow-list: candidates are
+walked in the pieces between such texts.
 
 Edge cases: a null text counts as empty; an empty one has no spans; equal rows give equal results; other columns are
 ignored by `scan`'s result unless named in `keep`.
@@ -48,14 +49,17 @@ CLASSES = (
         3.9,
         ("[0-9]", "[A-Z]", "[a-z]"),
     ),
+    # base32 seeds and base36 keys: one case and digits
+    EntropyClass("entropy_upper", "[A-Z0-9]", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", 16, 3.25, ("[0-9]", "[A-Z]")),
+    EntropyClass("entropy_lower", "[a-z0-9]", "abcdefghijklmnopqrstuvwxyz0123456789", 20, 3.5, ("[0-9]", "[a-z]")),
 )
 
-#: Candidates that hold one of these are known not to be secrets: placeholders, counting strings, UUID-like dashes.
+#: Known not to be secrets: placeholders, counting strings, UUID-like dashes, runs of one character.
 ALLOW = (
     r"(?i)example|placeholder|changeme|dummy",
     r"(?i)0123456789|abcdefghijkl",
-    r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
-    r"(.)\1{7}",
+    r"(?<![0-9a-fA-F])[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}(?![0-9a-fA-F])",
+    r"(?<same>.)\k<same>{7,}",
 )
 
 
@@ -77,6 +81,27 @@ def _place(kind: str, gaps: Column, found: Column, good) -> Column:
     return F.when(F.size(found) > 0, placed).otherwise(_no_spans())
 
 
+def _pieces(text: Column, known: str) -> Column:
+    """Stretches of the text between matches of known, as structs of a and b."""
+    whole = F.array(F.struct(F.lit(0).alias("a"), F.length(text).alias("b")))
+    if not known:
+        return whole
+
+    def cut(x: Column) -> Column:
+        gaps, found = x["gaps"], x["found"]
+        zero = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<a:int,b:int>>)").alias("out"))
+
+        def step(acc: Column, i: Column) -> Column:
+            end = acc["at"] + F.length(F.get(gaps, i))
+            after = end + F.coalesce(F.length(F.get(found, i)), F.lit(0))
+            return F.struct(after.alias("at"), F.concat(acc["out"], F.array(F.struct(acc["at"].alias("a"), end.alias("b")))).alias("out"))
+
+        return F.aggregate(F.sequence(F.lit(0), F.size(gaps) - 1), zero, step, lambda acc: acc["out"])
+
+    both = F.struct(F.split(text, known, -1).alias("gaps"), F.regexp_extract_all(text, F.lit(known), F.lit(0)).alias("found"))
+    return F.when(text.rlike(known), F.transform(F.array(both), cut)[0]).otherwise(whole)
+
+
 def _windows(kind: EntropyClass, text: Column, base: Column) -> Column:
     """Merged spans (relative to base) of the windows of one candidate whose entropy is high enough."""
     w = kind.window
@@ -141,6 +166,7 @@ def scan(
     are left out.
     """
     t = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    known = "|".join(f"(?:{x})" for x in allow)
     kinds = {"assign": ASSIGN, "access": ACCESS, "hex": HEX} | {c.kind: f"{c.chars}{{{c.window},}}" for c in classes}
     found = docs.select(*keep, t.alias("_t")).select(
         *keep, "_t", *[F.regexp_extract_all("_t", F.lit(p), F.lit(0)).alias(f"_m_{k}") for k, p in kinds.items()]
@@ -163,8 +189,6 @@ def scan(
             ok = F.lit(True)
             for need in c.needs:
                 ok = ok & s.rlike(need)
-            for known in allow:
-                ok = ok & ~s.rlike(known)
             return ok
 
         good[c.kind] = fits
@@ -182,8 +206,14 @@ def scan(
         )
 
     def windows(c: EntropyClass) -> Column:
-        per = F.transform(F.col(f"_s_{c.kind}"), lambda s: _windows(c, F.substring(F.col("_t"), s["start"] + 1, s["end"] - s["start"]), s["start"]))
-        return F.when(F.size(f"_s_{c.kind}") > 0, F.flatten(per)).otherwise(_no_spans())
+        part = lambda a, b: F.substring(F.col("_t"), a + 1, b - a)
+
+        def walked(s: Column) -> Column:
+            long = F.filter(_pieces(part(s["start"], s["end"]), known), lambda p: p["b"] - p["a"] >= c.window)
+            at = lambda p: s["start"] + p["a"]
+            return F.flatten(F.transform(long, lambda p: _windows(c, part(at(p), s["start"] + p["b"]), at(p))))
+
+        return F.when(F.size(f"_s_{c.kind}") > 0, F.flatten(F.transform(F.col(f"_s_{c.kind}"), walked))).otherwise(_no_spans())
 
     base = [F.col("_s_assign"), F.col("_s_access"), F.col("_s_hex")]
     added = [windows(c) for c in classes]

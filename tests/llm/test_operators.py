@@ -101,6 +101,22 @@ def test_entropy_windows(spark):
         assert got[i] == merged
 
 
+def test_known_text_spares_only_itself(spark):
+    rng = random.Random(3)
+    key = lambda n, a=secret_scan.CLASSES[1].alphabet[:62]: "".join(rng.choice(a) for _ in range(n))
+    a, b, base36, base32 = key(40), key(60), key(32, "abcdefghijklmnopqrstuvwxyz0123456789"), key(32, "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
+    rows = [
+        ("run", f"x {a}AAAAAAAAAAAA{b} y", "x [SECRET]AAAAAAAAAAAA[SECRET] y"),
+        ("word", f"x /example/{a} y", "x /example[SECRET] y"),
+        ("count", f"x {a}-abcdefghijkl y", "x [SECRET]abcdefghijkl y"),
+        ("base36", f"x {base36} y", "x [SECRET] y"),
+        ("base32", f"x {base32} y", "x [SECRET] y"),
+        *[(t, f"x {t} y", f"x {t} y") for t in ("thisIsAnExample/OfAPath1", "550e8400-e29b-41d4-a716-446655440000", "internationalization", "Z" * 40)],
+    ]
+    out = secret_scan.mask(spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id string, text string"))
+    assert {r.doc_id: r.text for r in out.collect()} == {i: t for i, _, t in rows}
+
+
 def test_mask_keeps_columns(spark):
     df = spark.createDataFrame([(1, "a token=abcdefgh12345678 b", 5, 1), (2, None, 6, 1)], "doc_id long, text string, base int, spans int")
     out = secret_scan.mask(df)
