@@ -1,15 +1,15 @@
 """LM scoring: a hierarchical Pitman-Yor model of words, seated by Gibbs sampling.
 
 Every context has a restaurant whose customers are the words that follow it; its tables are customers of the one
-parent restaurant, whose base is uniform over the known words and one unknown one. A context is the class of the word
-before, one of `contexts` classes by hash (frequent words in effect have one each), or the start of a text. So the
-sums per context are a vector of fixed length, and all that belongs to one word meets in one bucket.
+parent restaurant, whose base is uniform over the known words and one unknown one. A context is the word before, by its
+64-bit hash, or the start of a text. All that belongs to one word meets in one bucket.
 
 Batches send their distinct words, and (word, context) pairs, with training counts. A bucket merges them and samples:
 for each pair the customers are seated one after another (later ones in growing blocks), given the parent's
-probability of the word; then the parent's own tables. What a bucket needs of all others are totals per context,
-exchanged between passes (the vector, summed by Spark). After the last exchange the tables are averaged over samples,
-and the predictive terms are answered to the batches, which score their texts.
+probability of the word; then the parent's own tables. What a bucket needs of all others are totals of its contexts:
+between passes it sends its own sums to the buckets of the contexts, which answer with the totals. After the last
+exchange the tables are averaged over samples, and the predictive terms are answered to the batches, which score
+their texts.
 
 Edge cases: a null text is empty (its only token is the end); a null doc_id counts as the empty text for the split,
 and so is held out; with no training documents all counts are zero and scores are those of the uniform base; repeated
@@ -27,16 +27,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contactloom.llm.common import Batch, batch_documents, buckets_for, deal, mix, pack, unpack, words_of, write_table
+from contactloom.llm.common import Batch, answers, batch_documents, buckets_for, deal, mix, pack, requests, unpack, words_of, write_table
 
 END = mix(np.array([0x454E44], np.uint64))[0]
-ROOM = 1 << 14  # pair codes hold a context below this
+START = mix(np.array([0x5354415254], np.uint64))[0]
 
 
 @dataclass(frozen=True)
 class Settings:
-    #: At most ROOM - 1 classes of the word before.
-    contexts: int = 4096
     strength: float = 5.0
     parent_strength: float = 50.0
     #: Sweeps of each pass before the last, of the last pass before its samples, and samples that are averaged.
@@ -50,21 +48,20 @@ class Settings:
 
 @dataclass(frozen=True)
 class Totals:
-    """What is known of the whole corpus: numbers, and customers and tables of each context."""
+    """Numbers of the whole corpus; `tables` are those of all contexts."""
 
     tokens: int
     types: int
     discount: float
     parent_discount: float
-    customers: np.ndarray
-    tables: np.ndarray
+    tables: float
     parent_tables: float
 
 
 class Tokens:
     """Tokens of a batch by document, their distinct words in bucket order, and (word, context) pairs in word order."""
 
-    def __init__(self, batch: Batch, contexts: int, n: int):
+    def __init__(self, batch: Batch, n: int):
         _, _, h, first = words_of(batch, lower=True)
         size = first[1:] - first[:-1]
         docs = np.arange(batch.n)
@@ -74,9 +71,10 @@ class Tokens:
         tok[self.ends] = END
         self.first = first[:-1] + docs
         self.size = size + 1
-        before = np.empty(len(tok), np.int64)
-        before[1:] = (tok[:-1] >> np.uint64(40)) % np.uint64(contexts)
-        before[self.first] = contexts
+        before = np.empty(len(tok), np.uint64)
+        before[1:] = tok[:-1]
+        before[self.first] = START
+        contexts, before = np.unique(before, return_inverse=True)
         names = ["" if z else str(i) for i, z in zip(batch.ids.tolist(), batch.null.tolist(), strict=True)]
         self.held_out = np.array([zlib.crc32(x.encode()) % 10 == 0 for x in names], np.bool_)
         train = np.repeat(~self.held_out, self.size).astype(np.float64)
@@ -86,18 +84,17 @@ class Tokens:
         at[order] = np.arange(len(words))
         self.words, self.word = words[order], at[place]
         self.count = np.bincount(self.word, weights=train, minlength=len(words)).astype(np.uint32)
-        codes, self.pair = np.unique(self.word * ROOM + before, return_inverse=True)
+        codes, self.pair = np.unique(self.word * len(contexts) + before, return_inverse=True)
         self.pair_count = np.bincount(self.pair, weights=train, minlength=len(codes)).astype(np.uint32)
-        self.context = codes % ROOM
-        self.before = before
-        self.pairs = np.bincount(codes // ROOM, minlength=len(words)).astype(np.uint32)
+        self.context = contexts[codes % max(len(contexts), 1)]
+        self.pairs = np.bincount(codes // max(len(contexts), 1), minlength=len(words)).astype(np.uint32)
         self.pair_bounds = np.concatenate([[0], np.cumsum(self.pairs, dtype=np.int64)])[self.bounds]
 
     def requests(self, batch: int) -> pd.DataFrame:
         rows = []
         for b in np.flatnonzero(self.bounds[1:] > self.bounds[:-1]).tolist():
             w, p = slice(self.bounds[b], self.bounds[b + 1]), slice(self.pair_bounds[b], self.pair_bounds[b + 1])
-            blob = pack(key=self.words[w], count=self.count[w], pairs=self.pairs[w], context=self.context[p].astype(np.uint16), pair_count=self.pair_count[p])
+            blob = pack(key=self.words[w], count=self.count[w], pairs=self.pairs[w], context=self.context[p], pair_count=self.pair_count[p])
             rows.append((b, batch, blob))
         return pd.DataFrame(rows, columns=["bucket", "batch", "blob"])
 
@@ -112,12 +109,18 @@ class Bucket:
         self.pair_sizes = [len(p["context"]) for p in parts]
         words, self.place = np.unique(cat("key"), return_inverse=True)
         self.count = np.bincount(self.place, weights=cat("count"), minlength=len(words)).astype(np.int64)
-        codes, self.pair_place = np.unique(np.repeat(self.place, cat("pairs")) * ROOM + cat("context").astype(np.int64), return_inverse=True)
+        self.contexts, context = np.unique(cat("context"), return_inverse=True)
+        codes, self.pair_place = np.unique(np.repeat(self.place, cat("pairs")) * len(self.contexts) + context, return_inverse=True)
         c = np.bincount(self.pair_place, weights=cat("pair_count"), minlength=len(codes)).astype(np.int64)
-        self.n_pairs = len(codes)
+        self.pair_word, self.pair_context, self.pair_count = codes // len(self.contexts), codes % len(self.contexts), c
         self.seated = np.flatnonzero(c)  # pairs with customers
-        self.word, self.context, self.c = codes[self.seated] // ROOM, codes[self.seated] % ROOM, c[self.seated]
-        self.n_words = len(words)
+        self.word, self.context, self.c = self.pair_word[self.seated], self.pair_context[self.seated], c[self.seated]
+        self.words, self.n_words = words, len(words)
+
+    def request(self) -> bytes:
+        """One request that stands for all merged ones."""
+        pairs = np.bincount(self.pair_word, minlength=self.n_words)
+        return pack(key=self.words, count=self.count, pairs=pairs, context=self.contexts[self.pair_context], pair_count=self.pair_count)
 
 
 def seat(c: np.ndarray, fresh: np.ndarray, discount: float, rng: np.random.Generator) -> np.ndarray:
@@ -143,8 +146,8 @@ def seat(c: np.ndarray, fresh: np.ndarray, discount: float, rng: np.random.Gener
 class Sampler:
     """Gibbs sweeps over one bucket, the totals of all others held fixed."""
 
-    def __init__(self, b: Bucket, t: Totals, cfg: Settings, number: int, turn: int):
-        self.b, self.t, self.cfg = b, t, cfg
+    def __init__(self, b: Bucket, t: Totals, rooms: np.ndarray, cfg: Settings, number: int, turn: int):
+        self.b, self.t, self.rooms, self.cfg = b, t, rooms, cfg
         self.rng = np.random.Generator(np.random.PCG64([cfg.seed, number, turn]))
         self.tables = np.ones(len(b.c))
         self.customers = np.bincount(b.word, weights=self.tables, minlength=b.n_words)
@@ -156,14 +159,14 @@ class Sampler:
 
     def sweep(self) -> None:
         t, cfg, b = self.t, self.cfg, self.b
-        p = (self.customers - t.parent_discount * self.parent + self.base()) / (cfg.parent_strength + t.tables.sum())
-        fresh = (cfg.strength + t.discount * t.tables[b.context]) * p[b.word]
+        p = (self.customers - t.parent_discount * self.parent + self.base()) / (cfg.parent_strength + t.tables)
+        fresh = (cfg.strength + t.discount * self.rooms[b.context]) * p[b.word]
         self.tables = seat(b.c, fresh, t.discount, self.rng)
         self.customers = np.bincount(b.word, weights=self.tables, minlength=b.n_words)
         self.parent = seat(self.customers.astype(np.int64), np.full(b.n_words, self.base()), t.parent_discount, self.rng)
 
     def averages(self) -> tuple[np.ndarray, np.ndarray]:
-        """(tables of each pair, tables of each word at the parent), averaged over samples; always the same ones."""
+        """(tables of each pair, tables of each word at the parent), averaged over samples."""
         for _ in range(self.cfg.burn):
             self.sweep()
         tables, parent = np.zeros(len(self.b.c)), np.zeros(self.b.n_words)
@@ -174,51 +177,49 @@ class Sampler:
         return tables / self.cfg.samples, parent / self.cfg.samples
 
 
-SUMS = "context int, customers double, tables double, tokens double, types double, one double, two double, parent_one double, parent_two double, parent double"
+#: Rows to a bucket of contexts, or (bucket -1) the numbers and the tables of one bucket of words.
+NUMBERS = ("tokens", "types", "one", "two", "parent_one", "parent_two", "parent", "tables")
+SUMS = "bucket int, batch int, blob binary, " + ", ".join(f"{c} double" for c in NUMBERS)
+ROWS = "bucket int, batch long, blob binary"
 
 
-def _sums(buckets: DataFrame, cfg: Settings, call) -> pd.DataFrame:
-    """Sums over all buckets; call(bucket number, Bucket) -> (tables per pair, tables at the parent).
+def _sums(number: int, b: Bucket, tables: np.ndarray, parent: np.ndarray, n: int) -> pd.DataFrame:
+    per = [np.bincount(b.context, weights=w, minlength=len(b.contexts)) for w in (b.c, tables)]
+    rooms = np.bincount(b.word, minlength=b.n_words)
+    own = [b.count.sum(), (b.count > 0).sum(), (b.c == 1).sum(), (b.c == 2).sum(), (rooms == 1).sum(), (rooms == 2).sum(), parent.sum(), tables.sum()]
+    rows = requests(number, b.contexts, n, customers=per[0].astype(np.int64), tables=per[1].astype(np.float32)).assign(**dict.fromkeys(NUMBERS, 0.0))
+    state = pack(tables=tables.astype(np.float32), parent=parent.astype(np.float32))
+    rows.loc[len(rows)] = [-1, number, state, *map(float, own)]
+    return rows
 
-    One row a context and partition goes into the sum, and one row a context to the driver.
-    """
-    n = cfg.contexts + 1
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total, extra = np.zeros((2, n)), np.zeros(7)
-        for f in frames:
-            for number, blobs in zip(f["bucket"].tolist(), f["blobs"], strict=True):
-                b = Bucket(list(blobs))
-                tables, parent = call(number, b)
-                total += [np.bincount(b.context, weights=w, minlength=n) for w in (b.c, tables)]
-                rooms = np.bincount(b.word, minlength=b.n_words)
-                extra += [b.count.sum(), (b.count > 0).sum(), (b.c == 1).sum(), (b.c == 2).sum(), (rooms == 1).sum(), (rooms == 2).sum(), parent.sum()]
-        out = pd.DataFrame({"context": np.arange(n), "customers": total[0], "tables": total[1]})
-        for i, c in enumerate(("tokens", "types", "one", "two", "parent_one", "parent_two", "parent")):
-            out[c] = np.where(np.arange(n) == 0, extra[i], 0.0)
-        yield out
-
-    rows = buckets.mapInPandas(run, SUMS)
-    return rows.groupBy("context").agg(*[F.sum(c).alias(c) for c in rows.columns[1:]]).toPandas().sort_values("context", ignore_index=True)
-
-
-def _totals(s: pd.DataFrame, cfg: Settings, old: Totals | None) -> Totals:
-    if not len(s):
-        z = np.zeros(cfg.contexts + 1)
-        return Totals(0, 0, 0.5, 0.5, z, z, 0.0)
-    x = s.sum()
+def _totals(sums: DataFrame, old: Totals | None) -> Totals:
+    x = sums.filter("bucket = -1").agg(*[F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in NUMBERS]).first()
     share = lambda one, two: min(0.95, max(0.05, one / (one + 2 * two))) if one else 0.5
     return Totals(
         int(x["tokens"]),
         int(x["types"]),
         old.discount if old else share(x["one"], x["two"]),
         old.parent_discount if old else share(x["parent_one"], x["parent_two"]),
-        s["customers"].to_numpy(),
-        s["tables"].to_numpy(),
+        float(x["tables"]),
         float(x["parent"]),
     )
 
 
+def _replies(sums: DataFrame) -> DataFrame:
+    """(bucket of contexts, bucket of words, totals of the contexts that the latter asked for)."""
+
+    def merged(frame: pd.DataFrame) -> pd.DataFrame:
+        parts = [unpack(x) for x in frame["blob"]]
+        keys, place = np.unique(np.concatenate([p["key"] for p in parts]), return_inverse=True)
+        sums = {k: np.bincount(place, weights=np.concatenate([p[k] for p in parts]), minlength=len(keys)) for k in ("customers", "tables")}
+        cuts = np.cumsum([len(p["key"]) for p in parts])[:-1]
+        blobs = [pack(customers=sums["customers"][mine].astype(np.int64), tables=sums["tables"][mine].astype(np.float32)) for mine in np.split(place, cuts)]
+        return pd.DataFrame({"bucket": frame["bucket"], "batch": frame["batch"], "blob": blobs})
+
+    return sums.filter("bucket >= 0").select("bucket", "batch", "blob").groupBy("bucket").applyInPandas(merged, "bucket int, batch int, blob binary")
+
+
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
@@ -230,7 +231,7 @@ def score(spark: SparkSession, docs: DataFrame, cfg: Settings = Settings()) -> D
     def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             for number, blob in zip(f["batch"].tolist(), f["blob"], strict=True):
-                yield Tokens(Batch(blob), cfg.contexts, n).requests(number)
+                yield Tokens(Batch(blob), n).requests(number)
 
     def gather(frame: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"bucket": [int(frame["bucket"].iloc[0])], "batches": [frame["batch"].tolist()], "blobs": [frame["blob"].tolist()]})
@@ -239,56 +240,76 @@ def score(spark: SparkSession, docs: DataFrame, cfg: Settings = Settings()) -> D
     buckets = asked.groupBy("bucket").applyInPandas(gather, "bucket int, batches array<long>, blobs array<binary>")
     buckets = write_table(spark, buckets, "words")
 
-    totals = _totals(_sums(buckets, cfg, lambda _, b: (np.ones(len(b.c)), np.ones(int((b.count > 0).sum())))), cfg, None)
-    for turn in range(cfg.passes):
+    def merge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            yield pd.DataFrame({"bucket": f["bucket"], "blob": [Bucket(list(blobs)).request() for blobs in f["blobs"]]})
 
-        def sampled(number: int, b: Bucket, totals: Totals = totals, turn: int = turn) -> tuple[np.ndarray, np.ndarray]:
-            s = Sampler(b, totals, cfg, number, turn)
+    def begin(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            for number, blob in zip(f["bucket"].tolist(), f["blob"], strict=True):
+                b = Bucket([blob])
+                yield _sums(number, b, np.ones(len(b.c)), np.ones(int((b.count > 0).sum())), n)
+
+    counts = write_table(spark, buckets.mapInPandas(merge, "bucket int, blob binary"), "counts")
+    sums = write_table(spark, counts.mapInPandas(begin, SUMS), "sums")
+    totals = _totals(sums, None)
+
+    def sampler(totals: Totals, turn: int):
+        def sampled(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+            b = Bucket(left["blob"].tolist())
+            s = Sampler(b, totals, answers(b.contexts, n, right, "tables", np.float64), cfg, int(key[0]), turn)
+            if turn == cfg.passes:
+                return _sums(int(key[0]), b, *s.averages(), n)
             for _ in range(cfg.sweeps):
                 s.sweep()
-            return s.tables, s.parent
+            return _sums(int(key[0]), b, s.tables, s.parent, n)
 
-        totals = _totals(_sums(buckets, cfg, sampled), cfg, totals)
+        return sampled
 
-    # the averages' own totals make the predictive probabilities of each context sum to one
-    last = _totals(_sums(buckets, cfg, lambda number, b: Sampler(b, totals, cfg, number, cfg.passes).averages()), cfg, totals)
+    for turn in range(cfg.passes + 1):
+        known = counts.groupBy("bucket").cogroup(_replies(sums).groupBy("batch"))
+        sums = write_table(spark, known.applyInPandas(sampler(totals, turn), SUMS), "sums")
+        totals = _totals(sums, totals)
 
-    def answer(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            for number, batches_, blobs in zip(f["bucket"].tolist(), f["batches"], f["blobs"], strict=True):
-                b = Bucket(list(blobs))
-                tables, parent = Sampler(b, totals, cfg, number, cfg.passes).averages()
-                pairs = np.zeros(b.n_pairs)
-                pairs[b.seated] = b.c - last.discount * tables
-                words = np.bincount(b.word, weights=tables, minlength=b.n_words) - last.parent_discount * parent
-                w, p, rows = 0, 0, []
-                for batch, size, pair_size in zip(list(batches_), b.sizes, b.pair_sizes, strict=True):
-                    mine, own = b.place[w : w + size], b.pair_place[p : p + pair_size]
-                    blob = pack(count=b.count[mine].astype(np.int64), words=words[mine].astype(np.float32), pairs=pairs[own].astype(np.float32))
-                    rows.append((number, int(batch), blob))
-                    w, p = w + size, p + pair_size
-                yield pd.DataFrame(rows, columns=["bucket", "batch", "blob"])
+    # the averages' own totals make the predictive probabilities of each context sum to one
+    last = totals
+    back = _replies(sums).unionByName(sums.filter("bucket = -1").select("bucket", "batch", "blob"))
+
+    def answer(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        rows, replied = [], right[right["bucket"] >= 0]
+        for batches_, blobs in zip(left["batches"], left["blobs"], strict=True):
+            b = Bucket(list(blobs))
+            customers, rooms = (answers(b.contexts, n, replied, k, np.float64) for k in ("customers", "tables"))
+            state = unpack(right["blob"][right["bucket"] < 0].iloc[0])
+            pairs = np.zeros(len(b.pair_word))
+            pairs[b.seated] = b.c - last.discount * state["tables"]
+            words = np.bincount(b.word, weights=state["tables"], minlength=b.n_words) - last.parent_discount * state["parent"]
+            base = (cfg.parent_strength + last.parent_discount * last.parent_tables) / (last.types + 1)
+            parent = (words + base) / (cfg.parent_strength + last.tables)
+            weight = cfg.strength + last.discount * rooms[b.pair_context]
+            model = np.log10((pairs + weight * parent[b.pair_word]) / (cfg.strength + customers[b.pair_context])).astype(np.float32)
+            w, p = 0, 0
+            for batch, size, pair_size in zip(list(batches_), b.sizes, b.pair_sizes, strict=True):
+                mine, own = b.place[w : w + size], b.pair_place[p : p + pair_size]
+                rows.append((int(key[0]), int(batch), pack(count=b.count[mine].astype(np.int64), model=model[own])))
+                w, p = w + size, p + pair_size
+        return pd.DataFrame(rows, columns=["bucket", "batch", "blob"])
 
     def finish(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        frames = [_scored(Batch(blob), right, last, cfg, n) for blob in left["blob"]]
+        frames = [_scored(Batch(blob), right, last, n) for blob in left["blob"]]
         return pd.concat(frames, ignore_index=True) if frames else pd.DataFrame(columns=[c.split()[0] for c in SCORES.split(", ")])
 
-    replies = buckets.mapInPandas(answer, "bucket int, batch long, blob binary")
+    replies = buckets.groupBy("bucket").cogroup(back.groupBy("batch")).applyInPandas(answer, ROWS)
     return batches.groupBy("batch").cogroup(replies.groupBy("batch")).applyInPandas(finish, SCORES)
 
 
-def _scored(batch: Batch, rows: pd.DataFrame, t: Totals, cfg: Settings, n: int) -> pd.DataFrame:
-    x = Tokens(batch, cfg.contexts, n)
-    count, words, pairs = np.zeros(len(x.words)), np.zeros(len(x.words)), np.zeros(len(x.context))
+def _scored(batch: Batch, rows: pd.DataFrame, t: Totals, n: int) -> pd.DataFrame:
+    x = Tokens(batch, n)
+    count, model = np.zeros(len(x.words)), np.zeros(len(x.context))
     for b, blob in zip(rows["bucket"].tolist(), rows["blob"], strict=True):
         got = unpack(blob)
         count[x.bounds[b] : x.bounds[b + 1]] = got["count"]
-        words[x.bounds[b] : x.bounds[b + 1]] = got["words"]
-        pairs[x.pair_bounds[b] : x.pair_bounds[b + 1]] = got["pairs"]
-    base = (cfg.parent_strength + t.parent_discount * t.parent_tables) / (t.types + 1)
-    parent = (words[x.word] + base) / (cfg.parent_strength + t.tables.sum())
-    back = cfg.strength + t.discount * t.tables[x.before]
-    model = np.log10((pairs[x.pair] + back * parent) / (cfg.strength + t.customers[x.before]))
+        model[x.pair_bounds[b] : x.pair_bounds[b + 1]] = got["model"]
     c = count[x.word]
     plain = np.log10((c + 0.1) / (t.tokens + 0.1 * (t.types + 1)))
     add = lambda v: np.add.reduceat(v, x.first) if len(x.first) else v
@@ -299,7 +320,7 @@ def _scored(batch: Batch, rows: pd.DataFrame, t: Totals, cfg: Settings, n: int)
             "n_known": add((c > 0).astype(np.int64)),
             "train_tokens": np.full(batch.n, t.tokens, np.int64),
             "base_score": add(plain),
-            "score": add(model),
+            "score": add(model[x.pair]),
         }
     )
     out.insert(0, "doc_id", batch.id_column())

@@ -430,3 +430,19 @@ def test_pitman_yor_sums_to_one():
     c = rng.integers(1, 40, 200)
     assert (pitman_yor.seat(c, np.full(200, 0.5), 0.7, rng) <= c).all()
     assert (pitman_yor.seat(np.ones(5, np.int64), np.full(5, 9.0), 0.7, rng) == 1).all()
+
+
+def test_every_context_has_its_own_restaurant(spark):
+    # 12,000 words before "left" or "right", always the same one: classes of contexts would mix both
+    rng = random.Random(6)
+    facts = [(f"w{i}", rng.choice(["left", "right"])) for i in range(12000)]
+    texts = [" ".join(f"{w} {side} then" for w, side in facts[k::60]) for k in range(60)]
+    swapped = [t.replace("left", "l").replace("right", "left").replace(" l ", " right ") for t in texts]
+    held = [i for i in range(10000, 20000) if zlib.crc32(str(i).encode()) % 10 == 0]
+    rows = [(i, texts[i % 60]) for i in range(600)] + list(zip(held, texts + swapped))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # so that partitions stay apart
+    got = {r.doc_id: r.score for r in pitman_yor.score(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    spark.conf.unset("spark.sql.adaptive.enabled")
+    # 200 facts in each text: classes make the side seen after a word 1.9 times likelier than the other one, on average
+    gain = [got[right] - got[wrong] for right, wrong in zip(held[:60], held[60:120])]
+    assert sum(gain) / len(gain) > 200 * math.log10(2.4)
