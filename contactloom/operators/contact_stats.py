@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from contactloom.functions.plan import broadcast_if_small
+
 CLASSES = ("cis_near", "cis_far", "trans", "homolog_trans")
 
 
@@ -16,7 +18,7 @@ def group_classes(contacts: DataFrame, homologs: DataFrame | None = None, far: i
     code = F.when(F.col("chr_a") != F.col("chr_b"), 2)
     if homologs is not None:
         # a name has one partner: the table has a row a chromosome
-        h = F.broadcast(homologs.select(F.col("chr").alias("_h"), F.col("partner").alias("_p")).limit(1_000_000))
+        h = broadcast_if_small(homologs.select(F.col("chr").alias("_h"), F.col("partner").alias("_p")))
         df = df.join(h, F.col("chr_a") == F.col("_h"), "left")
         code = F.when((F.col("chr_a") != F.col("chr_b")) & (F.col("chr_b") == F.col("_p")), 3).otherwise(code)
     end = lambda x: F.when(F.col(f"strand_{x}") == "+", F.col(f"f_end_{x}")).otherwise(F.col(f"f_start_{x}"))

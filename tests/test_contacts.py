@@ -228,6 +228,13 @@ def test_conservation(spark):
     assert s.cis_near + s.cis_far + s.trans + s.homolog_trans == s.total_contacts
 
 
+def test_homologs_beyond_a_million_rows(spark):
+    homologs = spark.range(0, 1_000_001, 1, 1).select(F.concat(F.lit("a"), "id").alias("chr"), F.concat(F.lit("b"), "id").alias("partner"))
+    row = (1, "a1000000", "b1000000", "+", "+", 0, 0, 9, 9)
+    df = spark.createDataFrame([row], "pair_id long, chr_a string, chr_b string, strand_a string, strand_b string, f_start_a long, f_start_b long, f_end_a long, f_end_b long")
+    assert contact_stats.group_classes(df, homologs).first().code == 3
+
+
 @pytest.mark.parametrize("name", ["f_filter_counts", "c4_asof_fragment", "g1_dedupe", "g4_promiscuity_stats", "b10_clip_stats", "d1_fragments", "e9_pair_stats", "c16_demultiplex", "j2_contact_probability"])
 def test_sql_twins(spark, name):
     con = duckdb.connect()
