@@ -98,10 +98,11 @@ def unpack(blob: bytes) -> dict[str, np.ndarray | bytes]:
     return out
 
 
-def _batches(parts: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
+def _cut(parts: Iterator[pa.RecordBatch], limit: int, part: int | None = None) -> Iterator[tuple[int, dict]]:
+    """(batch number, arrays) of rows (doc_id, text, others), in slices of about `limit` bytes."""
     from pyspark import TaskContext
 
-    part, k = TaskContext.get().partitionId(), 0
+    part, k = TaskContext.get().partitionId() if part is None else part, 0
     for rows in parts:
         text = pc.fill_null(rows.column("text").cast(pa.large_binary()), b"")
         size = pc.binary_length(text).to_numpy(zero_copy_only=False).astype(np.int64) + 64
@@ -123,10 +124,21 @@ def _batches(parts: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordB
                 with pa.ipc.new_stream(sink, others.schema) as out:
                     out.write_batch(others)
                 arrays["others"] = sink.getvalue().to_pybytes()
-            yield pa.RecordBatch.from_arrays([pa.array([(part << 20) + k], pa.int64()), pa.array([pack(5, **arrays)], pa.binary())], ["batch", "blob"])
+            yield (part << 20) + k, arrays
             k += 1
 
 
+def _batches(parts: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
+    for number, arrays in _cut(parts, limit):
+        yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([pack(5, **arrays)], pa.binary())], ["batch", "blob"])
+
+
+def slices(parts: Iterator[pa.RecordBatch], limit: int, part: int | None = None) -> Iterator[tuple[int, Batch]]:
+    """Batches of rows as they come, for operators that read the documents themselves."""
+    for number, arrays in _cut(parts, limit, part):
+        yield number, Batch(arrays)
+
+
 def batch_documents(spark: SparkSession, docs: DataFrame, limit: int = BATCH_BYTES, others: Sequence[str] = ()) -> DataFrame:
     """Written table (batch long, blob binary) of all rows of docs(doc_id, text); a null text is empty.
 
@@ -140,8 +152,8 @@ def batch_documents(spark: SparkSession, docs: DataFrame, limit: int = BATCH_BYT
 class Batch:
     """The documents of one blob: ids, null flags, and bounds in one byte array."""
 
-    def __init__(self, blob: bytes):
-        x = unpack(blob)
+    def __init__(self, blob: bytes | dict):
+        x = blob if isinstance(blob, dict) else unpack(blob)
         self.ids: np.ndarray = x["ids"]
         self.null: np.ndarray = x["null"]
         self.ends: np.ndarray = x["ends"]

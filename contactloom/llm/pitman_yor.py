@@ -1,15 +1,25 @@
-"""LM scoring: a hierarchical Pitman-Yor model of words, seated by Gibbs sampling.
+"""LM scoring: a hierarchical Pitman-Yor model of words, its Chinese restaurants seated by Gibbs sampling.
 
-Every context has a restaurant whose customers are the words that follow it; its tables are customers of the one
-parent restaurant, whose base is uniform over the known words and one unknown one. A context is the word before, by its
-64-bit hash, or the start of a text. All that belongs to one word meets in one bucket.
+Every context (the whole word before, or the start of a text) has a restaurant, whose customers are the words that
+follow it. Its tables are customers of the one parent restaurant that all contexts share, whose base is uniform over
+the known words and one unknown one.
 
-Batches send their distinct words, and (word, context) pairs, with training counts. A bucket merges them and samples:
-for each pair the customers are seated one after another (later ones in growing blocks), given the parent's
-probability of the word; then the parent's own tables. What a bucket needs of all others are totals of its contexts:
-between passes it sends its own sums to the buckets of the contexts, which answer with the totals. After the last
-exchange the tables are averaged over samples, and the predictive terms are answered to the batches, which score
-their texts.
+A Gibbs step takes all customers of one word out of one restaurant and seats them anew, given all else. Up to `exact`
+customers, the number of their tables is drawn from its conditional distribution itself (generalised Stirling numbers
+times rising powers); beyond, customers come in one after another (later ones in growing blocks), and one of
+`proposals` such seatings is taken by its importance weight. Steps are made for a quarter of a bucket's pairs at a
+time; between quarters all sums are renewed.
+
+All pairs (word, context) of a word meet in one bucket, those of the heaviest words are dealt to all buckets:
+
+1. Texts send their distinct pairs with training counts. Buckets merge them, and exchange through buckets of contexts
+   how many customers and words each context has. Then each bucket samples; the tables of a context in other buckets
+   are taken to have multiplied as its own pairs' have. Seatings of every sample are written, and the sums of tables.
+2. Texts send their pairs again, with the documents that have them. Buckets know each sample's seating, and by the
+   exchange the tables of every context in all buckets, so that a sample's predictive probabilities sum to one. The mean
+   over samples is a pair's probability, and its logarithms are added up by document.
+
+Nothing else is kept; documents are read twice. Words are told apart by 64-bit hashes, contexts of one word by 40 bits.
 
 Edge cases: a null text is empty (its only token is the end); a null doc_id counts as the empty text for the split,
 and so is held out; with no training documents all counts are zero and scores are those of the uniform base; repeated
@@ -21,13 +31,15 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contactloom.llm.common import Batch, answers, batch_documents, buckets_for, deal, mix, pack, requests, unpack, words_of, write_table
+from contactloom.llm.common import Batch, answers, deal, mix, pack, slices, trim, unpack, words_of, write_table
 
 END = mix(np.array([0x454E44], np.uint64))[0]
 START = mix(np.array([0x5354415254], np.uint64))[0]
@@ -35,296 +47,444 @@ START = mix(np.array([0x5354415254], np.uint64))[0]
 
 @dataclass(frozen=True)
 class Settings:
-    strength: float = 5.0
-    parent_strength: float = 50.0
-    #: Sweeps of each pass before the last, of the last pass before its samples, and samples that are averaged.
-    sweeps: int = 4
-    passes: int = 1
-    burn: int = 2
-    samples: int = 5
+    discount: float = 0.8
+    strength: float = 2.0
+    parent_discount: float = 0.6
+    parent_strength: float = 20.0
+    #: Sweeps before the first sample, and samples, whose predictive probabilities are averaged.
+    burn: int = 3
+    samples: int = 3
+    exact: int = 64
+    proposals: int = 4
     seed: int = 11
-    batch_bytes: int = 4 << 20
-
-
-@dataclass(frozen=True)
-class Totals:
-    """Numbers of the whole corpus; `tables` are those of all contexts."""
-
-    tokens: int
-    types: int
-    discount: float
-    parent_discount: float
-    tables: float
-    parent_tables: float
+    batch_bytes: int = 8 << 20
+    #: Bytes of text for each bucket, and documents in the sample that tells which words are dealt out. Neither changes
+    #: the model; a word that the sample misses only makes its bucket larger.
+    bucket_bytes: int = 32 << 20
+    routing_docs: int = 2000
 
 
 class Tokens:
-    """Tokens of a batch by document, their distinct words in bucket order, and (word, context) pairs in word order."""
+    """Pairs (word, context) of a batch, in order of buckets, words and contexts."""
 
-    def __init__(self, batch: Batch, n: int):
+    def __init__(self, batch: Batch, n: int, heavy: np.ndarray, with_docs: bool):
         _, _, h, first = words_of(batch, lower=True)
         size = first[1:] - first[:-1]
         docs = np.arange(batch.n)
         tok = np.empty(len(h) + batch.n, np.uint64)
         tok[np.arange(len(h)) + np.repeat(docs, size)] = h
-        self.ends = first[1:] + docs
-        tok[self.ends] = END
-        self.first = first[:-1] + docs
-        self.size = size + 1
+        tok[first[1:] + docs] = END
         before = np.empty(len(tok), np.uint64)
         before[1:] = tok[:-1]
-        before[self.first] = START
-        contexts, before = np.unique(before, return_inverse=True)
+        before[first[:-1] + docs] = START
+        self.size = size + 1
         names = ["" if z else str(i) for i, z in zip(batch.ids.tolist(), batch.null.tolist(), strict=True)]
         self.held_out = np.array([zlib.crc32(x.encode()) % 10 == 0 for x in names], np.bool_)
-        train = np.repeat(~self.held_out, self.size).astype(np.float64)
+        contexts, before = np.unique(before >> np.uint64(24), return_inverse=True)
         words, place = np.unique(tok, return_inverse=True)
-        order, self.bounds = deal(words, n)
-        at = np.empty(len(words), np.int64)
-        at[order] = np.arange(len(words))
-        self.words, self.word = words[order], at[place]
-        self.count = np.bincount(self.word, weights=train, minlength=len(words)).astype(np.uint32)
-        codes, self.pair = np.unique(self.word * len(contexts) + before, return_inverse=True)
-        self.pair_count = np.bincount(self.pair, weights=train, minlength=len(codes)).astype(np.uint32)
-        self.context = contexts[codes % max(len(contexts), 1)]
-        self.pairs = np.bincount(codes // max(len(contexts), 1), minlength=len(words)).astype(np.uint32)
-        self.pair_bounds = np.concatenate([[0], np.cumsum(self.pairs, dtype=np.int64)])[self.bounds]
-
-    def requests(self, batch: int) -> pd.DataFrame:
-        rows = []
+        code = place.astype(np.int64) * len(contexts) + before
+        owner = np.repeat(docs, self.size)
+        if with_docs:
+            # one entry for each pair and document
+            full, times = np.unique(code * batch.n + owner, return_counts=True)
+            code, self.doc = full // batch.n, (full % batch.n).astype(np.uint32)
+            self.times = times.astype(np.uint32)
+            new = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])) if len(code) else np.zeros(0, np.int64)
+            self.reps = np.diff(np.append(new, len(code))).astype(np.uint32)
+            self.entry = new
+            weight = times * ~self.held_out[self.doc]
+            self.count = (np.add.reduceat(weight, new) if len(new) else weight).astype(np.uint32)
+            code = code[new]
+        else:
+            code, at = np.unique(code, return_inverse=True)
+            self.count = np.bincount(at, weights=(~self.held_out)[owner], minlength=len(code)).astype(np.uint32)
+        word, self.context = words[code // max(len(contexts), 1)], contexts[code % max(len(contexts), 1)]
+        self.word = word
+        bucket = route(word, self.context, n, heavy)
+        self.order = np.argsort(bucket, kind="stable")
+        self.bounds = np.searchsorted(bucket[self.order], np.arange(n + 1))
+        self.with_docs = with_docs
+
+    def blobs(self) -> Iterator[tuple[int, bytes]]:
         for b in np.flatnonzero(self.bounds[1:] > self.bounds[:-1]).tolist():
-            w, p = slice(self.bounds[b], self.bounds[b + 1]), slice(self.pair_bounds[b], self.pair_bounds[b + 1])
-            blob = pack(key=self.words[w], count=self.count[w], pairs=self.pairs[w], context=self.context[p], pair_count=self.pair_count[p])
-            rows.append((b, batch, blob))
-        return pd.DataFrame(rows, columns=["bucket", "batch", "blob"])
+            p = self.order[self.bounds[b] : self.bounds[b + 1]]
+            words, pairs = runs(self.word[p])
+            arrays = dict(word=words, pairs=pairs, **split40(self.context[p]), count=self.count[p])
+            if self.with_docs:
+                reps = self.reps[p].astype(np.int64)
+                stop = np.cumsum(reps)
+                e = np.arange(int(stop[-1])) + np.repeat(self.entry[p] - (stop - reps), reps)
+                arrays |= dict(reps=self.reps[p], doc=self.doc[e], times=self.times[e])
+            yield b, pack(**arrays)
+
+
+def route(word: np.ndarray, context: np.ndarray, n: int, heavy: np.ndarray) -> np.ndarray:
+    """Buckets of pairs: by word, those of heavy words by word and context."""
+    bucket = word % np.uint64(n)
+    if len(heavy):
+        at = np.minimum(np.searchsorted(heavy, word), len(heavy) - 1)
+        dealt = heavy[at] == word
+        bucket[dealt] = mix(word[dealt] ^ (context[dealt] * np.uint64(0x9E3779B97F4A7C15))) % np.uint64(n)
+    return bucket.astype(np.int64)
+
+
+def runs(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(values, lengths) of the runs of equal values."""
+    new = np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]])) if len(x) else np.zeros(0, np.int64)
+    return x[new], np.diff(np.append(new, len(x))).astype(np.uint32)
+
+
+def split40(x: np.ndarray) -> dict[str, np.ndarray]:
+    return {"low": x.astype(np.uint32), "high": (x >> np.uint64(32)).astype(np.uint8)}
+
+
+def join40(part: dict) -> np.ndarray:
+    return part["low"].astype(np.uint64) | (part["high"].astype(np.uint64) << np.uint64(32))
 
 
 class Bucket:
-    """All requests of a bucket, merged: words with counts, and pairs (word, context) with counts."""
+    """All requests of a bucket, merged: distinct words, contexts, and pairs with training counts."""
 
-    def __init__(self, blobs: list[bytes]):
+    def __init__(self, blobs: list[bytes], keep: bool = False):
         parts = [unpack(b) for b in blobs]
-        cat = lambda k: np.concatenate([p[k] for p in parts])
-        self.sizes = [len(p["key"]) for p in parts]
-        self.pair_sizes = [len(p["context"]) for p in parts]
-        words, self.place = np.unique(cat("key"), return_inverse=True)
-        self.count = np.bincount(self.place, weights=cat("count"), minlength=len(words)).astype(np.int64)
-        self.contexts, context = np.unique(cat("context"), return_inverse=True)
-        codes, self.pair_place = np.unique(np.repeat(self.place, cat("pairs")) * len(self.contexts) + context, return_inverse=True)
-        c = np.bincount(self.pair_place, weights=cat("pair_count"), minlength=len(codes)).astype(np.int64)
-        self.pair_word, self.pair_context, self.pair_count = codes // len(self.contexts), codes % len(self.contexts), c
-        self.seated = np.flatnonzero(c)  # pairs with customers
-        self.word, self.context, self.c = self.pair_word[self.seated], self.pair_context[self.seated], c[self.seated]
-        self.words, self.n_words = words, len(words)
-
-    def request(self) -> bytes:
-        """One request that stands for all merged ones."""
-        pairs = np.bincount(self.pair_word, minlength=self.n_words)
-        return pack(key=self.words, count=self.count, pairs=pairs, context=self.contexts[self.pair_context], pair_count=self.pair_count)
-
-
-def seat(c: np.ndarray, fresh: np.ndarray, discount: float, rng: np.random.Generator) -> np.ndarray:
-    """Numbers of tables at which c customers of each dish sit, seated in turn; `fresh` is the weight of a new table.
-
-    The k-th customer opens a table with probability fresh / (fresh + k - 1 - discount * tables). From the ninth on,
-    customers come in blocks of an eighth of those seated, with the probability of the block's middle.
+        cat = lambda f: np.concatenate([f(p) for p in parts]) if parts else np.zeros(0, np.uint64)
+        self.words, place = np.unique(cat(lambda p: p["word"]), return_inverse=True)
+        word = np.repeat(place, cat(lambda p: p["pairs"]).astype(np.int64)).astype(np.uint64)
+        key, at = np.unique((word << np.uint64(40)) | cat(join40), return_inverse=True)
+        self.c = np.bincount(at, weights=cat(lambda p: p["count"]), minlength=len(key)).astype(np.int64)
+        self.w = (key >> np.uint64(40)).astype(np.int64)
+        self.contexts, self.u = np.unique(key & np.uint64((1 << 40) - 1), return_inverse=True)
+        self.place = np.split(at, np.cumsum([len(p["count"]) for p in parts])[:-1]) if keep and parts else []
+        self.parts = parts if keep else []
+        self.customers = np.bincount(self.u, weights=self.c, minlength=len(self.contexts)).astype(np.int64)
+
+    def requests(self, frm: int, n: int, **values: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
+        """(to, frm, blob) for each bucket of contexts: its contexts here, with values."""
+        order, bounds = deal(self.contexts, n)
+        for b in np.flatnonzero(bounds[1:] > bounds[:-1]).tolist():
+            p = order[bounds[b] : bounds[b + 1]]
+            yield b, frm, pack(**split40(self.contexts[p]), **{k: v[p] for k, v in values.items()})
+
+
+@lru_cache(maxsize=4)
+def stirling(discount: float, top: int) -> np.ndarray:
+    """Logarithms of the generalised Stirling numbers: [c, t] is of the seatings of c customers at t tables."""
+    out = np.full((top + 1, top + 1), -np.inf)
+    out[0, 0] = 0.0
+    for c in range(1, top + 1):
+        t = np.arange(1, c + 1)
+        with np.errstate(divide="ignore"):
+            out[c, 1 : c + 1] = np.logaddexp(out[c - 1, t - 1], out[c - 1, t] + np.log(np.maximum(c - 1 - discount * t, 0.0)))
+    return out
+
+
+def draw_tables(c: np.ndarray, others: np.ndarray, p: np.ndarray, discount: float, strength: float, cfg: Settings, rng: np.random.Generator) -> np.ndarray:
+    """Numbers of tables for c customers of a word in a restaurant with `others` tables of other words.
+
+    p is the parent's probability of the word. P(t) is proportional to S(c, t) * p**t * (strength + discount * others)
+    * ... * (strength + discount * (others + t - 1)).
     """
-    tables = np.minimum(c, 1).astype(np.float64)
-    active = np.flatnonzero(c > 1)
-    seated = 1
+    out = np.minimum(c, 1)
+    room = strength + discount * others
+    small = np.flatnonzero((c > 1) & (c <= cfg.exact))
+    small = small[np.argsort(c[small], kind="stable")]
+    sizes, first = np.unique(c[small], return_index=True)
+    table, bounds = stirling(discount, cfg.exact), [*first.tolist(), len(small)]
+    for size, a, b in zip(sizes.tolist(), bounds, bounds[1:], strict=False):
+        for lo in range(a, b, max(1, (1 << 21) // size)):
+            i = small[lo : min(b, lo + max(1, (1 << 21) // size))]
+            x = np.log(room[i, None] + discount * np.arange(size)) + np.log(p[i, None])
+            np.cumsum(x, axis=1, out=x)
+            x += table[size, 1 : size + 1]
+            x -= x.max(axis=1, keepdims=True)
+            np.cumsum(np.exp(x, out=x), axis=1, out=x)
+            out[i] = 1 + (x < rng.random(len(i))[:, None] * x[:, -1:]).sum(axis=1)
+    large = np.flatnonzero(c > cfg.exact)
+    if len(large):
+        ways = [_seat(c[large], room[large], p[large], discount, rng) for _ in range(cfg.proposals)]
+        tables, weight = np.stack([w[0] for w in ways]), np.stack([w[1] for w in ways])
+        pick = (weight + rng.gumbel(size=weight.shape)).argmax(axis=0)
+        out[large] = tables[pick, np.arange(len(large))]
+    return np.minimum(out, c)
+
+
+def _seat(c: np.ndarray, room: np.ndarray, p: np.ndarray, discount: float, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
+    """(tables, log importance weight) of customers that come in one after another.
+
+    The k-th opens a table with weight (room + discount * tables) * p, else joins with k - 1 - discount * tables. From the
+    ninth on, they come in blocks of an eighth of those seated, with the probability of the block's middle.
+    """
+    tables, weight = np.ones(len(c)), np.zeros(len(c))
+    active, seated = np.arange(len(c)), 1
     while len(active):
         block = 1 if seated < 8 else seated // 8
         left = c[active] - seated
         size = np.minimum(left, block)
-        w = fresh[active]
-        q = w / (w + seated + (size - 1) / 2 - discount * tables[active])
-        tables[active] += (rng.random(len(active)) < q) if block == 1 else rng.binomial(size, np.minimum(q, 1.0))
+        t = tables[active]
+        new = (room[active] + discount * t) * p[active]
+        total = new + seated + (size - 1) / 2 - discount * t
+        weight[active] += size * np.log(total)
+        tables[active] += rng.random(len(active)) < new / total if block == 1 else rng.binomial(size, np.minimum(new / total, 1.0))
         active, seated = active[left > block], seated + block
-    return tables
+    return tables.astype(np.int64), weight
 
 
 class Sampler:
-    """Gibbs sweeps over one bucket, the totals of all others held fixed."""
-
-    def __init__(self, b: Bucket, t: Totals, rooms: np.ndarray, cfg: Settings, number: int, turn: int):
-        self.b, self.t, self.rooms, self.cfg = b, t, rooms, cfg
-        self.rng = np.random.Generator(np.random.PCG64([cfg.seed, number, turn]))
-        self.tables = np.ones(len(b.c))
-        self.customers = np.bincount(b.word, weights=self.tables, minlength=b.n_words)
-        self.parent = np.minimum(self.customers, 1.0)
-
-    def base(self) -> float:
-        """The parent's weight of any one word's first table."""
-        return (self.cfg.parent_strength + self.t.parent_discount * self.t.parent_tables) / (self.t.types + 1)
+    """Gibbs sweeps over one bucket; `types` are the words of each context in all buckets."""
+
+    def __init__(self, b: Bucket, n: int, heavy: np.ndarray, types: np.ndarray, cfg: Settings, number: int):
+        self.cfg, self.n = cfg, n
+        self.rng = np.random.Generator(np.random.PCG64([cfg.seed, number]))
+        self.seated = np.flatnonzero(b.c)
+        self.c, self.w, self.u = b.c[self.seated], b.w[self.seated], b.u[self.seated]
+        self.n_words, self.n_contexts = len(b.words), len(b.contexts)
+        #: How many buckets share a word's pairs.
+        self.share = np.where(np.isin(b.words, heavy), float(n), 1.0)
+        self.t = np.ones(len(self.c), np.int64)
+        self.rest = types - np.bincount(self.u, minlength=self.n_contexts)
+        self.parent = np.zeros(self.n_words, np.int64)
+        self.renew()
+        self.parent = np.minimum(np.rint(self.customers), 1).astype(np.int64)
+        self.color = self.rng.integers(0, 4, len(self.c)).astype(np.int8)
+
+    def renew(self) -> None:
+        self.own = np.bincount(self.u, weights=self.t, minlength=self.n_contexts)
+        grown = self.t.sum() / max(len(self.t), 1)
+        self.tables = self.own + self.rest * grown
+        self.mine = np.bincount(self.w, weights=self.t, minlength=self.n_words)
+        self.customers = self.mine * self.share
+
+    def sums(self) -> tuple[float, float, float]:
+        """Known words, tables and parent's tables of all buckets, by this one's."""
+        trained = self.customers > 0
+        return max(1.0, (trained / self.share).sum() * self.n), self.mine.sum() * self.n, (self.parent / self.share).sum() * self.n
 
     def sweep(self) -> None:
-        t, cfg, b = self.t, self.cfg, self.b
-        p = (self.customers - t.parent_discount * self.parent + self.base()) / (cfg.parent_strength + t.tables)
-        fresh = (cfg.strength + t.discount * self.rooms[b.context]) * p[b.word]
-        self.tables = seat(b.c, fresh, t.discount, self.rng)
-        self.customers = np.bincount(b.word, weights=self.tables, minlength=b.n_words)
-        self.parent = seat(self.customers.astype(np.int64), np.full(b.n_words, self.base()), t.parent_discount, self.rng)
-
-    def averages(self) -> tuple[np.ndarray, np.ndarray]:
-        """(tables of each pair, tables of each word at the parent), averaged over samples."""
+        cfg = self.cfg
+        for color in range(4):
+            i = np.flatnonzero(self.color == color)
+            types, tables, parent = self.sums()
+            w, t = self.w[i], self.t[i]
+            base = (cfg.parent_strength + cfg.parent_discount * parent) / (types + 1)
+            known = np.maximum(self.customers[w] - t - cfg.parent_discount * np.minimum(self.parent[w], self.customers[w] - t), 0.0)
+            p = (known + base) / (cfg.parent_strength + tables)
+            self.t[i] = draw_tables(self.c[i], np.maximum(self.tables[self.u[i]] - t, 0.0), np.minimum(p, 1.0), cfg.discount, cfg.strength, cfg, self.rng)
+            self.renew()
+        types, _, parent = self.sums()
+        self.parent = self.seat_parent(np.rint(self.customers).astype(np.int64), parent, types)
+
+    def seat_parent(self, customers: np.ndarray, parent: float, types: float) -> np.ndarray:
+        return draw_tables(customers, np.maximum(parent - self.parent, 0.0), np.full(len(customers), 1 / (types + 1)), self.cfg.parent_discount, self.cfg.parent_strength, self.cfg, self.rng)
+
+    def run(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Tables of pairs, of words at the parent, and of contexts here: a row for each sample."""
         for _ in range(self.cfg.burn):
             self.sweep()
-        tables, parent = np.zeros(len(self.b.c)), np.zeros(self.b.n_words)
+        out: list[tuple] = []
         for _ in range(self.cfg.samples):
             self.sweep()
-            tables += self.tables
-            parent += self.parent
-        return tables / self.cfg.samples, parent / self.cfg.samples
+            out.append((self.t.copy(), self.parent.copy(), self.own.astype(np.int64)))
+        return tuple(np.stack([x[i] for x in out]) for i in range(3))
+
 
+@dataclass(frozen=True)
+class Totals:
+    """Numbers of the whole corpus; tables and parent (tables of the parent) for each sample."""
+
+    tokens: int
+    types: int
+    tables: np.ndarray
+    parent: np.ndarray
+    #: Heavy words that the training texts have: hashes, counts, and for each sample tables and parent's tables.
+    heavy: np.ndarray
+    heavy_count: np.ndarray
+    heavy_tables: np.ndarray
+    heavy_parent: np.ndarray
 
-#: Rows to a bucket of contexts, or (bucket -1) the numbers and the tables of one bucket of words.
-NUMBERS = ("tokens", "types", "one", "two", "parent_one", "parent_two", "parent", "tables")
-SUMS = "bucket int, batch int, blob binary, " + ", ".join(f"{c} double" for c in NUMBERS)
-ROWS = "bucket int, batch long, blob binary"
 
+def predict(cfg: Settings, t: Totals, c: np.ndarray, tables: np.ndarray, customers: np.ndarray, rooms: np.ndarray, word_tables: np.ndarray, word_parent: np.ndarray) -> np.ndarray:
+    """Mean predictive probabilities of pairs with c customers. Arrays by sample: tables of the pair, of its context (of
+    `customers` in all), and the tables and parent's tables of its word."""
+    out = np.zeros(len(c))
+    for s in range(cfg.samples):
+        base = (cfg.parent_strength + cfg.parent_discount * t.parent[s]) / (t.types + 1)
+        parent = (word_tables[s] - cfg.parent_discount * word_parent[s] + base) / (cfg.parent_strength + t.tables[s])
+        out += (c - cfg.discount * tables[s] + (cfg.strength + cfg.discount * rooms[s]) * parent) / (cfg.strength + customers)
+    return out / cfg.samples
 
-def _sums(number: int, b: Bucket, tables: np.ndarray, parent: np.ndarray, n: int) -> pd.DataFrame:
-    per = [np.bincount(b.context, weights=w, minlength=len(b.contexts)) for w in (b.c, tables)]
-    rooms = np.bincount(b.word, minlength=b.n_words)
-    own = [b.count.sum(), (b.count > 0).sum(), (b.c == 1).sum(), (b.c == 2).sum(), (rooms == 1).sum(), (rooms == 2).sum(), parent.sum(), tables.sum()]
-    rows = requests(number, b.contexts, n, customers=per[0].astype(np.int64), tables=per[1].astype(np.float32)).assign(**dict.fromkeys(NUMBERS, 0.0))
-    state = pack(tables=tables.astype(np.float32), parent=parent.astype(np.float32))
-    rows.loc[len(rows)] = [-1, number, state, *map(float, own)]
-    return rows
 
+REQUEST = "bucket int, batch long, blob binary"
+EXCHANGE = "to int, frm int, blob binary"
+SEATS = "kind int, to int, frm int, blob binary, num array<double>"
+SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, perplexity double"
 
-def _totals(sums: DataFrame, old: Totals | None) -> Totals:
-    x = sums.filter("bucket = -1").agg(*[F.coalesce(F.sum(c), F.lit(0.0)).alias(c) for c in NUMBERS]).first()
-    share = lambda one, two: min(0.95, max(0.05, one / (one + 2 * two))) if one else 0.5
-    return Totals(
-        int(x["tokens"]),
-        int(x["types"]),
-        old.discount if old else share(x["one"], x["two"]),
-        old.parent_discount if old else share(x["parent_one"], x["parent_two"]),
-        float(x["tables"]),
-        float(x["parent"]),
-    )
 
+def _ask(rows: DataFrame, n: int, heavy: np.ndarray, cfg: Settings, with_docs: bool) -> DataFrame:
+    """Requests of all documents; with documents, one row a batch also names them (bucket batch % n, batch negative)."""
 
-def _replies(sums: DataFrame) -> DataFrame:
-    """(bucket of contexts, bucket of words, totals of the contexts that the latter asked for)."""
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, batch in slices(parts, cfg.batch_bytes):
+            x = Tokens(batch, n, heavy, with_docs)
+            out = [(b, number, blob) for b, blob in x.blobs()]
+            if with_docs:
+                out.append((number % n, -1 - number, pack(ids=batch.ids, null=batch.null, held=x.held_out, size=x.size.astype(np.uint32))))
+            for a in range(0, len(out), 64):
+                yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(zip(*out[a : a + 64], strict=True), (pa.int32(), pa.int64(), pa.binary()), strict=True)], ["bucket", "batch", "blob"])
+        trim()
+
+    return rows.mapInArrow(run, REQUEST)
+
+
+def _replies(sent: DataFrame) -> DataFrame:
+    """(bucket, frm, blob): for the contexts that a bucket sent, the sums over all buckets, in its order."""
 
     def merged(frame: pd.DataFrame) -> pd.DataFrame:
         parts = [unpack(x) for x in frame["blob"]]
-        keys, place = np.unique(np.concatenate([p["key"] for p in parts]), return_inverse=True)
-        sums = {k: np.bincount(place, weights=np.concatenate([p[k] for p in parts]), minlength=len(keys)) for k in ("customers", "tables")}
-        cuts = np.cumsum([len(p["key"]) for p in parts])[:-1]
-        blobs = [pack(customers=sums["customers"][mine].astype(np.int64), tables=sums["tables"][mine].astype(np.float32)) for mine in np.split(place, cuts)]
-        return pd.DataFrame({"bucket": frame["bucket"], "batch": frame["batch"], "blob": blobs})
+        keys, place = np.unique(np.concatenate([join40(p) for p in parts]), return_inverse=True)
+        names = [k for k in parts[0] if k not in ("low", "high")]
+        sums = {k: np.bincount(place, weights=np.concatenate([p[k] for p in parts]), minlength=len(keys)).astype(np.uint64) for k in names}
+        cuts = np.cumsum([len(p["low"]) for p in parts])[:-1]
+        blobs = [pack(**{k: v[mine] for k, v in sums.items()}) for mine in np.split(place, cuts)]
+        return pd.DataFrame({"bucket": frame["frm"], "frm": frame["to"], "blob": blobs})
 
-    return sums.filter("bucket >= 0").select("bucket", "batch", "blob").groupBy("bucket").applyInPandas(merged, "bucket int, batch int, blob binary")
+    return sent.groupBy("to").applyInPandas(merged, "bucket int, frm int, blob binary")
 
 
-SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+def heavy_words(rows: DataFrame, n: int, cfg: Settings) -> np.ndarray:
+    """Hashes of words that are over a quarter of a bucket's share, by a sample; at most 4 * n."""
+    some = rows.limit(cfg.routing_docs).toArrow()
+    texts = [batch for _, batch in slices(iter(some.to_batches()), 1 << 30, part=0)]
+    tok = np.concatenate([np.concatenate([words_of(b, lower=True)[2], np.full(b.n, END)]) for b in texts]) if texts else np.zeros(0, np.uint64)
+    words, count = np.unique(tok, return_counts=True)
+    return words[count > max(8, len(tok) / (4 * n))]
 
 
 def score(spark: SparkSession, docs: DataFrame, cfg: Settings = Settings()) -> DataFrame:
     """Scores of every row of docs (doc_id, text), by a model of those not held out."""
-    batches = batch_documents(spark, docs, cfg.batch_bytes)
-    n = buckets_for(spark, batches)
-
-    def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            for number, blob in zip(f["batch"].tolist(), f["blob"], strict=True):
-                yield Tokens(Batch(blob), n).requests(number)
-
-    def gather(frame: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"bucket": [int(frame["bucket"].iloc[0])], "batches": [frame["batch"].tolist()], "blobs": [frame["blob"].tolist()]})
-
-    asked = batches.mapInPandas(ask, "bucket int, batch long, blob binary")
-    buckets = asked.groupBy("bucket").applyInPandas(gather, "bucket int, batches array<long>, blobs array<binary>")
-    buckets = write_table(spark, buckets, "words")
-
-    def merge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            yield pd.DataFrame({"bucket": f["bucket"], "blob": [Bucket(list(blobs)).request() for blobs in f["blobs"]]})
-
-    def begin(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            for number, blob in zip(f["bucket"].tolist(), f["blob"], strict=True):
-                b = Bucket([blob])
-                yield _sums(number, b, np.ones(len(b.c)), np.ones(int((b.count > 0).sum())), n)
-
-    counts = write_table(spark, buckets.mapInPandas(merge, "bucket int, blob binary"), "counts")
-    sums = write_table(spark, counts.mapInPandas(begin, SUMS), "sums")
-    totals = _totals(sums, None)
-
-    def sampler(totals: Totals, turn: int):
-        def sampled(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-            b = Bucket(left["blob"].tolist())
-            s = Sampler(b, totals, answers(b.contexts, n, right, "tables", np.float64), cfg, int(key[0]), turn)
-            if turn == cfg.passes:
-                return _sums(int(key[0]), b, *s.averages(), n)
-            for _ in range(cfg.sweeps):
-                s.sweep()
-            return _sums(int(key[0]), b, s.tables, s.parent, n)
-
-        return sampled
-
-    for turn in range(cfg.passes + 1):
-        known = counts.groupBy("bucket").cogroup(_replies(sums).groupBy("batch"))
-        sums = write_table(spark, known.applyInPandas(sampler(totals, turn), SUMS), "sums")
-        totals = _totals(sums, totals)
-
-    # the averages' own totals make the predictive probabilities of each context sum to one
-    last = totals
-    back = _replies(sums).unionByName(sums.filter("bucket = -1").select("bucket", "batch", "blob"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = int(max(2 * spark.sparkContext.defaultParallelism, -(-size // cfg.bucket_bytes)))
+    heavy = heavy_words(rows, n, cfg)
+    asked = _ask(rows, n, heavy, cfg, False)
+
+    def first(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        b = Bucket(frame["blob"].tolist())
+        types = np.bincount(b.u[b.c > 0], minlength=len(b.contexts)).astype(np.uint32)
+        out = pd.DataFrame(list(b.requests(int(key[0]), n, types=types)), columns=["to", "frm", "blob"])
+        trim()
+        return out
+
+    def sample(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        number, S = int(key[0]), cfg.samples
+        b = Bucket(left["blob"].tolist())
+        known = right.assign(bucket=right["frm"])
+        sampler = Sampler(b, n, heavy, answers(b.contexts, n, known, "types", np.int64), cfg, number)
+        t, parent, own = sampler.run()
+        small = lambda x: x.astype(np.uint32)
+        count = np.bincount(b.w, weights=b.c, minlength=len(b.words))
+        dealt = np.isin(b.words, heavy)
+        mine = np.stack([np.bincount(sampler.w, weights=x, minlength=len(b.words)) for x in t])
+        num = [float(count.sum()), float((count[~dealt] > 0).sum()), *map(float, t.sum(axis=1)), *map(float, parent[:, ~dealt].sum(axis=1))]
+        state = pack(**{f"t{s}": small(t[s]) for s in range(S)}, **{f"p{s}": small(parent[s]) for s in range(S)})
+        out: list[tuple] = [(0, number, number, state, num)]
+        sums = b.requests(number, n, customers=small(b.customers), **{f"t{s}": small(own[s]) for s in range(S)})
+        out += [(1, *x, []) for x in sums]
+        at = np.searchsorted(heavy, b.words[dealt])
+        out += [(2, int(i), number, b"", [float(count[j]), *map(float, mine[:, j])]) for i, j in zip(at, np.flatnonzero(dealt), strict=True)]
+        trim()
+        return pd.DataFrame(out, columns=[c.split()[0] for c in SEATS.split(", ")])
+
+    types = _replies(asked.groupBy("bucket").applyInPandas(first, EXCHANGE))
+    seats = write_table(spark, asked.groupBy("bucket").cogroup(types.groupBy("bucket")).applyInPandas(sample, SEATS), "seats")
+    t = _totals(seats, heavy, cfg)
+    told = _replies(seats.filter("kind = 1").select("to", "frm", "blob"))
+    told = told.unionByName(seats.filter("kind = 0").select(F.col("frm").alias("bucket"), F.lit(-1).alias("frm"), "blob"))
 
     def answer(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        rows, replied = [], right[right["bucket"] >= 0]
-        for batches_, blobs in zip(left["batches"], left["blobs"], strict=True):
-            b = Bucket(list(blobs))
-            customers, rooms = (answers(b.contexts, n, replied, k, np.float64) for k in ("customers", "tables"))
-            state = unpack(right["blob"][right["bucket"] < 0].iloc[0])
-            pairs = np.zeros(len(b.pair_word))
-            pairs[b.seated] = b.c - last.discount * state["tables"]
-            words = np.bincount(b.word, weights=state["tables"], minlength=b.n_words) - last.parent_discount * state["parent"]
-            base = (cfg.parent_strength + last.parent_discount * last.parent_tables) / (last.types + 1)
-            parent = (words + base) / (cfg.parent_strength + last.tables)
-            weight = cfg.strength + last.discount * rooms[b.pair_context]
-            model = np.log10((pairs + weight * parent[b.pair_word]) / (cfg.strength + customers[b.pair_context])).astype(np.float32)
-            w, p = 0, 0
-            for batch, size, pair_size in zip(list(batches_), b.sizes, b.pair_sizes, strict=True):
-                mine, own = b.place[w : w + size], b.pair_place[p : p + pair_size]
-                rows.append((int(key[0]), int(batch), pack(count=b.count[mine].astype(np.int64), model=model[own])))
-                w, p = w + size, p + pair_size
-        return pd.DataFrame(rows, columns=["bucket", "batch", "blob"])
-
-    def finish(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        frames = [_scored(Batch(blob), right, last, n) for blob in left["blob"]]
-        return pd.concat(frames, ignore_index=True) if frames else pd.DataFrame(columns=[c.split()[0] for c in SCORES.split(", ")])
-
-    replies = buckets.groupBy("bucket").cogroup(back.groupBy("batch")).applyInPandas(answer, ROWS)
-    return batches.groupBy("batch").cogroup(replies.groupBy("batch")).applyInPandas(finish, SCORES)
-
-
-def _scored(batch: Batch, rows: pd.DataFrame, t: Totals, n: int) -> pd.DataFrame:
-    x = Tokens(batch, n)
-    count, model = np.zeros(len(x.words)), np.zeros(len(x.context))
-    for b, blob in zip(rows["bucket"].tolist(), rows["blob"], strict=True):
-        got = unpack(blob)
-        count[x.bounds[b] : x.bounds[b + 1]] = got["count"]
-        model[x.pair_bounds[b] : x.pair_bounds[b + 1]] = got["model"]
-    c = count[x.word]
-    plain = np.log10((c + 0.1) / (t.tokens + 0.1 * (t.types + 1)))
-    add = lambda v: np.add.reduceat(v, x.first) if len(x.first) else v
-    out = pd.DataFrame(
-        {
-            "held_out": x.held_out,
-            "n_tokens": x.size.astype(np.int64),
-            "n_known": add((c > 0).astype(np.int64)),
-            "train_tokens": np.full(batch.n, t.tokens, np.int64),
-            "base_score": add(plain),
-            "score": add(model[x.pair]),
-        }
-    )
-    out.insert(0, "doc_id", batch.id_column())
-    return out
+        meta = left["batch"] < 0
+        out = [(-1 - x, 0, blob) for x, blob in zip(left["batch"][meta].tolist(), left["blob"][meta], strict=True)]
+        left = left[~meta]
+        if len(left):
+            b = Bucket(left["blob"].tolist(), keep=True)
+            state = unpack(right["blob"][right["frm"] < 0].iloc[0])
+            logs = _logs(b, state, right[right["frm"] >= 0].assign(bucket=lambda x: x["frm"]), n, t, cfg)
+            for batch, part, at in zip(left["batch"].tolist(), b.parts, b.place, strict=True):
+                at, times = np.repeat(at, part["reps"].astype(np.int64)), part["times"]
+                doc, where = np.unique(part["doc"], return_inverse=True)
+                known, base, model = (np.bincount(where, weights=times * v[at], minlength=len(doc)) for v in logs)
+                out.append((batch, 1, pack(doc=doc.astype(np.uint32), known=known.astype(np.uint32), base=base, score=model)))
+        trim()
+        return pd.DataFrame(out, columns=["batch", "kind", "blob"])
+
+    def finish(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        x = unpack(frame["blob"][frame["kind"] == 0].iloc[0])
+        m = len(x["ids"])
+        sums = {k: np.zeros(m) for k in ("known", "base", "score")}
+        for blob in frame["blob"][frame["kind"] == 1]:
+            part = unpack(blob)
+            for k, v in sums.items():
+                v[part["doc"]] += part[k]
+        tokens = x["size"].astype(np.int64)
+        return pd.DataFrame(
+            {
+                "doc_id": pd.Series(np.where(x["null"], None, x["ids"].astype(object)), dtype="object").astype("Int64"),
+                "held_out": x["held"],
+                "n_tokens": tokens,
+                "n_known": sums["known"].astype(np.int64),
+                "train_tokens": np.full(m, t.tokens, np.int64),
+                "base_score": sums["base"],
+                "score": sums["score"],
+                "perplexity": 10 ** np.minimum(-sums["score"] / tokens, 300.0),
+            }
+        )
+
+    again = _ask(rows, n, heavy, cfg, True)
+    sums = again.groupBy("bucket").cogroup(told.groupBy("bucket")).applyInPandas(answer, "batch long, kind int, blob binary")
+    return sums.groupBy("batch").applyInPandas(finish, SCORES)
+
+
+def _totals(seats: DataFrame, heavy: np.ndarray, cfg: Settings) -> Totals:
+    S = cfg.samples
+    at = lambda i: F.coalesce(F.sum(F.get("num", F.lit(i))), F.lit(0.0))
+    x = list(seats.filter("kind = 0").agg(*[at(i).alias(f"n{i}") for i in range(2 + 2 * S)]).first())
+    rows = sorted(seats.filter("kind = 2").groupBy("to").agg(*[at(i).alias(f"n{i}") for i in range(1 + S)]).collect())  # heavy words: 4 a bucket
+    table = np.array([list(r) for r in rows if r["n0"] > 0]).reshape(-1, 2 + S)
+    types = int(x[1]) + len(table)
+    tables, parent = np.array(x[2 : 2 + S]), np.array(x[2 + S :])
+    heavy_tables = table[:, 2:].T
+    rng = np.random.Generator(np.random.PCG64([cfg.seed, 1 << 31]))
+    own = [draw_tables(c.astype(np.int64), np.full(len(c), p), np.full(len(c), 1 / (types + 1)), cfg.parent_discount, cfg.parent_strength, cfg, rng) for c, p in zip(heavy_tables, parent, strict=True)]
+    own = np.stack(own).astype(float)
+    return Totals(int(x[0]), types, tables, parent + own.sum(axis=1), heavy[table[:, 0].astype(np.int64)] if len(heavy) else heavy, table[:, 1], heavy_tables, own)
+
+
+def _logs(b: Bucket, state: dict, replied: pd.DataFrame, n: int, t: Totals, cfg: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each pair: whether the word is known, its base logarithm, the model's."""
+    S, m = cfg.samples, len(b.words)
+    seated = np.flatnonzero(b.c)
+    count = np.bincount(b.w, weights=b.c, minlength=m)
+    pair = np.zeros((S, len(b.c)))
+    word = np.zeros((S, m))
+    parent = np.zeros((S, m))
+    for s in range(S):
+        pair[s, seated] = state[f"t{s}"]
+        word[s] = np.bincount(b.w, weights=pair[s], minlength=m)
+        parent[s] = state[f"p{s}"]
+    if len(t.heavy):
+        at = np.minimum(np.searchsorted(t.heavy, b.words), len(t.heavy) - 1)
+        dealt = np.flatnonzero(t.heavy[at] == b.words)
+        count[dealt] = t.heavy_count[at[dealt]]
+        word[:, dealt], parent[:, dealt] = t.heavy_tables[:, at[dealt]], t.heavy_parent[:, at[dealt]]
+    customers = answers(b.contexts, n, replied, "customers", np.float64)
+    rooms = np.stack([answers(b.contexts, n, replied, f"t{s}", np.float64) for s in range(S)])
+    p = predict(cfg, t, b.c, pair, customers[b.u], rooms[:, b.u], word[:, b.w], parent[:, b.w])
+    base = np.log10((count + 0.1) / (t.tokens + 0.1 * (t.types + 1)))
+    return (count > 0)[b.w].astype(float), base[b.w], np.log10(p)
+
+
+def held_out_perplexity(scores: DataFrame) -> DataFrame:
+    """One row: the perplexity of all held-out tokens."""
+    return scores.filter("held_out").agg(F.pow(F.lit(10.0), -F.sum("score") / F.sum("n_tokens")).alias("perplexity"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
