@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from contactloom.functions.plan import broadcast_if_small
@@ -133,11 +133,10 @@ def classify(pairs: DataFrame, re1: DataFrame | None, s: FilterSettings = Filter
 def drop_groups(tagged: DataFrame) -> DataFrame:
     """tagged with accepted rows of a pair_id that also has a rejected row turned to excluded_group.
 
-    A left join with the distinct rejected ids; both sides keep the pair_id partitioning of the pairing stage.
+    One window over pair_id, which the pairing stage has already partitioned by.
     """
-    bad = tagged.filter("tag <> 'accepted'").select("pair_id").distinct().withColumn("_bad", F.lit(True))
-    df = tagged.join(bad, "pair_id", "left")
-    return df.withColumn("tag", F.when((F.col("tag") == "accepted") & F.col("_bad").isNotNull(), "excluded_group").otherwise(F.col("tag"))).drop("_bad")
+    bad = F.max(F.col("tag") != "accepted").over(Window.partitionBy("pair_id"))
+    return tagged.withColumn("tag", F.when((F.col("tag") == "accepted") & bad, "excluded_group").otherwise(F.col("tag")))
 
 
 def filter_pairs(pairs: DataFrame, re1: DataFrame | None, s: FilterSettings = FilterSettings(), re2: DataFrame | None = None, stars: DataFrame | None = None) -> DataFrame:

@@ -85,8 +85,11 @@ def sample_table(stats: DataFrame) -> DataFrame:
 
 
 def join_by_root(ncc_files: DataFrame, stat_files: DataFrame) -> DataFrame:
-    """(root, ncc_path, json_path) of files that belong together; stats without contacts have a null ncc_path."""
+    """(root, ncc_path, json_path) of files that belong together; stats without contacts raise an error."""
     root = lambda c: F.regexp_replace(F.regexp_replace(F.element_at(F.split(c, "/"), -1), r"\.[^.]*$", ""), r"(_r_1_2)?(_stats)?$", "")
     a = ncc_files.select(root("path").alias("root"), F.col("path").alias("ncc_path"))
     b = stat_files.select(root("path").alias("root"), F.col("path").alias("json_path"))
-    return a.join(b, "root", "full_outer")
+    alone = [r["json_path"] for r in b.join(a, "root", "left_anti").limit(5).collect()]
+    if alone:
+        raise ValueError(f"statistics without contacts: {alone}")
+    return a.join(b, "root", "left")

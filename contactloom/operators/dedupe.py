@@ -56,37 +56,41 @@ def winners(contacts: DataFrame, s: DedupeSettings = DedupeSettings()) -> DataFr
     return df.drop("_line", "_new", "_run")
 
 
+def _gathered(contacts: DataFrame, s: DedupeSettings) -> DataFrame:
+    """contacts with, over all rows of a pair_id, _out (it lost a key to another one), _repeats and _size.
+
+    Two windows, by key and by pair_id; no row meets itself in a join.
+    """
+    won = winners(contacts, s)
+    owner = F.max(F.when(F.col("winner"), F.col("pair_id"))).over(Window.partitionBy(*keys(s)))
+    marked = won.withColumn("_lost", ~F.col("winner") & (owner != F.col("pair_id")))
+    mine = Window.partitionBy("pair_id")
+    return marked.withColumns(
+        {
+            "_out": F.max("_lost").over(mine),
+            "_repeats": F.sum(F.when(F.col("winner"), F.col("run")).otherwise(0)).over(mine).cast("long"),
+            "_size": F.max("ambig_size").over(mine),
+        }
+    ).drop("_lost")
+
+
 def dedupe(contacts: DataFrame, s: DedupeSettings = DedupeSettings()) -> DataFrame:
     """Kept contacts with `repeats` and `supported`.
 
     A pair_id that loses a key to another one is out with all its rows. Single-cell data keeps reads that won
     min_repeats rows for each of their ambiguous places; population data keeps all.
     """
-    won = winners(contacts, s)
-    by = keys(s)
-    owner = F.first(F.when(F.col("winner"), F.col("pair_id")), ignorenulls=True).over(Window.partitionBy(*by))
-    marked = won.withColumn("_owner", owner)
-    reads = marked.groupBy("pair_id").agg(
-        F.max((~F.col("winner") & (F.col("_owner") != F.col("pair_id"))).cast("int")).alias("_out"),
-        F.sum(F.when(F.col("winner"), F.col("run")).otherwise(0)).alias("repeats"),
-        F.max("ambig_size").alias("_size"),
-    )
     least = 2 if s.population else s.min_repeats
-    reads = reads.filter("_out = 0").select("pair_id", F.col("repeats").cast("long"), (F.col("repeats") / F.col("_size") >= least).alias("supported"))
-    kept = contacts.join(reads, "pair_id")
+    kept = _gathered(contacts, s).filter(~F.col("_out"))
+    kept = kept.select(*contacts.columns, F.col("_repeats").alias("repeats"), (F.col("_repeats") / F.col("_size") >= least).alias("supported"))
     return kept if s.population else kept.filter("supported")
 
 
 def dedupe_stats(contacts: DataFrame, s: DedupeSettings = DedupeSettings()) -> DataFrame:
     """One row: reads in, redundant, effective, unique, supported, mean_redundancy."""
-    won = winners(contacts, s).withColumn("_owner", F.first(F.when(F.col("winner"), F.col("pair_id")), ignorenulls=True).over(Window.partitionBy(*keys(s))))
     least = 2 if s.population else s.min_repeats
-    reads = won.groupBy("pair_id").agg(
-        F.max((~F.col("winner") & (F.col("_owner") != F.col("pair_id"))).cast("int")).alias("out"),
-        F.sum(F.when(F.col("winner"), F.col("run")).otherwise(0)).alias("repeats"),
-        F.max("ambig_size").alias("size"),
-    )
-    kept = F.col("out") == 0
+    reads = _gathered(contacts, s).groupBy("pair_id").agg(*[F.max(f"_{c}").alias(c) for c in ("out", "repeats", "size")])
+    kept = ~F.col("out")
     enough = F.col("repeats") / F.col("size") >= least
     return reads.agg(
         F.count("*").alias("input_reads"),

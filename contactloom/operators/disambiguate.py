@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from contactloom.functions.plan import broadcast_if_small
+from contactloom.functions.plan import Keep, broadcast_if_small, written
 
 MIN_SEPARATION = 100
 
@@ -99,10 +99,10 @@ def dense_homologs(loaded: DataFrame, s: DisambiguateSettings) -> DataFrame:
     return df.select(*loaded.columns, F.when(homolog, sparse & (F.col("n") > 1)).otherwise(F.lit(True)).alias("keep"))
 
 
-def remove_isolated(contacts: DataFrame, s: DisambiguateSettings = DisambiguateSettings()) -> DataFrame:
+def remove_isolated(contacts: DataFrame, s: DisambiguateSettings = DisambiguateSettings(), keep: Keep = written) -> DataFrame:
     """First stage: contacts with `active` cleared for dense homolog pairs and for isolated unambiguous contacts."""
-    loaded = load(contacts, s)
-    kept = dense_homologs(loaded, s).withColumn("m", F.sum(F.col("keep").cast("int")).over(Window.partitionBy("pair_id")))
+    loaded = keep("loaded", load(contacts, s))
+    kept = keep("dense", dense_homologs(loaded, s).withColumn("m", F.sum(F.col("keep").cast("int")).over(Window.partitionBy("pair_id"))))
     single = kept.filter((F.col("m") == 1) & F.col("keep"))
     lone = kept.filter((F.col("n") == 1) & F.col("keep"))
     own = lone.select("chr_a", "chr_b", "bin_a", "bin_b").distinct().withColumn("_own", F.lit(True))
@@ -149,13 +149,26 @@ def relay_limit(relay: DataFrame, s: DisambiguateSettings) -> DataFrame:
     return v.agg(F.percentile("v", s.relay_percentile).alias("limit"))
 
 
-def network_filter(contacts: DataFrame, s: DisambiguateSettings, missing: DataFrame, relay: DataFrame | None = None, drop_isolated: bool = False) -> DataFrame:
-    """contacts with `active` narrowed in ambiguous groups, by ranking the support of their pairs."""
-    loaded = load(contacts, s)
+def supported(loaded: DataFrame, s: DisambiguateSettings) -> DataFrame:
+    """(pair_id, k, chr_a, chr_b, score) of the rows of ambiguous groups: support by unambiguous contacts nearby, zero
+    where the row's own bin has none."""
     lone = loaded.filter("n = 1")
     many = loaded.filter((F.col("n") > 1) & (F.col("n") <= s.max_pairs))
     own = lone.select("chr_a", "chr_b", "bin_a", "bin_b").distinct().withColumn("_own", F.lit(True))
     df = many.join(own, ["chr_a", "chr_b", "bin_a", "bin_b"], "left").join(network_scores(many, lone, s), ["chr_a", "chr_b", "pos_a", "pos_b"], "left")
+    score = F.when(F.col("_own").isNotNull(), F.coalesce("score", F.lit(0.0))).otherwise(0.0)
+    return df.select("pair_id", "k", "chr_a", "chr_b", score.alias("score"))
+
+
+def network_filter(
+    contacts: DataFrame, s: DisambiguateSettings, missing: DataFrame, relay: DataFrame | None = None, drop_isolated: bool = False,
+    loaded: DataFrame | None = None, scores: DataFrame | None = None,
+) -> DataFrame:
+    """contacts with `active` narrowed in ambiguous groups, by ranking the support of their pairs.
+
+    loaded and scores are load(contacts) and supported(loaded), where they are kept already."""
+    loaded = load(contacts, s) if loaded is None else loaded
+    df = supported(loaded, s) if scores is None else scores
     df = df.join(broadcast_if_small(missing.select(F.col("chr").alias("_m"))), (F.col("chr_a") == F.col("_m")) & (F.col("chr_b") == F.col("_m")), "left")
     gone = F.col("_m").isNotNull()
     possible = ~gone
@@ -164,8 +177,7 @@ def network_filter(contacts: DataFrame, s: DisambiguateSettings, missing: DataFr
         direct = F.col("chr_a") != F.col("chr_b")
         # chromosomes without any relay have none, and so too little
         possible = possible & (~direct | (F.coalesce("relay", F.lit(0.0)) >= F.coalesce("limit", F.lit(0.0))))
-    score = F.when(F.col("_own").isNotNull() & ~gone, F.coalesce("score", F.lit(0.0))).otherwise(0.0)
-    df = df.select("pair_id", "k", score.alias("s"), possible.alias("ok"))
+    df = df.select("pair_id", "k", F.when(gone, 0.0).otherwise(F.col("score")).alias("s"), possible.alias("ok"))
     groups = df.groupBy("pair_id").agg(F.sort_array(F.collect_list(F.struct("s", "k", "ok")), asc=False).alias("p"))  # at most max_pairs
     at = lambda i: F.coalesce(F.get("p", F.lit(i))["s"], F.lit(0.0))
     ok = F.filter("p", lambda x: x["ok"])
@@ -188,13 +200,17 @@ def network_filter(contacts: DataFrame, s: DisambiguateSettings, missing: DataFr
     return _apply(contacts, state.select("pair_id", "k", on.alias("_on")))
 
 
-def resolve(contacts: DataFrame, s: DisambiguateSettings = DisambiguateSettings()) -> DataFrame:
-    """Second stage, in two passes: a light one gives the relay between chromosomes, which the second one also uses."""
-    loaded = load(contacts, s)
-    missing = missing_cis(loaded, s)
-    first = network_filter(contacts, s, missing)
-    relay = trans_relay(load(first, s), s)
-    out = network_filter(contacts, s, missing, relay, drop_isolated=True)
+def resolve(contacts: DataFrame, s: DisambiguateSettings = DisambiguateSettings(), keep: Keep = written) -> DataFrame:
+    """Second stage, in two passes: a light one gives the relay between chromosomes, which the second one also uses.
+
+    Both rank the same scores, which are made once; what is used more than once is kept (written, by default)."""
+    contacts = keep("contacts", contacts)
+    loaded = keep("loaded", load(contacts, s))
+    missing = keep("missing", missing_cis(loaded, s))
+    scores = keep("scores", supported(loaded, s))
+    first = network_filter(contacts, s, missing, loaded=loaded, scores=scores)
+    relay = keep("relay", trans_relay(load(first, s), s))
+    out = network_filter(contacts, s, missing, relay, drop_isolated=True, loaded=loaded, scores=scores)
     if s.drop_position_ambiguous:
         bad = position_ambiguous(loaded).withColumn("_bad", F.lit(True))
         names = out.columns
@@ -202,9 +218,10 @@ def resolve(contacts: DataFrame, s: DisambiguateSettings = DisambiguateSettings(
     return out
 
 
-def disambiguate(contacts: DataFrame, s: DisambiguateSettings = DisambiguateSettings()) -> DataFrame:
+def disambiguate(contacts: DataFrame, s: DisambiguateSettings = DisambiguateSettings(), keep: Keep = written) -> DataFrame:
     """Both stages; data with fewer groups than min_contacts only has the first one."""
-    first = remove_isolated(contacts, s)
+    contacts = keep("input", contacts)
+    first = keep("first", remove_isolated(contacts, s, keep))
     if contacts.filter("active").select("pair_id").distinct().count() < s.min_contacts:
         return first
-    return resolve(first, s)
+    return resolve(first, s, keep)

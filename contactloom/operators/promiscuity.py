@@ -42,10 +42,8 @@ def end_classes(contacts: DataFrame, copies: int = 2, resolve: int = RESOLVE, cl
 def mark_promiscuous(contacts: DataFrame, copies: int = 2) -> DataFrame:
     """contacts with `promiscuity` of their group: promiscuous (before all), resolved, or clean."""
     ends = end_classes(contacts, copies).select("chr", "pos", "strand", "remove", "resolve")
-    touched = None
-    for x in "ab":
-        hit = contacts.select("pair_id", F.col(f"chr_{x}").alias("chr"), F.col(f"f_start_{x}").alias("pos"), F.col(f"strand_{x}").alias("strand")).join(ends, ["chr", "pos", "strand"])
-        touched = hit if touched is None else touched.unionByName(hit)
+    side = lambda x: F.struct(F.col(f"chr_{x}").alias("chr"), F.col(f"f_start_{x}").alias("pos"), F.col(f"strand_{x}").alias("strand"))
+    touched = contacts.select("pair_id", F.explode(F.array(side("a"), side("b"))).alias("x")).select("pair_id", "x.*").join(ends, ["chr", "pos", "strand"])
     groups = touched.groupBy("pair_id").agg(F.max("remove").alias("_r"), F.max("resolve").alias("_s"))
     df = contacts.join(groups, "pair_id", "left")
     kind = F.when(F.col("_r"), "promiscuous").when(F.col("_s"), "resolved").otherwise("clean")

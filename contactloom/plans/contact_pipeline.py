@@ -2,25 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from contactloom.functions.plan import Keep, written
 from contactloom.functions.sites import parse_sizes
 from contactloom.operators import classify, contact_stats, dedupe, disambiguate, pairing, promiscuity
 from contactloom.plans.config import PipelineConfig
 
-#: Keeps a stage: the default passes it on in one plan; a job on a cluster writes it and reads it again, so that a
-#: later run can resume there.
-Keep = Callable[[str, DataFrame], DataFrame]
-
-
-def _pass(name: str, df: DataFrame) -> DataFrame:
-    return df
-
-
-def filtered_contacts(alignments: DataFrame, re1: DataFrame | None, cfg: PipelineConfig, re2: DataFrame | None = None, stars: DataFrame | None = None, names: DataFrame | None = None, keep: Keep = _pass) -> DataFrame:
+def filtered_contacts(alignments: DataFrame, re1: DataFrame | None, cfg: PipelineConfig, re2: DataFrame | None = None, stars: DataFrame | None = None, names: DataFrame | None = None, keep: Keep = written) -> DataFrame:
     """Tagged contacts of alignments (read_no, end, flag, contig, pos, seq, qual, as_score, md)."""
     s = pairing.PairSettings(scheme=cfg.scheme, report_ambiguous=cfg.report_ambiguous, unique_map=cfg.unique_map, hybrid=cfg.hybrid)
     pairs = keep("paired", pairing.to_contacts(pairing.normalise(alignments, names, cfg.scheme), s))
@@ -29,7 +19,7 @@ def filtered_contacts(alignments: DataFrame, re1: DataFrame | None, cfg: Pipelin
     return keep("filtered", classify.filter_pairs(pairs, re1, f, re2, stars))
 
 
-def final_contacts(filtered: DataFrame, cfg: PipelineConfig, homologs: DataFrame | None = None, keep: Keep = _pass) -> DataFrame:
+def final_contacts(filtered: DataFrame, cfg: PipelineConfig, homologs: DataFrame | None = None, keep: Keep = written) -> DataFrame:
     """Accepted contacts without duplicates and, for single cells, without promiscuous ends and unclear pairs."""
     df = filtered.filter("tag = 'accepted'")
     if not (cfg.population and cfg.second_enzyme):
@@ -40,7 +30,7 @@ def final_contacts(filtered: DataFrame, cfg: PipelineConfig, homologs: DataFrame
     if cfg.hybrid and not cfg.population:
         k = F.row_number().over(Window.partitionBy("pair_id").orderBy("chr_a", "start_a", "chr_b", "start_b")) - 1
         s = disambiguate.DisambiguateSettings(separation=int(cfg.separation_mb * 1e6), ratio=cfg.score_ratio, min_contacts=cfg.min_contacts)
-        df = keep("disambiguated", disambiguate.disambiguate(df.withColumn("k", k.cast("long")).withColumn("active", F.lit(True)), s))
+        df = keep("disambiguated", disambiguate.disambiguate(df.withColumn("k", k.cast("long")).withColumn("active", F.lit(True)), s, keep))
     return df
 
 

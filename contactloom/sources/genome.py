@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -11,11 +9,16 @@ from contactloom.sources.fastq import numbered_lines
 
 
 def read_fasta(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(contig, seq): first word of each header, and its lines joined and upper-cased."""
-    rows = spark.read.option("lineSep", ">").text(paths).filter("length(value) > 0")
+    """(contig, seq): first word of each header, and its lines joined and upper-cased. Only a > that begins a line is a
+    header; lines before the first one belong to no contig."""
+    rows = spark.read.option("lineSep", "\n>").text(paths).select(F.regexp_replace("value", "\r", "").alias("value"), F.monotonically_increasing_id().alias("_id"), F.col("_metadata.file_block_start").alias("_at"))
+    # the separator takes the > of all entries but one that begins the file
+    first = F.startswith("value", F.lit(">"))
     head = F.split("value", "\n", 2)
-    name = F.regexp_extract(head[0], r"^\s*(\S+)", 1)
-    return rows.select(name.alias("contig"), F.upper(F.regexp_replace(F.coalesce(F.get(head, F.lit(1)), F.lit("")), r"\s+", "")).alias("seq"))
+    name = F.regexp_extract(F.regexp_replace(head[0], "^>", ""), r"^\s*(\S+)", 1)
+    start = (F.col("_at") == 0) & (F.col("_id").bitwiseAND((1 << 33) - 1) == 0)
+    got = rows.filter(~start | first)
+    return got.select(name.alias("contig"), F.upper(F.regexp_replace(F.coalesce(F.get(head, F.lit(1)), F.lit("")), r"\s+", "")).alias("seq")).filter("contig <> ''")
 
 
 def read_names(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -62,8 +65,12 @@ def fragments_text(frags: DataFrame) -> DataFrame:
 
 
 def read_fragments_text(spark: SparkSession, path: str) -> DataFrame:
-    """(chr, contig, frag_idx, frag_start, frag_end, mappability) from the exchange layout, with a header line."""
-    df = spark.read.option("sep", "\t").option("header", True).schema("Source string, Contig string, Frag_Start long, Frag_End long, Mappability int").csv(path)
+    """(chr, contig, frag_idx, frag_start, frag_end, mappability) from the exchange layout, with or without header lines.
+
+    A header is a line whose third field is no number."""
+    text = spark.read.option("sep", "\t").schema("Source string, Contig string, _s string, _e string, Mappability int").csv(path)
+    number = lambda c, name: F.expr(f"try_cast({c} as bigint)").alias(name)
+    df = text.select("Source", "Contig", number("_s", "Frag_Start"), number("_e", "Frag_End"), "Mappability").filter("Frag_Start is not null")
     dup = df.groupBy("Source").agg(F.countDistinct("Contig").alias("n")).filter("n > 1").limit(1).count()
     if dup:
         raise ValueError("one chromosome name has several contigs")
@@ -127,5 +134,3 @@ def name_contigs(contigs: DataFrame, metadata: DataFrame, min_kb: int = 100) ->
     k = F.row_number().over(Window.partitionBy("chr", "_u").orderBy("contig"))
     return df.select("contig", F.when(F.col("_u"), F.concat("chr", F.lit("_unloc_"), k.cast("string"))).otherwise(F.col("chr")).alias("chr"))
 
-
-GENOME_TAG = re.compile(r"\.[ab]$")

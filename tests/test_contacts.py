@@ -2,6 +2,10 @@
 
 import glob
 import os
+import shutil
+import subprocess
+import sys
+from pathlib import Path
 
 import duckdb
 import pytest
@@ -246,3 +250,51 @@ def test_sql_twins(spark, name):
     rows = con.sql(queries.ORACLE[name]).project(", ".join(f'"{c}"' for c in cols)).fetchall()
     b = sorted(map(repr, (tuple(None if v is None else float(v) if isinstance(v, (int, float)) else v for v in r) for r in rows)))
     assert a == b
+
+
+def test_only_line_starts_begin_fasta_entries(spark, tmp_path):
+    (tmp_path / "a.fa").write_text("; a remark\n>c1 a>b note\nACg\nTT\n>c2\r\nNN>N\n>c3\n")
+    got = {r.contig: r.seq for r in genome.read_fasta(spark, str(tmp_path / "a.fa")).collect()}
+    assert got == {"c1": "ACGTT", "c2": "NN>N", "c3": ""}
+
+
+def test_fragment_files_come_back_whole(spark, tmp_path):
+    rows = [("chr1", k, k * 100, k * 100 + 99) for k in range(10)]
+    df = spark.createDataFrame(rows, "chr string, frag_idx long, frag_start long, frag_end long")
+    genome.fragments_text(df.repartition(2)).write.text(str(tmp_path / "f"))
+    (tmp_path / "f" / "head.txt").write_text("Source\tContig\tFrag_Start\tFrag_End\tMappability\n")
+    back = genome.read_fragments_text(spark, str(tmp_path / "f"))
+    assert sorted(map(tuple, back.select("chr", "frag_idx", "frag_start", "frag_end").collect())) == rows
+
+
+def test_bad_fastq_lines_are_told(spark, tmp_path):
+    (tmp_path / "a.fq").write_text("@a\nAC\n+\nII\nb\nAC\n-\nII\n")
+    bad = fastq.validate_fastq(fastq.numbered_lines(spark, str(tmp_path / "a.fq")))
+    assert sorted((r.line_no, r.value) for r in bad.collect()) == [(4, "b"), (6, "-")]
+
+
+def test_stats_without_contacts_are_an_error(spark):
+    ncc, stats = (spark.createDataFrame([(x,)], "path string") for x in ("a/x.ncc", "a/y_stats.json"))
+    with pytest.raises(ValueError, match="without contacts"):
+        contact_stats.join_by_root(ncc, stats)
+
+
+def test_the_text_operators_can_be_taken_away(tmp_path):
+    root = Path(__file__).resolve().parents[1]
+    shutil.copytree(root, tmp_path / "repo", ignore=shutil.ignore_patterns(".git", "llm", "__pycache__"))
+    code = "import __spark_entry__ as e; q, o = e.queries(), e.oracle_sql(); assert 'f_filter_counts' in q and set(o) == set(q), set(q) ^ set(o); assert not any(n.startswith('op') or n == 'pipeline' for n in q)"
+    for gone in ((), ("corpus_pipeline.py",)):
+        for name in gone:
+            (tmp_path / "repo" / name).unlink()
+        subprocess.run([sys.executable, "-c", code], cwd=tmp_path / "repo", check=True, env={**os.environ, "PYTHONPATH": ""})
+
+
+def test_streams_are_clipped(spark, tmp_path):
+    from contactloom.streaming import reads as streams
+
+    s = clip.ClipSettings("GATCGATC", "GATC", min_length=4)
+    spark.createDataFrame([(1, "ACGTGATCGATCAA", "I" * 14), (2, "AC", "II")], "read_no long, seq string, qual string").write.parquet(str(tmp_path / "in"))
+    source = spark.readStream.schema("read_no long, seq string, qual string").parquet(str(tmp_path / "in"))
+    query = streams.clip_stream(source, s).writeStream.format("memory").queryName("clipped").trigger(availableNow=True).start()
+    query.awaitTermination(60)
+    assert [tuple(r) for r in spark.sql("select * from clipped").collect()] == [(1, "ACGTGATC", "I" * 8)]
