@@ -1,7 +1,8 @@
 """Suffix arrays built one bucket at a time, with a difference cover for long ties.
 
 D = {0, 1, 3} covers all differences modulo 7: for any two positions there is a shift d < 7 that moves both into the
-sample {p : p mod 7 in D}. The sample's suffixes are ranked first, by prefix doubling in steps of 7. All other
+sample {p : p mod 7 in D}. The sample's suffixes are ranked first, by prefix doubling in steps of 7, in which only ties
+are sorted again. All other
 suffixes are then sorted bucket by bucket (ranges of the first eight bytes): by those bytes, then, where they tie, by
 residue; lists of the eight residues merge by ranks of sample positions, since after a tie of at least 7 bytes the
 order of two suffixes is the order of the sample suffixes d further on. Beside the text and the ranks, memory holds
@@ -34,18 +35,40 @@ def sample_ranks(data: np.ndarray, eight: np.ndarray) -> np.ndarray:
     rank = np.zeros(n + V + 1, np.int64)
     # seven bytes, and how many there are, so that an end sorts before a zero byte
     key = (eight[place] & ~np.uint64(0xFF)) | np.minimum(n - place, V).astype(np.uint64)
-    distinct, inverse = np.unique(key, return_inverse=True)
-    rank[place] = inverse + 1
+    order = np.argsort(key, kind="stable")
+    sorted_place, first = place[order], _run_starts(key[order])
+    rank[sorted_place] = first + 1
+    spot = np.flatnonzero(_tied(first))  # where in the order ties are left; only these are sorted again
     length = V
-    while len(distinct) < len(place) and length < n:
-        follow = np.where(place + length < n, rank[np.minimum(place + length, n)], 0)
-        key = rank[place].astype(np.uint64) * np.uint64(len(place) + 1) + follow.astype(np.uint64)
-        distinct, inverse = np.unique(key, return_inverse=True)
-        rank[place] = inverse + 1
+    while len(spot) and length < n:
+        mine = sorted_place[spot]
+        follow = np.where(mine + length < n, rank[np.minimum(mine + length, n)], 0)
+        key = (first[spot].astype(np.uint64) << np.uint64(32)) | follow.astype(np.uint64)
+        order = np.argsort(key, kind="stable")
+        # a group's members stay in its own stretch of the order
+        sorted_place[spot] = mine[order]
+        first[spot] = spot[_run_starts(key[order])]
+        rank[sorted_place[spot]] = first[spot] + 1
+        spot = spot[_tied(first[spot])]
         length *= 2
     return rank
 
 
+def _run_starts(x: np.ndarray) -> np.ndarray:
+    """For each place, where its run of equal values begins."""
+    new = np.ones(len(x), np.bool_)
+    new[1:] = x[1:] != x[:-1]
+    return np.maximum.accumulate(np.where(new, np.arange(len(x)), 0))
+
+
+def _tied(first: np.ndarray) -> np.ndarray:
+    same = first[1:] == first[:-1]
+    out = np.zeros(len(first), np.bool_)
+    out[1:] |= same
+    out[:-1] |= same
+    return out
+
+
 def _sort_bucket(place: np.ndarray, eight: np.ndarray, rank: np.ndarray, n: int) -> np.ndarray:
     head = eight[place]
     order = np.argsort(head, kind="stable")

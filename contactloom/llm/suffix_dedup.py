@@ -9,14 +9,16 @@ each other by content-chosen anchors, and suffixes are sorted only where a passa
 2. For shared anchors, batches send their distinct contexts with the least doc_id of each. Where an earlier document
    has the whole context, all of its windows repeat. They also ask which anchors have several contexts.
 3. The first document of each context can still share single windows with other contexts of its anchor, if there are
-   any. These windows are sorted by the blockwise suffix array (`suffix_array.buckets`) of their batch's stretches; runs of equal
-   windows go to buckets once a batch, with the least doc_id, and come back with the least one of all.
+   any. The bytes of these contexts go to a bucket of suffixes, chosen by the anchor, from all batches. A bucket sorts its
+   suffixes blockwise (`suffix_array.buckets`); neighbours in the order that agree in `length` bytes are a run, and a
+   window of a run repeats where its document is not the run's first. Only the order and the bytes decide here.
 
-Anchors are only a filter that never misses; contexts and windows are told apart by 64-bit hashes of their bytes. A
-passage that most documents hold costs each batch one entry a round, so no bucket gets more than one row a batch for it.
+Anchors are only a filter that never misses; whole contexts are told apart by 64-bit hashes. A passage that most documents
+hold costs each batch one entry a round, so no bucket gets more than one row a batch for it.
 
 Edge cases: a null text is empty; texts under `length` bytes lose nothing; a null doc_id counts as later than all
-others; rows with equal doc_ids don't remove anything from each other; other columns are ignored by `removals`.
+others; rows with equal doc_ids don't remove anything from each other; other columns are ignored by `removals`, and
+travel with the rows through `rewrite`; an empty table has no rows in both.
 """
 
 from __future__ import annotations
@@ -35,10 +37,10 @@ from contactloom.llm.common import (
     Batch,
     RollingHash,
     _powers,
-    answer_min,
     answers,
     batch_documents,
     buckets_for,
+    deal,
     group_min,
     least_of,
     mix,
@@ -109,45 +111,38 @@ class Anchors:
         end = self.last + length
         self.context = mix(self.roll.of(self.first, end) + (end - self.first).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
-    def windows(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(starts, places among the chosen stretches) of all windows of the chosen stretches."""
-        first, size = self.first[chosen], self.last[chosen] - self.first[chosen] + 1
-        stop = np.cumsum(size)
-        total = int(stop[-1]) if len(stop) else 0
-        which = np.repeat(np.arange(len(first)), size)
-        return np.arange(total, dtype=np.int64) + np.repeat(first - (stop - size), size), which
-
-
-def window_keys(anchors: Anchors, starts: np.ndarray) -> np.ndarray:
-    """One number for each window, equal for equal bytes: runs of the sorted suffixes, named by a hash of the bytes."""
-    length = anchors.length
-    raw = mix(anchors.roll.of(starts, starts + length))
-    if not len(starts):
-        return raw
-    # the text of the stretches only, each long enough for its windows
-    data, n = anchors.batch.bytes, len(anchors.batch.text)
-    need = np.zeros(n + 1, np.int32)
-    order = np.unique(starts)
-    np.add.at(need, order, 1)
-    np.add.at(need, order + length, -1)
-    used = np.cumsum(need)[:n] > 0
-    moved = np.cumsum(used) - 1
-    text, place = data[used], moved[order]
-    keys = np.zeros(len(order), np.uint64)
-    back = np.zeros(len(text), np.int64)
-    back[place] = np.arange(len(order))
-    name = mix(anchors.roll.of(order, order + length))
-    eight = suffix_array.words(text)
+
+def _ranges(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """start[0] .. start[0] + count[0] - 1, start[1] .., one after another."""
+    stop = np.cumsum(count)
+    return np.arange(int(stop[-1]) if len(stop) else 0, dtype=np.int64) + np.repeat(start - (stop - count), count)
+
+
+def repeated_windows(text: bytes, sizes: np.ndarray, ids: np.ndarray, length: int) -> np.ndarray:
+    """Flags of all windows of stretches that stand one after another in text, with `sizes` bytes each and the id of each:
+    whether a stretch with a lesser id has the window too.
+
+    Suffixes are sorted; neighbours with the same first `length` bytes are a run, which has the least id of its members.
+    """
+    data = np.frombuffer(text, np.uint8)
+    count = sizes - length + 1
+    starts = _ranges(np.cumsum(sizes) - sizes, count)
+    mine = np.repeat(ids, count)
+    least = mine.copy()
+    back = np.zeros(len(data), np.int64)
+    back[starts] = np.arange(len(starts))
+    eight = suffix_array.words(data)
     offsets = [*range(0, length - 7, 8), length - 8]
-    for piece in suffix_array.buckets(text, place):
-        # neighbours with the same bytes are a run; it has the name of its first suffix
+    for piece in suffix_array.buckets(data, starts):
         new = np.zeros(len(piece), np.bool_)
         new[0] = True
         for o in offsets:
             w = eight[piece + o]
             new[1:] |= w[1:] != w[:-1]
-        keys[back[piece]] = name[back[piece[new]]][np.cumsum(new) - 1]
-    return keys[np.searchsorted(order, starts)]
+        window = back[piece]
+        low = np.minimum.reduceat(mine[window], np.flatnonzero(new))
+        least[window] = low[np.cumsum(new) - 1]
+    return least < mine
 
 
 def _each(call: Callable[[int, bytes], pd.DataFrame]):
@@ -200,6 +195,24 @@ def _answer_contexts(asked: DataFrame, n: int) -> DataFrame:
     return asked.groupBy("bucket").applyInPandas(run, REQUEST)
 
 
+def _answer_windows(asked: DataFrame, length: int) -> DataFrame:
+    """For each stretch sent, which of its windows an earlier document has."""
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        parts = [unpack(b) for b in frame["blob"]]
+        sizes = [p["size"].astype(np.int64) for p in parts]
+        flags = repeated_windows(b"".join(p["text"] for p in parts), np.concatenate(sizes), np.concatenate([p["id"] for p in parts]), length)
+        rows, at = [], 0
+        for size, bucket, batch in zip(sizes, frame["bucket"].tolist(), frame["batch"].tolist(), strict=True):
+            n = int((size - length + 1).sum())
+            rows.append((bucket, batch, pack(bits=np.packbits(flags[at : at + n]))))
+            at += n
+        trim()
+        return pd.DataFrame(rows, columns=["bucket", "batch", "blob"])
+
+    return asked.groupBy("bucket").applyInPandas(run, REQUEST)
+
+
 class _State:
     """What a batch knows after the rounds answered so far. rows: (round, bucket, blob)."""
 
@@ -220,14 +233,31 @@ class _State:
             later = first < a.id[self.chosen]
             self.repeated = self.chosen[later]
             self.own = self.chosen[~later & several]
-            self.starts, which = a.windows(self.own)
-            self.ids = a.id[self.own][which]
-            self.keys, self.key_place, self.key_least, _ = group_min(window_keys(a, self.starts), self.ids)
-        if 3 in got:
-            least = answers(self.keys, n, got[3], "least", np.int64)[self.key_place]
-            self.later = self.starts[least < self.ids]
-        else:
-            self.later = np.zeros(0, np.int64)
+            # one stretch for each distinct context; a context's stretches here are all of its first document
+            _, self.rep, self.of = np.unique(a.context[self.own], return_index=True, return_inverse=True)
+            self.rep = self.own[self.rep]
+        self.later = np.zeros(0, np.int64)
+        if 3 in got and len(self.own):
+            order, bounds = deal(a.key[self.rep], n)
+            count = (a.last - a.first + 1)[self.rep]
+            offset = np.cumsum(count) - count
+            flags = np.zeros(int(count.sum()), np.bool_)
+            for b, blob in zip(got[3]["bucket"].tolist(), got[3]["blob"], strict=True):
+                at = _ranges(offset[order[bounds[b] : bounds[b + 1]]], count[order[bounds[b] : bounds[b + 1]]])
+                flags[at] = np.unpackbits(unpack(blob)["bits"])[: len(at)]
+            hit = flags[_ranges(offset[self.of], count[self.of])]
+            self.later = _ranges(a.first[self.own], count[self.of])[hit]
+
+    def stretches(self, batch: int, n: int) -> pd.DataFrame:
+        """(bucket, batch, blob): bytes, sizes and ids of the stretches whose windows have to be sorted."""
+        a = self.a
+        order, bounds = deal(a.key[self.rep], n)
+        rows = []
+        for b in np.flatnonzero(bounds[1:] > bounds[:-1]).tolist():
+            part = self.rep[order[bounds[b] : bounds[b + 1]]]
+            first, end = a.first[part], a.last[part] + a.length
+            rows.append((b, batch, pack(size=(end - first).astype(np.uint32), id=a.id[part], text=a.batch.bytes[_ranges(first, end - first)].tobytes())))
+        return pd.DataFrame(rows, columns=["bucket", "batch", "blob"])
 
     def removed(self) -> np.ndarray:
         """Flags over all bytes of the batch."""
@@ -275,7 +305,7 @@ def removals(spark: SparkSession, docs: DataFrame, each: Callable[[Batch, np.nda
 
     def ask_windows(batch: int, blob: bytes, rows: pd.DataFrame) -> pd.DataFrame:
         s = _State(blob, rows, n, length, k)
-        return requests(batch, s.keys, n, value=s.key_least)
+        return s.stretches(batch, n)
 
     def finish(batch: int, blob: bytes, rows: pd.DataFrame) -> pd.DataFrame:
         s = _State(blob, rows, n, length, k)
@@ -283,7 +313,7 @@ def removals(spark: SparkSession, docs: DataFrame, each: Callable[[Batch, np.nda
 
     shared = _answer_shared(batches.mapInPandas(_each(ask_anchors), REQUEST))
     contexts = _answer_contexts(_with_answers(batches, [shared], ask_contexts, REQUEST), n)
-    windows = answer_min(_with_answers(batches, [shared, contexts], ask_windows, REQUEST))
+    windows = _answer_windows(_with_answers(batches, [shared, contexts], ask_windows, REQUEST), length)
     return _with_answers(batches, [shared, contexts, windows], finish, schema)
 
 
