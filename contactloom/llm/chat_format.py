@@ -9,7 +9,7 @@ turns.
 The output is one segment a turn; a conversation is its segments in order. Reading back streams over sorted segments
 and holds one running digest, so a very long conversation needs no more memory than a short one.
 
-Edge cases: null text is empty; a null role is an empty one; null conv_ids are one conversation; equal turn numbers go
+Edge cases: null text is empty; a null role is an empty one; a conv_id is any text, null ones are one conversation; equal turn numbers go
 by role, then text; parts of an unknown type raise an error; other columns are ignored.
 """
 
@@ -18,16 +18,19 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from contactloom.llm.packing import tokenizer_at
+
 ESCAPED = re.compile(r"\\|#(?=##)|<(?=/turn>|image |audio |document )")
 ROLE_ESCAPED = re.compile(r"[\\:\n#<]")
-TURN = re.compile(r"### ((?:[^\\:\n]|\\.)*):\n((?:[^\\<]|\\.|<(?!/turn>))*)</turn>\n", re.S)
+#: Possessive, so that no state is kept for the characters of a long turn.
+TURN = re.compile(r"### ((?:[^\\:\n]++|\\.)*+):\n((?:[^\\<]++|\\.|<(?!/turn>))*+)</turn>\n", re.S)
 UNESCAPE = re.compile(r"\\(.)", re.S)
 #: Tokens of one image tile, of a second of audio, of a page of a document.
 TILE_TOKENS, SECOND_TOKENS, PAGE_TOKENS = 256, 25, 512
@@ -37,10 +40,15 @@ SEGMENT = (
 )
 
 
+def count_words(text: str) -> int:
+    return len(text.split())
+
+
 @dataclass
 class PartVisitor:
-    """Walks content parts; `out` holds the pieces of the turn's text."""
+    """Walks content parts; `out` holds the pieces of the turn's text. `count` tells how many tokens a text has."""
 
+    count: Callable[[str], int] = count_words
     out: list[str] = field(default_factory=list)
     attachments: list[dict] = field(default_factory=list)
     tokens: int = 0
@@ -54,7 +62,7 @@ class PartVisitor:
 
     def visit_text(self, part: dict) -> None:
         text = part.get("text") or ""
-        self.tokens += len(text.split())
+        self.tokens += self.count(text)
         self.out.append(ESCAPED.sub(r"\\\g<0>", text))
 
     def _attach(self, kind: str, part: dict, tokens: int) -> None:
@@ -73,9 +81,9 @@ class PartVisitor:
         self._attach("document", part, PAGE_TOKENS * max(1, int(part.get("pages") or 1)))
 
 
-def write_turn(role: str, content: str | list[dict]) -> tuple[str, int, int, int, list[dict]]:
+def write_turn(role: str, content: str | list[dict], count: Callable[[str], int] = count_words) -> tuple[str, int, int, int, list[dict]]:
     """(segment, mask start, mask end, tokens, attachments); the mask is empty but for assistant turns."""
-    visitor = PartVisitor()
+    visitor = PartVisitor(count)
     for part in [{"type": "text", "text": content}] if isinstance(content, str) else content:
         visitor.visit(part)
     head, body = f"### {ROLE_ESCAPED.sub(r'\\\g<0>', role)}:\n", "".join(visitor.out)
@@ -107,10 +115,11 @@ def read_all(text: str) -> list[tuple[str, str]]:
     return out
 
 
-def format_turns(turns: DataFrame, parts: str | None = None) -> DataFrame:
+def format_turns(turns: DataFrame, parts: str | None = None, tokenizer: str | None = None) -> DataFrame:
     """One segment a row of turns (conv_id, turn, role, text); `parts` names a column of JSON lists of content parts.
 
-    Where it is null, the text is used.
+    Where it is null, the text is used. `tokenizer` is the path of a tokenizer's file, by which text is counted (by words
+    without one).
     """
     content = F.col(parts) if parts else F.lit(None).cast("string")
     rows = turns.select(
@@ -122,8 +131,9 @@ def format_turns(turns: DataFrame, parts: str | None = None) -> DataFrame:
     )
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        count = count_words if tokenizer is None else lambda t: len(tokenizer_at(tokenizer).encode(t, add_special_tokens=False).ids)
         for f in frames:
-            made = [write_turn(r, json.loads(p) if isinstance(p, str) else t) for r, t, p in zip(f["role"], f["text"], f["parts"], strict=True)]
+            made = [write_turn(r, json.loads(p) if isinstance(p, str) else t, count) for r, t, p in zip(f["role"], f["text"], f["parts"], strict=True)]
             f = f.drop(columns="parts")
             for i, c in enumerate(("segment", "mask_start", "mask_end", "tokens", "attachments")):
                 f[c] = [x[i] for x in made]
@@ -150,8 +160,7 @@ class _Reader:
         self.masked.update(under.encode())
 
     def row(self) -> tuple:
-        conv = None if self.conv_id is None else int(self.conv_id)
-        return conv, self.turns, self.all.hexdigest(), self.loss, self.masked.hexdigest(), self.chars
+        return self.conv_id, self.turns, self.all.hexdigest(), self.loss, self.masked.hexdigest(), self.chars
 
 
 def read_back(segments: DataFrame) -> DataFrame:
@@ -170,16 +179,13 @@ def read_back(segments: DataFrame) -> DataFrame:
                     now = _Reader(conv)
                 now.feed(segment, int(a), int(b))
             out = pd.DataFrame(rows, columns=names)
-            out["conv_id"] = pd.array([r[0] for r in rows], dtype="Int64")
             yield out
         if now is not None:
-            out = pd.DataFrame([now.row()], columns=names)
-            out["conv_id"] = pd.array([now.row()[0]], dtype="Int64")
-            yield out
+            yield pd.DataFrame([now.row()], columns=names)
 
     order = segments.repartition(F.col("conv_id")).sortWithinPartitions("conv_id", "turn", "role", "text")
     return order.select("conv_id", "segment", "mask_start", "mask_end").mapInPandas(
-        run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
+        run, "conv_id string, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
     )
 
 
@@ -191,4 +197,4 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op7: all conversations and the probe, formatted and read back."""
     rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
     probe = spark.createDataFrame([(-7, 0, "user", PROBE), (-7, 1, "assistant", PROBE)], "conv_id long, turn long, role string, text string")
-    return read_back(format_turns(rows.unionByName(probe)))
+    return read_back(format_turns(rows.unionByName(probe))).withColumn("conv_id", F.col("conv_id").cast("long"))

@@ -30,9 +30,11 @@ BATCH_BYTES = 2 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share. Set here only where the session has none (tests, one machine)."""
+    """The folder that driver and executors share. Set here only where the session has none and runs on one machine."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that all executors share")
         path = tempfile.mkdtemp(prefix="loom-")
         atexit.register(shutil.rmtree, path, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", path)
@@ -173,7 +175,9 @@ class Batch:
     def others(self) -> pd.DataFrame:
         """The columns that travel with the rows."""
         nullable = {pa.int64(): pd.Int64Dtype(), pa.int32(): pd.Int32Dtype(), pa.bool_(): pd.BooleanDtype()}
-        return pa.ipc.open_stream(self._others).read_all().to_pandas(types_mapper=nullable.get)
+        out = pa.ipc.open_stream(self._others).read_all().to_pandas(types_mapper=nullable.get)
+        # texts as plain objects: a column of Arrow's may come in several chunks, which a struct of columns doesn't take
+        return out.astype({c: object for c in out if isinstance(out[c].dtype, pd.StringDtype)})
 
     def id_column(self) -> pd.Series:
         return pd.Series(np.where(self.null, None, self.ids.astype(object)), dtype="object").astype("Int64")

@@ -27,6 +27,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -36,8 +37,10 @@ from contactloom.llm.units import UnitEncoder, chunks
 CAPACITY, END_ID = 4096, 1
 TOKENIZER = "word_bpe_49k.json"
 #: Rows of one length that are ranked together at most, on average.
-RANKED = 50_000
+RANKED = 2_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
+#: Beside them, a number that is spread evenly over rows, equal ones too.
+SPREAD = PIECES + ", spread int"
 
 
 def tokenizer_path(name: str) -> str:
@@ -47,7 +50,7 @@ def tokenizer_path(name: str) -> str:
 
 
 @lru_cache(maxsize=2)
-def _tokenizer(path: str):
+def tokenizer_at(path: str):
     from tokenizers import Tokenizer
 
     return Tokenizer.from_file(path)
@@ -55,7 +58,7 @@ def _tokenizer(path: str):
 
 def word_encoder(path: str) -> UnitEncoder:
     """Encoder of whole texts by `tokenizers`. Its pre-tokenizer drops white space and never joins words across it."""
-    tokenizer = _tokenizer(path)
+    tokenizer = tokenizer_at(path)
 
     def encode(units: list[str]) -> list[list[int]]:
         return [e.ids for e in tokenizer.encode_batch_fast(units, add_special_tokens=False)]
@@ -75,14 +78,15 @@ def lasting_encoder(path: str) -> UnitEncoder:
 
 
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID, lasting: bool = True) -> DataFrame:
-    """Pieces (doc_id, piece, start, length, ids_crc32) of all rows of docs (doc_id, text).
+    """Pieces (doc_id, piece, start, length, ids_crc32, spread) of all rows of docs (doc_id, text).
 
     A lasting encoder keeps the words that it has met for a worker's next tasks; the other one frees them.
     """
-    kinds = {"doc_id": pa.int64(), "piece": pa.int32(), "start": pa.int64(), "length": pa.int64(), "ids_crc32": pa.int64()}
+    kinds = {"doc_id": pa.int64(), "piece": pa.int32(), "start": pa.int64(), "length": pa.int64(), "ids_crc32": pa.int64(), "spread": pa.int32()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = (lasting_encoder if lasting else word_encoder)(path)
+        made = TaskContext.get().partitionId() * 7919
         for batch in batches:
             for rows in chunks(batch):
                 out: list[tuple] = []
@@ -90,14 +94,15 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = E
                     ids = np.append(ids, end_id).astype("<u4")
                     for k, at in enumerate(range(0, len(ids), capacity)):
                         part = ids[at : at + capacity]
-                        out.append((doc_id, k, at, len(part), zlib.crc32(part.tobytes())))
+                        made += 1
+                        out.append((doc_id, k, at, len(part), zlib.crc32(part.tobytes()), made * 0x9E3779B1 % (1 << 32) >> 2))
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds.values(), strict=True)], list(kinds))
         if not lasting:
             del encode
             trim()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return rows.mapInArrow(run, PIECES)
+    return rows.mapInArrow(run, SPREAD)
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> pd.DataFrame:
@@ -176,11 +181,11 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> pd.DataFrame:
 
 def ranked(table: DataFrame, counts: dict[int, int]) -> DataFrame:
     """table with `rank`: 0.. among the rows of each length, each number once."""
-    hot = {n: min(1 << 20, -(-c // RANKED)) for n, c in counts.items() if c > RANKED}
+    hot = {n: min(1 << 28, -(-c // RANKED)) for n, c in counts.items() if c > RANKED}
     salts: Column = F.lit(1)
     if hot:
         salts = F.coalesce(F.create_map(*[F.lit(x) for n, s in hot.items() for x in (n, s)])[F.col("length").cast("int")], F.lit(1))
-    spread = table.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), salts).cast("int"))
+    spread = table.withColumn("salt", F.pmod(F.col("spread"), salts).cast("int"))
     w = Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "start", "ids_crc32")
     local = spread.withColumn("rank", F.row_number().over(w).cast("long") - 1)
     if not hot:

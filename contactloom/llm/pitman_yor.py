@@ -29,7 +29,7 @@ rows count each time; other columns are ignored.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -178,11 +178,14 @@ def stirling(discount: float, top: int) -> np.ndarray:
     return out
 
 
-def draw_tables(c: np.ndarray, others: np.ndarray, p: np.ndarray, discount: float, strength: float, cfg: Settings, rng: np.random.Generator) -> np.ndarray:
+#: chance(i, t): the parent's probability of the words of rows i, when t tables of theirs stand there already.
+Chance = Callable[[np.ndarray, np.ndarray], np.ndarray]
+
+
+def draw_tables(c: np.ndarray, others: np.ndarray, chance: Chance, discount: float, strength: float, cfg: Settings, rng: np.random.Generator) -> np.ndarray:
     """Numbers of tables for c customers of a word in a restaurant with `others` tables of other words.
 
-    p is the parent's probability of the word. P(t) is proportional to S(c, t) * p**t * (strength + discount * others)
-    * ... * (strength + discount * (others + t - 1)).
+    P(t) is proportional to S(c, t) times, for k = 0 .. t - 1, (strength + discount * (others + k)) * chance(k).
     """
     out = np.minimum(c, 1)
     room = strength + discount * others
@@ -193,7 +196,8 @@ def draw_tables(c: np.ndarray, others: np.ndarray, p: np.ndarray, discount: floa
     for size, a, b in zip(sizes.tolist(), bounds, bounds[1:], strict=False):
         for lo in range(a, b, max(1, (1 << 21) // size)):
             i = small[lo : min(b, lo + max(1, (1 << 21) // size))]
-            x = np.log(room[i, None] + discount * np.arange(size)) + np.log(p[i, None])
+            k = np.arange(size)[None, :]
+            x = np.log((room[i, None] + discount * k) * chance(i[:, None], k))
             np.cumsum(x, axis=1, out=x)
             x += table[size, 1 : size + 1]
             x -= x.max(axis=1, keepdims=True)
@@ -201,17 +205,17 @@ def draw_tables(c: np.ndarray, others: np.ndarray, p: np.ndarray, discount: floa
             out[i] = 1 + (x < rng.random(len(i))[:, None] * x[:, -1:]).sum(axis=1)
     large = np.flatnonzero(c > cfg.exact)
     if len(large):
-        ways = [_seat(c[large], room[large], p[large], discount, rng) for _ in range(cfg.proposals)]
+        ways = [_seat(c[large], room[large], lambda i, t: chance(large[i], t), discount, rng) for _ in range(cfg.proposals)]
         tables, weight = np.stack([w[0] for w in ways]), np.stack([w[1] for w in ways])
         pick = (weight + rng.gumbel(size=weight.shape)).argmax(axis=0)
         out[large] = tables[pick, np.arange(len(large))]
     return np.minimum(out, c)
 
 
-def _seat(c: np.ndarray, room: np.ndarray, p: np.ndarray, discount: float, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
+def _seat(c: np.ndarray, room: np.ndarray, chance: Chance, discount: float, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
     """(tables, log importance weight) of customers that come in one after another.
 
-    The k-th opens a table with weight (room + discount * tables) * p, else joins with k - 1 - discount * tables. From the
+    The k-th opens a table with weight (room + discount * tables) * chance, else joins with k - 1 - discount * tables. From the
     ninth on, they come in blocks of an eighth of those seated, with the probability of the block's middle.
     """
     tables, weight = np.ones(len(c)), np.zeros(len(c))
@@ -221,7 +225,7 @@ def _seat(c: np.ndarray, room: np.ndarray, p: np.ndarray, discount: float, rng:
         left = c[active] - seated
         size = np.minimum(left, block)
         t = tables[active]
-        new = (room[active] + discount * t) * p[active]
+        new = (room[active] + discount * t) * chance(active, t)
         total = new + seated + (size - 1) / 2 - discount * t
         weight[active] += size * np.log(total)
         tables[active] += rng.random(len(active)) < new / total if block == 1 else rng.binomial(size, np.minimum(new / total, 1.0))
@@ -266,15 +270,21 @@ class Sampler:
             types, tables, parent = self.sums()
             w, t = self.w[i], self.t[i]
             base = (cfg.parent_strength + cfg.parent_discount * parent) / (types + 1)
-            known = np.maximum(self.customers[w] - t - cfg.parent_discount * np.minimum(self.parent[w], self.customers[w] - t), 0.0)
-            p = (known + base) / (cfg.parent_strength + tables)
-            self.t[i] = draw_tables(self.c[i], np.maximum(self.tables[self.u[i]] - t, 0.0), np.minimum(p, 1.0), cfg.discount, cfg.strength, cfg, self.rng)
+            others = np.maximum(self.customers[w] - t, 0.0)
+            # at the parent, own tables are customers that come to the word's tables, the first of all opens one
+            there = np.minimum(self.parent[w], others)
+
+            def chance(j: np.ndarray, k: np.ndarray, others=others, there=there, base=base, tables=tables) -> np.ndarray:
+                n = others[j] + k
+                return (np.maximum(n - cfg.parent_discount * np.maximum(there[j], np.minimum(n, 1)), 0.0) + base) / (cfg.parent_strength + tables)
+
+            self.t[i] = draw_tables(self.c[i], np.maximum(self.tables[self.u[i]] - t, 0.0), chance, cfg.discount, cfg.strength, cfg, self.rng)
             self.renew()
         types, _, parent = self.sums()
         self.parent = self.seat_parent(np.rint(self.customers).astype(np.int64), parent, types)
 
     def seat_parent(self, customers: np.ndarray, parent: float, types: float) -> np.ndarray:
-        return draw_tables(customers, np.maximum(parent - self.parent, 0.0), np.full(len(customers), 1 / (types + 1)), self.cfg.parent_discount, self.cfg.parent_strength, self.cfg, self.rng)
+        return draw_tables(customers, np.maximum(parent - self.parent, 0.0), lambda i, t: np.full(np.broadcast(i, t).shape, 1 / (types + 1)), self.cfg.parent_discount, self.cfg.parent_strength, self.cfg, self.rng)
 
     def run(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Tables of pairs, of words at the parent, and of contexts here: a row for each sample."""
@@ -453,7 +463,8 @@ def _totals(seats: DataFrame, heavy: np.ndarray, cfg: Settings) -> Totals:
     tables, parent = np.array(x[2 : 2 + S]), np.array(x[2 + S :])
     heavy_tables = table[:, 2:].T
     rng = np.random.Generator(np.random.PCG64([cfg.seed, 1 << 31]))
-    own = [draw_tables(c.astype(np.int64), np.full(len(c), p), np.full(len(c), 1 / (types + 1)), cfg.parent_discount, cfg.parent_strength, cfg, rng) for c, p in zip(heavy_tables, parent, strict=True)]
+    even = lambda i, t: np.full(np.broadcast(i, t).shape, 1 / (types + 1))
+    own = [draw_tables(c.astype(np.int64), np.full(len(c), p), even, cfg.parent_discount, cfg.parent_strength, cfg, rng) for c, p in zip(heavy_tables, parent, strict=True)]
     own = np.stack(own).astype(float)
     return Totals(int(x[0]), types, tables, parent + own.sum(axis=1), heavy[table[:, 0].astype(np.int64)] if len(heavy) else heavy, table[:, 1], heavy_tables, own)
 

@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SPAN = "struct<kind:string,start:int,end:int>"
+#: Matches whose spans gather in one array.
+CHUNK = 64
 
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]+"
@@ -69,7 +71,8 @@ def _no_spans() -> Column:
 
 def _place(kind: str, gaps: Column, found: Column, good) -> Column:
     """Spans of the matches for which good(index) holds, from the alternation gap, match, gap, ..."""
-    zero = F.struct(F.lit(0).alias("at"), _no_spans().alias("out"))
+    # an array is copied whenever it grows, so spans gather in short ones
+    none = F.expr(f"cast(array() as array<array<{SPAN}>>)")
 
     def step(acc: Column, i: Column) -> Column:
         start = acc["at"] + F.length(F.get(gaps, i))
@@ -77,7 +80,12 @@ def _place(kind: str, gaps: Column, found: Column, good) -> Column:
         span = F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"))
         return F.struct(end.alias("at"), F.when(good(i), F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
 
-    placed = F.aggregate(F.sequence(F.lit(0), F.size(found) - 1), zero, step, lambda acc: acc["out"])
+    def chunk(acc: Column, at: Column) -> Column:
+        here = F.aggregate(F.sequence(at, F.least(at + CHUNK, F.size(found)) - 1), F.struct(acc["at"].alias("at"), _no_spans().alias("out")), step)
+        return F.transform(F.array(here), lambda x: F.struct(x["at"].alias("at"), F.concat(acc["out"], F.array(x["out"])).alias("out")))[0]
+
+    chunks = F.sequence(F.lit(0), F.size(found) - 1, F.lit(CHUNK))
+    placed = F.aggregate(chunks, F.struct(F.lit(0).alias("at"), none.alias("out")), chunk, lambda acc: F.flatten(acc["out"]))
     return F.when(F.size(found) > 0, placed).otherwise(_no_spans())
 
 
@@ -196,6 +204,8 @@ def scan(
     order = {k: i for i, k in enumerate(kinds)}
 
     def ranked(parts: list[Column]) -> Column:
+        if not parts:
+            return _no_spans()
         rank = F.create_map(*[x for k, i in order.items() for x in (F.lit(k), F.lit(i))])
         keyed = F.transform(
             F.concat(*parts), lambda s: F.struct(s["start"].alias("start"), rank[s["kind"]].alias("r"), s["end"].alias("end"), s["kind"].alias("kind"))

@@ -1,6 +1,11 @@
 """A corpus pipeline: quality rules, near duplicates, repeated passages, secrets, packing.
 
-Each stage takes (spark, docs, sf_dir) and works on all rows that the stage before it kept.
+Each stage takes (spark, docs, sf_dir) and works on all rows that the stage before it kept. docs has doc_id, text, lang,
+source and n_chars; further columns, also of clashing names, travel with their rows up to packing.
+
+Edge cases, in all stages: an empty table gives an empty one; a null text counts as empty (and goes with the quality
+rules, as a text of under ten words); a null doc_id is a row like any other, later than all others; a null lang is held
+against the languages' mean. Of repeated rows one stays (the first place); of ties in doc_id, too.
 """
 
 from __future__ import annotations
@@ -16,15 +21,18 @@ from contactloom.llm.common import collecting, delete_tables, write_table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-#: Tables that the running stage has written for itself.
+#: Tables that the last stage called by itself (not by `run`) has written for itself.
 _tables: list[str] = []
 
 
 def stage(call: Stage) -> Stage:
-    """A stage begins when the one before has been written, so what that one wrote for itself can go."""
+    """A later stage begins when the one before has been written, so what that one wrote for itself can go. The first
+    stage begins a new pipeline and leaves what others have written alone."""
 
     @wraps(call)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        if call.__name__ == "keep_good":
+            _tables.clear()
         delete_tables(spark, _tables)
         with collecting(_tables):
             return call(spark, docs, sf_dir)
@@ -70,14 +78,23 @@ STAGES: list[tuple[str, Stage]] = [
     ("best_fit_packing", pack),
 ]
 
-#: Tokenizing, MinHash and suffix sorting are beyond SQL; tests hold the pipeline against a brute-force version.
+#: Tokenizing, MinHash and suffix sorting are beyond SQL; tests/llm/test_pipeline.py holds `run` against a plain version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over `documents`. Tables belong to one run: a stage's go when its output has been written, and an output
+    when the next one has; those that the result reads stay."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    last: list[str] = []
     for i, (name, call) in enumerate(STAGES):
-        docs = call(spark, docs, sf_dir)
+        own: list[str] = []
+        with collecting(own):
+            docs = call.__wrapped__(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
-            docs = write_table(spark, docs, name)
+            output: list[str] = []
+            with collecting(output):
+                docs = write_table(spark, docs, name)
+            delete_tables(spark, own + last)
+            last = output
     return docs

@@ -11,7 +11,9 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 
+from contactloom.llm.common import pack
 from contactloom.llm import chat_format, fingerprint, ngram_join, packing, pieces, pitman_yor, quality_rules, secret_scan, suffix_array, suffix_dedup, url_filter
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -303,6 +305,21 @@ def test_each_histogram_has_its_own_guard(spark):
     assert kept == {i for i, *_ in rows if i.startswith("clean")}
 
 
+def test_the_suffix_order_decides(monkeypatch):
+    rng = random.Random(3)
+    pool = ["".join(rng.choice("ab c") for _ in range(60)) for _ in range(12)]
+    parts = [(i, "".join(rng.choice(pool) for _ in range(2))) for i in range(30)]
+    text, sizes, ids = "".join(t for _, t in parts).encode(), np.array([len(t) for _, t in parts]), np.array([i for i, _ in parts])
+    seen: dict[str, int] = {}
+    for i, t in parts:
+        for j in range(len(t) - 49):
+            seen.setdefault(t[j : j + 50], i)
+    want = [seen[t[j : j + 50]] < i for i, t in parts for j in range(len(t) - 49)]
+    assert suffix_dedup.repeated_windows(text, sizes, ids, 50).tolist() == want and any(want)
+    monkeypatch.setattr(suffix_array, "buckets", lambda data, places: iter([np.random.default_rng(1).permutation(places)]))
+    assert suffix_dedup.repeated_windows(text, sizes, ids, 50).tolist() != want
+
+
 def test_suffix_array():
     rng = random.Random(6)
     for _ in range(200):
@@ -386,28 +403,65 @@ def test_pieces_round_trip_and_best_path(spark, sf):
         assert r.decoded_sha256 == hashlib.sha256(TEXTS[r.doc_id].encode()).hexdigest()
 
 
-def test_fingerprints(spark, sf):
-    order = sorted(TEXTS, reverse=True)
-    got = {r.doc_id: r for r in fingerprint.query(spark, sf).collect()}
+MASK = (1 << 64) - 1
+BYTE = [xxhash.xxh64_intdigest(bytes([b]), seed=42) for b in range(256)]
+NO_BYTE = xxhash.xxh64_intdigest(b"", seed=42)
+
+
+def winnowed(text, k=fingerprint.K, window=fingerprint.WINDOW):
+    """Hashes and places by the definition: the cyclic polynomial of each k-gram anew, the rightmost least of each window."""
+    b = text.encode()
+    if not b:
+        return [], []
+    rotate = lambda x, r: ((x << r) | (x >> (64 - r))) & MASK if r else x
+    hashes = []
+    for j in range(max(1, len(b) - k + 1)):
+        h = 0
+        for i in range(k):
+            h ^= rotate(BYTE[b[j + i]] if j + i < len(b) else NO_BYTE, k - 1 - i)
+        hashes.append((h - (1 << 64) if h >> 63 else h) >> fingerprint.PLACE)
+    out = []
+    for s in range(max(1, len(hashes) - window + 1)):
+        least = min(hashes[s : s + window])
+        at = max(i for i in range(s, min(s + window, len(hashes))) if hashes[i] == least)
+        if not out or out[-1][1] != at:
+            out.append((least, at))
+    return [h for h, _ in out], [p for _, p in out]
+
+
+def alike(a, b):
+    a, b = set(a), set(b)
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def test_fingerprints(spark, tmp_path):
+    rng = random.Random(2)
+    prose = lambda n: " ".join(rng.choice(["grün", "stone", "a", "日本", "river", "x" * 40]) for _ in range(n))
+    texts = {1: "", 2: "a", 3: "short text", 4: prose(300), 5: prose(40), 6: "a" * 700, 7: "ü" * 333, 8: prose(12), 9: prose(2000), 10: None, 11: prose(31), 12: "b" * 47}
+    solid = "".join(rng.choice("abcdef") for _ in range(5000))
+    texts |= {13: solid, 14: solid[:2500] + "Z" + solid[2501:], **{20 + i: prose(rng.randrange(1, 60)) for i in range(40)}}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    texts = {i: t or "" for i, t in texts.items()}
+    order = sorted(texts, reverse=True)
+    got = {r.doc_id: r for r in fingerprint.query(spark, str(tmp_path)).collect()}
+    told = lambda f: "@".join(" ".join(map(str, x)) for x in f)
     assert len(got) == len(order)
     for k, i in enumerate(order):
-        t, nxt = TEXTS[i], TEXTS[order[(k + 1) % len(order)]]
+        t, nxt, r = texts[i], texts[order[(k + 1) % len(order)]], got[i]
         half = len(t) // 2
         edited = t[: len(t) - half] + nxt[:half]
-        assert (got[i].n_chars, got[i].edited_sha256) == (len(t), hashlib.sha256(edited.encode()).hexdigest())
-        assert 0 <= got[i].near_next <= 1 and (got[i].fingerprint != got[i].edited_fingerprint or got[i].near_edited == 1)
+        own, new, other = winnowed(t), winnowed(edited), winnowed(nxt)
+        assert (r.n_chars, r.edited_sha256) == (len(t), hashlib.sha256(edited.encode()).hexdigest())
+        assert (r.fingerprint, r.edited_fingerprint) == (told(own), told(new))
+        assert abs(r.near_edited - alike(own[0], new[0])) < 1e-12 and abs(r.near_next - alike(own[0], other[0])) < 1e-12
+    assert got[14].near_next > 0.9  # no spaces, one character changed
 
 
-def test_winnowing_guarantee(spark):
-    rng = random.Random(9)
-    words = [f"w{i}" for i in range(200)]
-    shared = [rng.choice(words) for _ in range(fingerprint.K + fingerprint.WINDOW - 1)]
-    a, b = (" ".join([rng.choice(words) for _ in range(40)] + shared + [rng.choice(words) for _ in range(n)]) for n in (30, 50))
-    df = spark.createDataFrame([(a, b)], "a string, b string")
-    x, y = df.select(fingerprint.select(fingerprint.tokens(df.a)).alias("x"), fingerprint.select(fingerprint.tokens(df.b)).alias("y")).first()
-    assert {s.hash for s in x} & {s.hash for s in y}
-    pos = [s.pos for s in x]
-    assert pos == sorted(pos) and all(q - p <= fingerprint.WINDOW for p, q in zip(pos, pos[1:], strict=False))
+def test_fingerprints_of_repeated_ids_and_empty_tables(spark):
+    rows = [(1, "one and the same text " * 9)] * 5 + [(None, "another text"), (1, None)]
+    got = fingerprint.fingerprints(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == 7 and len({str(r.own) for r in got if r.n_chars > 100}) == 1
+    assert fingerprint.fingerprints(spark, spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
 def test_pitman_yor(spark, docs):
@@ -425,11 +479,123 @@ def test_pitman_yor(spark, docs):
     assert sum(r.score for r in got.values() if r.held_out) > sum(r.base_score for r in got.values() if r.held_out)
 
 
-def test_pitman_yor_sums_to_one():
-    rng = np.random.default_rng(1)
-    c = rng.integers(1, 40, 200)
-    assert (pitman_yor.seat(c, np.full(200, 0.5), 0.7, rng) <= c).all()
-    assert (pitman_yor.seat(np.ones(5, np.int64), np.full(5, 9.0), 0.7, rng) == 1).all()
+def test_numbers_of_tables():
+    """Draws against all seatings of up to seven customers, and by importance weights beyond `exact`."""
+    d, strength, others, p = 0.6, 1.5, 4.0, 0.2
+
+    def exact(c):
+        state = {(1,): 1.0}
+        for _ in range(c - 1):
+            new = Counter()
+            for sizes, w in state.items():
+                for k, n in enumerate(sizes):
+                    new[tuple(sorted([*sizes[:k], n + 1, *sizes[k + 1 :]]))] += w * (n - d)
+                new[tuple(sorted([*sizes, 1]))] += w * (strength + d * (others + len(sizes))) * p
+            state = new
+        total, out = sum(state.values()), Counter()
+        for sizes, w in state.items():
+            out[len(sizes)] += w / total
+        return out
+
+    even = lambda i, t: np.full(np.broadcast(i, t).shape, p)
+    for cfg in (pitman_yor.Settings(), pitman_yor.Settings(exact=3, proposals=30)):
+        for c in (2, 3, 7):
+            drawn = pitman_yor.draw_tables(np.full(40000, c), np.full(40000, others), even, d, strength, cfg, np.random.default_rng(c))
+            for t, share in exact(c).items():
+                assert abs((drawn == t).mean() - share) < 0.015, (c, t)
+
+
+def seat_by_seat(counts, cfg, sweeps, rng):
+    """The plain sampler: one customer gets up, and sits down again given all others. Mean predictive probabilities."""
+    words = sorted({w for _, w in counts})
+    rooms = {u: {} for u, _ in counts}
+    parent = {w: [] for w in words}
+
+    def chance(w):
+        n, t = sum(map(sum, parent.values())), sum(map(len, parent.values()))
+        base = (cfg.parent_strength + cfg.parent_discount * t) / (len(words) + 1)
+        return (sum(parent[w]) - cfg.parent_discount * len(parent[w]) + base) / (cfg.parent_strength + n)
+
+    def sit(tables, new, discount):
+        weights = [n - discount for n in tables] + [new]
+        k = rng.choices(range(len(weights)), weights)[0]
+        tables[k:] = [tables[k] + 1, *tables[k + 1 :]] if k < len(tables) else [1]
+        return k == len(weights) - 1
+
+    def rise(tables):
+        k = rng.choices(range(len(tables)), tables)[0]
+        tables[k] -= 1
+        if not tables[k]:
+            del tables[k]
+            return True
+        return False
+
+    def come(u, w):
+        tables = rooms[u].setdefault(w, [])
+        room = cfg.strength + cfg.discount * sum(map(len, rooms[u].values()))
+        if sit(tables, room * chance(w), cfg.discount):
+            all_tables = sum(map(len, parent.values()))
+            sit(parent[w], (cfg.parent_strength + cfg.parent_discount * all_tables) / (len(words) + 1), cfg.parent_discount)
+
+    customers = [pair for pair, n in counts.items() for _ in range(n)]
+    for u, w in customers:
+        come(u, w)
+    total, kept = Counter(), 0
+    for sweep in range(sweeps):
+        for u, w in customers:
+            if rise(rooms[u][w]):
+                rise(parent[w])
+            come(u, w)
+        if sweep >= sweeps // 5:
+            kept += 1
+            for u in rooms:
+                n, t = sum(map(sum, rooms[u].values())), sum(map(len, rooms[u].values()))
+                for w in words:
+                    mine = rooms[u].get(w, [])
+                    total[u, w] += (sum(mine) - cfg.discount * len(mine) + (cfg.strength + cfg.discount * t) * chance(w)) / (cfg.strength + n)
+    return {k: v / kept for k, v in total.items()}
+
+
+def test_sampler_agrees_with_seat_by_seat_gibbs():
+    rng = random.Random(8)
+    counts = Counter((rng.randrange(6), min(rng.randrange(8), rng.randrange(8))) for _ in range(140))
+    cfg = pitman_yor.Settings(samples=1500, burn=100, strength=1.0, parent_strength=2.0)
+    plain = seat_by_seat(counts, cfg, 1500, rng)
+    word, context = lambda w: np.uint64(1000 + w), lambda u: np.uint64(50 + u)
+    pairs = sorted((int(word(w)), int(context(u)), n) for (u, w), n in counts.items())
+    words, sizes = pitman_yor.runs(np.array([p[0] for p in pairs], np.uint64))
+    blob = pack(word=words, pairs=sizes, **pitman_yor.split40(np.array([p[1] for p in pairs], np.uint64)), count=np.array([p[2] for p in pairs], np.uint32))
+    b = pitman_yor.Bucket([blob])
+    types = np.bincount(b.u, minlength=len(b.contexts))
+    t, parent, own = pitman_yor.Sampler(b, 1, np.zeros(0, np.uint64), types, cfg, 0).run()
+    totals = pitman_yor.Totals(int(b.c.sum()), len(b.words), t.sum(axis=1), parent.sum(axis=1), np.zeros(0, np.uint64), np.zeros(0), np.zeros((0, 0)), np.zeros((0, 0)))
+    sums = Counter()
+    for i, w in enumerate(b.words.tolist()):
+        for j, u in enumerate(b.contexts.tolist()):
+            at = np.flatnonzero((b.w == i) & (b.u == j))
+            c = b.c[at] if len(at) else np.zeros(1, np.int64)
+            tables = t[:, at] if len(at) else np.zeros((cfg.samples, 1))
+            mine = np.stack([np.bincount(b.w, weights=x, minlength=len(b.words)) for x in t])
+            p = pitman_yor.predict(cfg, totals, c, tables, b.customers[[j]], own[:, [j]], mine[:, [i]], parent[:, [i]])[0]
+            sums[u] += p
+            assert abs(p - plain[u - 50, w - 1000]) < 0.01 + 0.05 * plain[u - 50, w - 1000], (u, w, p, plain[u - 50, w - 1000])
+    # what is left belongs to the one unknown word: its share of the base
+    assert all(0.9 < x < 1 for x in sums.values())
+    base = np.mean([(cfg.parent_strength + cfg.parent_discount * totals.parent[s]) / (totals.types + 1) / (cfg.parent_strength + totals.tables[s]) * (cfg.strength + cfg.discount * own[s]) / (cfg.strength + b.customers) for s in range(cfg.samples)], axis=0)
+    assert all(abs(sums[u] + base[j] - 1) < 1e-9 for j, u in enumerate(b.contexts.tolist()))
+
+
+def test_heavy_words_dealt_out_change_no_count(spark):
+    rng = random.Random(4)
+    texts = [(i, " ".join(rng.choice(["the", "the", "the", *[f"w{k}" for k in range(300)]]) for _ in range(rng.randrange(1, 300)))) for i in range(60)] + [(None, None)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    plain = sorted(pitman_yor.score(spark, docs, pitman_yor.Settings(routing_docs=0)).collect(), key=str)
+    dealt = sorted(pitman_yor.score(spark, docs, pitman_yor.Settings(bucket_bytes=2000)).collect(), key=str)
+    exact = ("doc_id", "held_out", "n_tokens", "n_known", "train_tokens")
+    assert [[r[c] for c in exact] for r in plain] == [[r[c] for c in exact] for r in dealt]
+    for a, b in zip(plain, dealt, strict=True):
+        assert abs(a.base_score - b.base_score) < 1e-6 and abs(a.score - b.score) < 0.03 * abs(a.score) + 0.2
+    assert pitman_yor.score(spark, docs.limit(0)).count() == 0
 
 
 def test_every_context_has_its_own_restaurant(spark):
@@ -446,3 +612,104 @@ def test_every_context_has_its_own_restaurant(spark):
     # 200 facts in each text: classes make the side seen after a word 1.9 times likelier than the other one, on average
     gain = [got[right] - got[wrong] for right, wrong in zip(held[:60], held[60:120])]
     assert sum(gain) / len(gain) > 200 * math.log10(2.4)
+
+
+def ranks_of(edges, seeds, rounds=3000):
+    out = {}
+    for x, (a, b) in {"trust": (0, 1), "distrust": (1, 0)}.items():
+        start = {h: 1 / len(seeds[x]) for h in seeds[x]}
+        total = Counter()
+        for e in edges:
+            total[e[a]] += e[2]
+        r = dict(start)
+        for _ in range(rounds):
+            new = Counter({h: 0.15 * s for h, s in start.items()})
+            for e in edges:
+                new[e[b]] += 0.85 * r.get(e[a], 0.0) * e[2] / total[e[a]]
+            if max((abs(new[h] - r.get(h, 0.0)) for h in new), default=0) < 1e-13:
+                break
+            r = new
+        out[x] = r
+    return out
+
+
+def test_ranks_settle_on_chains_and_hubs(spark):
+    rng = random.Random(1)
+    edges = {(f"c{i}", f"c{i + 1}"): 1 for i in range(30)}
+    edges |= {(f"h{rng.randrange(1500)}", rng.choice(["hub", f"h{rng.randrange(1500)}"])): rng.randrange(1, 4) for _ in range(4000)}
+    rows = [(a, b, n) for (a, b), n in edges.items() if a != b]
+    seeds = {"trust": ["h1", "h2", "h3"], "distrust": ["c30", "hub"]}
+    got = url_filter.spread(
+        spark, spark.createDataFrame(rows, "src string, dst string, n long"),
+        spark.createDataFrame([(h, 1.0, 0.0) for h in seeds["trust"]] + [(h, 0.0, 1.0) for h in seeds["distrust"]], "host string, trust double, distrust double"),
+        tol=2e-3,
+    )
+    want = ranks_of(rows, seeds)
+    got = {r.host: r for r in got.collect()}
+    assert got["c0"].distrust > 0  # thirty links from the blocked seed
+    for x in want:
+        assert sum(abs(got[h][x] - v) for h, v in want[x].items() if h in got) < 0.02
+        assert all(h in got or v < 1e-3 for h, v in want[x].items())
+
+
+def test_long_turns_and_named_conversations(spark):
+    long = "word <turn # ### \\ é " * 150_000
+    rows = [("first", 0, "user", long), ("first", 1, "assistant", "yes"), (None, 0, "user", None)]
+    got = {r.conv_id: r for r in chat_format.read_back(chat_format.format_turns(spark.createDataFrame(rows, "conv_id string, turn long, role string, text string"))).collect()}
+    assert got["first"].n_turns == 2 and got["first"].loss_chars == 3 and got[None].n_turns == 1
+    assert got["first"].turns_sha256 == hashlib.sha256(f"user\n{long}\nassistant\nyes\n".encode()).hexdigest()
+    empty = spark.createDataFrame([], "conv_id string, turn long, role string, text string")
+    assert chat_format.read_back(chat_format.format_turns(empty)).count() == 0
+
+
+def test_tokens_by_a_tokenizer(spark):
+    path = packing.tokenizer_path(packing.TOKENIZER)
+    row = chat_format.format_turns(spark.createDataFrame([("c", 0, "user", "an uncommonly long word")], "conv_id string, turn long, role string, text string"), tokenizer=path).first()
+    assert row.tokens == len(packing.tokenizer_at(path).encode("an uncommonly long word", add_special_tokens=False).ids)
+
+
+def test_many_secrets_in_one_text(spark):
+    text = " ".join(f"{i:016x}" for i in range(20_000))
+    row = secret_scan.scan(spark.createDataFrame([(1, text)], "doc_id long, text string"), classes=()).first()
+    assert [(s.start, s.end) for s in row.base if s.kind == "hex"] == [(17 * i, 17 * i + 16) for i in range(20_000)]
+
+
+def test_entropy_spans_by_counting(spark):
+    rng = random.Random(5)
+    kind = secret_scan.CLASSES[0]
+    runs = ["".join(rng.choice(a) for _ in range(rng.randrange(10, 90))) for a in ("0123456789abcdef", "01", "abcdefAB12", "deadbeef0") for _ in range(12)]
+    runs.append("".join(rng.choice("0123456789abcdef") for _ in range(30)) + "00000000000" + "".join(rng.choice("0123456789abcdef") for _ in range(30)))
+    text = " ".join(runs)
+    want = []
+    for m in re.finditer(r"[0-9A-Fa-f]{20,}", text):
+        if not (re.search("[0-9]", m[0]) and re.search("[A-Fa-f]", m[0])):
+            continue
+        known = [x.span() for a in secret_scan.ALLOW for x in re.finditer(a.replace("(?<same>", "(?P<same>").replace("\\k<same>", "(?P=same)"), m[0])]
+        for s in range(len(m[0]) - kind.window + 1):
+            e = s + kind.window
+            if any(s < b and a < e for a, b in known):
+                continue
+            c = Counter(m[0][s:e].lower())
+            if -sum(n / kind.window * math.log2(n / kind.window) for n in c.values()) >= kind.bits - 1e-12:
+                a, b = m.start() + s, m.start() + e
+                if want and want[-1][1] >= a and want[-1][2] == m.start():
+                    want[-1][1] = b
+                else:
+                    want.append([a, b, m.start()])
+    row = secret_scan.scan(spark.createDataFrame([(1, text)], "doc_id long, text string"), classes=(kind,)).first()
+    assert [(s.start, s.end) for s in row.added] == [(a, b) for a, b, _ in want] and len(want) > 10
+
+
+def test_equal_pieces_are_packed_whole(spark, monkeypatch):
+    monkeypatch.setattr(packing, "RANKED", 7)
+    rows = [(1, "the same words again and again")] * 300 + [(None, None), (2, "")]
+    got = packing.pack(spark, spark.createDataFrame(rows, "doc_id long, text string"), packing.tokenizer_path(packing.TOKENIZER)).collect()
+    taken = sorted((r.sequence_id, r.offset, r.length) for r in got)
+    assert len(got) == 302
+    for (s, o, n), (t, p, _) in zip(taken, taken[1:], strict=False):
+        assert (p == o + n) if s == t else p == 0
+    assert len({s for s, _, _ in taken}) == -(-sum(r.length for r in got) // packing.CAPACITY)
+
+
+def test_empty_pages(spark):
+    assert url_filter.judge(spark, spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
