@@ -354,7 +354,7 @@ def rewrite(spark: SparkSession, docs: DataFrame) -> DataFrame:
         out = batch.others() if others else pd.DataFrame(index=range(batch.n))
         out = out.iloc[rows].reset_index(drop=True)
         out["doc_id"] = batch.id_column().iloc[rows].reset_index(drop=True)
-        out["text"] = texts
+        out["text"] = pd.Series(texts, dtype=object)
         if "n_chars" in names:
             out["n_chars"] = np.array([len(t) for t in texts], np.int64)
         return out[names]
