@@ -60,7 +60,7 @@ class Settings:
     batch_bytes: int = 8 << 20
     #: Bytes of text for each bucket, and documents in the sample that tells which words are dealt out. Neither changes
     #: the model; a word that the sample misses only makes its bucket larger.
-    bucket_bytes: int = 32 << 20
+    bucket_bytes: int = 16 << 20
     routing_docs: int = 2000
 
 
@@ -154,8 +154,8 @@ class Bucket:
         self.c = np.bincount(at, weights=cat(lambda p: p["count"]), minlength=len(key)).astype(np.int64)
         self.w = (key >> np.uint64(40)).astype(np.int64)
         self.contexts, self.u = np.unique(key & np.uint64((1 << 40) - 1), return_inverse=True)
-        self.place = np.split(at, np.cumsum([len(p["count"]) for p in parts])[:-1]) if keep and parts else []
-        self.parts = parts if keep else []
+        self.place = np.split(at.astype(np.int32), np.cumsum([len(p["count"]) for p in parts])[:-1]) if keep and parts else []
+        self.parts = [{k: p[k] for k in ("reps", "doc", "times")} for p in parts] if keep else []
         self.customers = np.bincount(self.u, weights=self.c, minlength=len(self.contexts)).astype(np.int64)
 
     def requests(self, frm: int, n: int, **values: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
@@ -488,9 +488,13 @@ def _logs(b: Bucket, state: dict, replied: pd.DataFrame, n: int, t: Totals, cfg:
         word[:, dealt], parent[:, dealt] = t.heavy_tables[:, at[dealt]], t.heavy_parent[:, at[dealt]]
     customers = answers(b.contexts, n, replied, "customers", np.float64)
     rooms = np.stack([answers(b.contexts, n, replied, f"t{s}", np.float64) for s in range(S)])
-    p = predict(cfg, t, b.c, pair, customers[b.u], rooms[:, b.u], word[:, b.w], parent[:, b.w])
+    p = np.empty(len(b.c))
+    for lo in range(0, len(p), 1 << 17):
+        i = slice(lo, lo + (1 << 17))
+        u, w = b.u[i], b.w[i]
+        p[i] = predict(cfg, t, b.c[i], pair[:, i], customers[u], rooms[:, u], word[:, w], parent[:, w])
     base = np.log10((count + 0.1) / (t.tokens + 0.1 * (t.types + 1)))
-    return (count > 0)[b.w].astype(float), base[b.w], np.log10(p)
+    return (count > 0)[b.w].astype(float), base[b.w], np.log10(p, out=p)
 
 
 def held_out_perplexity(scores: DataFrame) -> DataFrame:
