@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from contactloom.llm import chat_format, fingerprint, ngram_join, packing, periodic_runs, pieces, pitman_yor, quality_rules, secret_scan, suffix_dedup, token_align, url_filter
+from contactloom.llm import chat_format, fingerprint, ngram_join, packing, periodic_runs, pieces, pitman_yor, quality_rules, secret_scan, suffix_dedup, token_align, toxicity, url_filter
 from contactloom.llm.oracle import ORACLE  # noqa: F401
 
 QUERIES: dict = {
@@ -16,6 +16,7 @@ QUERIES: dict = {
     "op8_piece_encoding": pieces.query,
     "op9_fingerprints": fingerprint.query,
     "op10_lm_scoring": pitman_yor.query,
+    "op11_toxicity": toxicity.query,
     "op12_token_alignment": token_align.query,
     "op13_periodic_runs": periodic_runs.query,
 }

@@ -35,13 +35,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contactloom.llm.common import pack, unpack, write_table
+from contactloom.llm.common import pack, trim, unpack, write_table
 from contactloom.llm.units import UnitEncoder, chunks
 
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 SPACE = "▁"
-#: Bytes of text in a slice.
-SLICE = 3 << 20
+#: Bytes of text in a slice, and units that each of the two encoders keeps: a worker holds both.
+SLICE, STORE = 2 << 20, 200_000
 
 
 def tokenizer_path(name: str) -> str:
@@ -98,7 +98,7 @@ def byte_level(path: str) -> Vocabulary:
         return [e.ids for e in t.encode_batch_fast([" " + x for x in texts], add_special_tokens=False)]
 
     loose = re.compile(r"\s \s|\s \Z")  # a space that begins no token
-    return Vocabulary(entries, UnitEncoder(lambda x: pc.split_pattern(x, " "), whole), whole, lambda x: not loose.search(" " + x))
+    return Vocabulary(entries, UnitEncoder(lambda x: pc.split_pattern(x, " "), whole, STORE), whole, lambda x: not loose.search(" " + x))
 
 
 @lru_cache(maxsize=2)
@@ -116,7 +116,7 @@ def pieces(path: str) -> Vocabulary:
         return sp.encode(texts, num_threads=1)
 
     odd = re.compile(f"^ |  | \\Z|{SPACE}")
-    return Vocabulary(entries, UnitEncoder(lambda x: pc.split_pattern(x, " "), whole), whole, lambda x: bool(x) and not odd.search(x))
+    return Vocabulary(entries, UnitEncoder(lambda x: pc.split_pattern(x, " "), whole, STORE), whole, lambda x: bool(x) and not odd.search(x))
 
 
 def _at(sums: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -196,6 +196,7 @@ def _slices(batches: Iterator[pa.RecordBatch], a_path: str, b_path: str) -> Iter
     for batch in batches:
         for rows in chunks(batch, limit=SLICE):
             yield rows, Alignment(rows.column("text").to_pylist(), a, b)
+    trim()
 
 
 def _lists(values: np.ndarray, ends: np.ndarray) -> pa.Array:

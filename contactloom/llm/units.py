@@ -21,10 +21,10 @@ CHUNK = 6 << 20
 
 
 class UnitEncoder:
-    """ids of texts. `cut(array) -> list array of units`; `encode(units) -> one list of ids a unit`."""
+    """ids of texts. `cut(array) -> list array of units`; `encode(units) -> one list of ids a unit`; `store`: units kept."""
 
-    def __init__(self, cut: Callable[[pa.Array], pa.ListArray], encode: Callable[[list[str]], Sequence[Sequence[int]]]):
-        self.cut, self.encode = cut, encode
+    def __init__(self, cut: Callable[[pa.Array], pa.ListArray], encode: Callable[[list[str]], Sequence[Sequence[int]]], store: int = STORE):
+        self.cut, self.encode, self.store = cut, encode, store
         self._start()
 
     def _start(self) -> None:
@@ -52,7 +52,7 @@ class UnitEncoder:
 
     def __call__(self, texts: pa.Array | Sequence[str]) -> Iterator[np.ndarray]:
         """ids of each text, in order."""
-        if len(self.known) > STORE or self.chars > STORE_CHARS:
+        if len(self.known) > self.store or self.chars > STORE_CHARS:
             self._start()
         units = self.cut(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string()))
         ends = units.offsets.to_numpy()
