@@ -401,11 +401,29 @@ def _spaced(units_: list[str], n: int, taken: list[dict[str, float]], near: floa
     return out
 
 
-def _sketch(text: str) -> Column:
-    """Least hash of five following words: that of near copies is mostly the same."""
-    w = F.split(F.col(text), "[ \\t-\\r]+")
-    grams = F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - 4, F.lit(1))), lambda i: F.xxhash64(F.slice(w, i, F.lit(5))))
-    return F.array_min(grams)
+def sketches(texts: list[str]) -> np.ndarray:
+    """Of each text, the least hash of five following units (of fewer, where it has no more): that of near copies is mostly the
+    same. Texts without units share one."""
+    u = units(texts)
+    out = np.full(len(texts), np.iinfo(np.int64).max)
+    n = len(u.size)
+    if n:
+        left = np.searchsorted(u.text, u.text, side="right") - np.arange(n)  # units from here to the text's end
+        h = np.zeros(n, np.uint64)
+        for k in range(5):
+            some = np.flatnonzero(left > k)
+            h[some] = (h[some] + u.keys[some + k]) * np.uint64(0x9E3779B97F4A7C15)
+            h[some] ^= h[some] >> np.uint64(29)
+        first = np.flatnonzero(np.diff(u.text, prepend=-1))
+        whole = (left >= 5) | (np.repeat(left[first], left[first]) < 5)
+        np.minimum.at(out, u.text[whole], (h[whole] >> np.uint64(1)).astype(np.int64))
+    return out
+
+
+def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for rows in chunks(batch, limit=SLICE):
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(sketches(rows.column("text").to_pylist()), pa.int64())], [*rows.schema.names, "sketch"])
 
 
 def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
@@ -418,8 +436,9 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: int = S
     order = F.xxhash64(F.col("doc_id"), F.lit(11))
     chosen = known.filter("toxic = 0").orderBy(order, "doc_id").limit(sample).unionByName(known.filter("toxic = 1").orderBy(order, "doc_id").limit(sample))
     rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")  # at most 2 * sample rows
-    rows = rows.withColumn("_sketch", _sketch("text")).dropDuplicates(["toxic", "_sketch"]).withColumn("judged", F.pmod(F.col("_sketch"), F.lit(4)) == 0)
-    rows = write_table(spark, rows.select("text", "toxic", "judged"), "labelled")
+    rows = rows.select("text", "toxic").mapInArrow(_sketched, "text string, toxic int, sketch long")
+    rows = rows.groupBy("toxic", "sketch").agg(F.min("text").alias("text"))
+    rows = write_table(spark, rows.select("text", "toxic", (F.pmod("sketch", F.lit(4)) == 0).alias("judged")), "labelled")
     n = {r.toxic: (r.n, r.judged) for r in rows.groupBy("toxic").agg(F.count("*").alias("n"), F.count_if("judged").alias("judged")).collect()}
     # too few to keep some for the logistic function: all serve for both
     apart = all(j >= 20 and m - j >= 20 for m, j in n.values())

@@ -71,8 +71,18 @@ def test_greatest_counts_equal_units_once():
     assert best.tolist() == [[2.0, 1.0, -1.0], [-1.0] * 3, [-1.0] * 3]
 
 
+def test_sketches_tell_near_copies():
+    rng = random.Random(6)
+    words = ["".join(rng.choice("abcdef") for _ in range(5)) for _ in range(400)]
+    near = [" ".join(words[:i] + ["edited"] + words[i + 1 :]) for i in range(40, 400, 40)]
+    got = toxicity.sketches([" ".join(words), *near, "", " . ", "one two", "one, TWO!", " ".join(reversed(words))]).tolist()
+    assert sum(x == got[0] for x in got[1:10]) >= 7
+    assert got[10] == got[11] and got[12] == got[13] and len({got[0], got[10], got[12], got[14]}) == 4
+    assert toxicity.sketches([]).tolist() == []
+
+
 def made(n, rng):
-    syllables = ["tha", "re", "ing", "o", "ble", "sti", "id", "ver", "mon", "st", "ot", "an", "é"]
+    syllables = ["tha", "re", "ing", "o", "ble", "sti", "id", "val", "mon", "st", "ot", "an", "é"]
     word = lambda: "".join(rng.choice(syllables) for _ in range(rng.randint(1, 4)))
     rows = []
     for i in range(n):
