@@ -50,12 +50,14 @@ ORDER, SPAN, DECAY = 4, 7, 0.5
 #: Characters of a window of a long unit, and from one to the next.
 WINDOW, STEP = 26, 13
 #: Units that the driver trains on: those most toxic, the commonest, some at random, and those taken for toxic.
-STRONG, COMMON, RANDOM, HARD = 3_000, 1_000, 8_000, 2_000
+STRONG, COMMON, RANDOM, HARD = 3_000, 1_000, 5_000, 1_500
 #: Landmarks of each kind, and margins of a text that count.
 TOXIC_MARKS, COMMON_MARKS, HARD_MARKS, TOP = 240, 32, 100, 4
 #: A unit that clean and toxic texts have alike leans to clean by this factor.
 PRIOR = 6.0
-ROUNDS, COST, CLIP = 3, 200.0, 1.5
+#: The margin of a unit that shares nothing with the landmarks: clean.
+BIAS = -1.0
+ROUNDS, COST, CLIP = 3, 200.0, 3.0
 SLICE = 2 << 20
 BEGIN, END = 2, 3
 SPACES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
@@ -309,28 +311,29 @@ def inserted(unit: str, rng: np.random.Generator) -> str:
     return "".join(out)[:WINDOW]
 
 
-def train_machine(x: np.ndarray, y: np.ndarray, weight: np.ndarray, steps: int = 60) -> np.ndarray:
-    """Weights and, last, bias of a linear machine: squared hinge loss, Newton steps over the rows inside the margin, each
-    halved until the loss falls."""
-    x = np.column_stack([x, np.ones(len(x))])
-    ridge = np.ones(x.shape[1])
-    ridge[-1] = 1e-3
+def train_machine(x: np.ndarray, clean: np.ndarray, toxic: np.ndarray, steps: int = 60) -> np.ndarray:
+    """Weights w of the machine x @ w + BIAS, each row being clean and toxic by these weights: squared hinge loss, Newton steps
+    over what is inside the margin, each halved until the loss falls."""
 
-    def loss(w: np.ndarray) -> float:
-        return float(ridge @ w**2 + weight @ np.maximum(1 - y * (x @ w), 0) ** 2)
+    def loss(w: np.ndarray, f: np.ndarray) -> float:
+        return float(w @ w + toxic @ np.maximum(1 - f, 0) ** 2 + clean @ np.maximum(1 + f, 0) ** 2)
 
     w = np.zeros(x.shape[1])
-    now = loss(w)
+    f = x @ w + BIAS
+    now = loss(w, f)
     for _ in range(steps):
-        active = y * (x @ w) < 1
-        part = x[active] * weight[active, None]
-        step = np.linalg.solve(np.diag(ridge) + part.T @ x[active], part.T @ y[active]) - w
+        up, down = toxic * (f < 1), clean * (f > -1)
+        bend, slope = np.eye(len(w)), x.T @ (up * (1 - BIAS) + down * (-1 - BIAS))
+        for i in range(0, len(x), 2048):  # by parts, to bound memory
+            bend += (x[i : i + 2048] * (up + down)[i : i + 2048, None]).T @ x[i : i + 2048]
+        step = np.linalg.solve(bend, slope) - w
         size = 1.0
-        while (then := loss(w + size * step)) >= now and size > 1e-6:
+        while (then := loss(w + size * step, x @ (w + size * step) + BIAS)) >= now and size > 1e-6:
             size /= 2
         if then >= now * (1 - 1e-7):
             break
         w, now = w + size * step, then
+        f = x @ w + BIAS
     return w
 
 
@@ -353,8 +356,9 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, steps: int =
 
 
 def evidence(margins: np.ndarray) -> np.ndarray:
-    """Of each text's TOP greatest margins: the greatest, and how far all reach over -1, each clipped."""
-    return np.column_stack([np.clip(margins[:, 0], -CLIP, CLIP), np.clip(margins + 1, 0, CLIP).sum(1)])
+    """Of each text's TOP greatest margins: the sum of those above zero, each clipped, so that one clear unit or several weaker
+    ones tell; and how far the greatest is below zero."""
+    return np.column_stack([np.clip(margins, 0, CLIP).sum(1), np.minimum(margins[:, 0], 0)])
 
 
 @dataclass
@@ -476,7 +480,6 @@ def learn(strong: Counted, common: Counted, random: Counted, hard: Callable[[Wei
     marks: list[str] = []
     rng = np.random.default_rng(11)
     model, found = None, {}
-    parts: dict[str, dict[str, float]] = {}
 
     def add(names: list[str], most: int) -> None:
         marks.extend(_spaced(names, most, taken))
@@ -493,18 +496,15 @@ def learn(strong: Counted, common: Counted, random: Counted, hard: Callable[[Wei
         names = list(found)
         clean, toxic = (np.array([found[u][i] for u in names], float) for i in (0, 1))
         good, bad = clean / n[0] * PRIOR, toxic / n[1]
-        parts.update((u, subsequences(u)) for u in names if u not in parts)
-        x = kernel([parts[u] for u in names], taken) @ root
-        virtual = [(i, inserted(names[i], rng)) for i in np.flatnonzero(bad > 2 * good).tolist()]
-        far = kernel([subsequences(u) for _, u in virtual], taken) @ root
-        owner = [i for i, _ in virtual]
+        # names begin with the strongest
+        virtual = [(i, inserted(names[i], rng)) for i in np.flatnonzero(bad > 2 * good).tolist() for _ in range(8 if i < 64 else 1)]
+        everyone = names + [u for _, u in virtual]
+        blocks = [kernel([subsequences(u) for u in everyone[i : i + 1024]], taken) @ root for i in range(0, len(everyone), 1024)]
         # the commonest words weigh no more than the ten strongest, lest they decide all
-        top = np.median(bad[:10])
-        scale = COST / np.median((good + bad)[toxic > 1]) * np.minimum(1, top / (good + bad))
-        rows = np.concatenate([x, x, far])
-        y = np.concatenate([np.ones(len(x)), -np.ones(len(x)), np.ones(len(far))])
-        w = train_machine(rows, y, np.concatenate([scale * bad, scale * good, 0.5 * (scale * bad)[owner]]))
-        model = _collapsed(marks, root @ w[:-1], float(w[-1]))
+        scale = COST / np.median((good + bad)[toxic > 1]) * np.minimum(1, np.median(bad[:10]) / (good + bad))
+        owner = [i for i, _ in virtual]
+        w = train_machine(np.concatenate(blocks), np.append(scale * good, np.zeros(len(virtual))), np.append(scale * bad, 0.5 * (scale * bad)[owner]))
+        model = _collapsed(marks, root @ w, BIAS)
     return model
 
 
