@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from contactloom.functions.plan import broadcast_if_small
+from contactloom.functions.ordered import row_numbers
+from contactloom.functions.plan import broadcast_if_small, written
 
 LEVELS = (1_000_000, 100_000, 10_000, 1_000, 100)
 
@@ -39,14 +40,33 @@ def neighbours(code: Column, mismatches: int) -> Column:
     return out
 
 
-def match_codes(observed: DataFrame, valid: DataFrame, mismatches: int = 0) -> DataFrame:
-    """(code, match, distance) of distinct observed codes: an exact match, or the only valid code within `mismatches`.
+def segments(code: Column, mismatches: int) -> Column:
+    """array<struct<length, at, part>>: mismatches + 1 pieces that make up the code. Codes of one length that differ in no more
+    places than `mismatches` have one of them in common."""
+    n = F.length(code)
+    edge = lambda i: F.floor(n * i / (mismatches + 1)).cast("int")
+    return F.array(*[F.struct(n.alias("length"), F.lit(i).alias("at"), F.substring(code, edge(i) + 1, edge(i + 1) - edge(i)).alias("part")) for i in range(mismatches + 1)])
+
+
+def near_codes(observed: DataFrame, valid: DataFrame, mismatches: int) -> DataFrame:
+    """(code, match, distance): all pairs of distinct codes of one length that differ in at most `mismatches` places.
 
-    Valid codes are spread to their neighbours and joined on equality: no pairs of codes are compared.
+    One mismatch: valid codes are spread to their few neighbours. More: codes are indexed by pieces, equality on one of which
+    makes a candidate, which is then compared; the index grows with the codes and not with their neighbourhoods.
     """
-    codes = observed.select("code").distinct()
-    near = valid.select(F.col("code").alias("match")).distinct().select("match", F.explode(neighbours(F.col("match"), mismatches)).alias("code"))
-    found = codes.join(broadcast_if_small(near), "code").withColumn("distance", hamming(F.col("code"), F.col("match")))
+    codes, known = observed.select("code").distinct(), valid.select(F.col("code").alias("match")).distinct()
+    if mismatches < 2:
+        near = known.select("match", F.explode(F.when(F.length("match") > 0, neighbours(F.col("match"), mismatches)).otherwise(F.array("match"))).alias("code"))
+        return codes.join(broadcast_if_small(near), "code").withColumn("distance", hamming(F.col("code"), F.col("match")))
+    piece = lambda df, c: df.select(c, F.explode(segments(F.col(c), mismatches)).alias("x")).select(c, "x.*")
+    found = piece(codes, "code").join(broadcast_if_small(piece(known, "match")), ["length", "at", "part"])
+    found = found.withColumn("distance", hamming(F.col("code"), F.col("match"))).filter(F.col("distance") <= mismatches)
+    return found.select("code", "match", "distance").distinct()
+
+
+def match_codes(observed: DataFrame, valid: DataFrame, mismatches: int = 0) -> DataFrame:
+    """(code, match, distance) of distinct observed codes: an exact match, or the only valid code within `mismatches`."""
+    found = near_codes(observed, valid, mismatches)
     best = found.groupBy("code").agg(F.count("*").alias("n"), F.min(F.struct("distance", "match")).alias("b"))
     return best.filter((F.col("n") == 1) | (F.col("b.distance") == 0)).select("code", F.col("b.match").alias("match"), F.col("b.distance").cast("long").alias("distance"))
 
@@ -82,15 +102,18 @@ def count_codes(reads: DataFrame) -> DataFrame:
     return ranked.select("code", "n", F.round(100.0 * F.col("n") / F.col("total"), 6).alias("percent"))
 
 
-def name_samples(counts: DataFrame, valid: DataFrame | None = None) -> DataFrame:
-    """counts with sample names; codes without one are sample_1, sample_2 .. in order. A report: its rows are few."""
+def name_samples(counts: DataFrame, valid: DataFrame | None = None, partitions: int | None = None) -> DataFrame:
+    """counts with sample names; codes without one are sample_1, sample_2 .. by falling (n, code). Their numbers come from sorted
+    ranges, so there may be as many as there are reads."""
     df = counts
     if valid is not None:
         df = df.join(broadcast_if_small(valid.select("code", "sample")), "code", "left")
     else:
         df = df.withColumn("sample", F.lit(None).cast("string"))
-    order = Window.partitionBy(F.col("sample").isNull()).orderBy(F.col("n").desc(), F.col("code").desc())
-    return df.withColumn("sample", F.coalesce("sample", F.concat(F.lit("sample_"), F.row_number().over(order).cast("string"))))
+    df = written("codes", df)
+    unnamed = row_numbers(df.filter("sample is null"), [F.col("n").desc(), F.col("code").desc()], "_k", 1, partitions)
+    named = unnamed.select(*[F.concat(F.lit("sample_"), F.col("_k").cast("string")).alias(c) if c == "sample" else F.col(c) for c in df.columns])
+    return df.filter("sample is not null").unionByName(named)
 
 
 def level_counts(counts: DataFrame, levels: tuple[int, ...] = LEVELS) -> DataFrame:

@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from contactloom.functions.ordered import equal_runs
+
 
 @dataclass(frozen=True)
 class DedupeSettings:
@@ -14,8 +16,8 @@ class DedupeSettings:
     use_fragments: bool = True
     hybrid: bool = False
     population: bool = False
-    #: As some older results: duplicates only where equal keys follow one another in the sorted text lines, the last
-    #: run counts no repeats. Runs are cut within chr_a, whose text is a prefix of the sort order.
+    #: As some older results: duplicates only where equal keys follow one another in the sorted text lines, a run's ties go
+    #: by line, the last run counts no repeats, and the first line counts the length of its second end only.
     adjacent_only: bool = False
 
 
@@ -32,46 +34,51 @@ def _length() -> Column:
 LINE = ("start_a", "end_a", "start_b", "end_b", "pair_id")
 
 
-def winners(contacts: DataFrame, s: DedupeSettings = DedupeSettings()) -> DataFrame:
-    """contacts with `winner`, `run` (rows with the same key) per row.
+#: The columns of a line, in order.
+TEXT = ("chr_a", "start_a", "end_a", "f_start_a", "f_end_a", "strand_a", "chr_b", "start_b", "end_b", "f_start_b", "f_end_b", "strand_b", "pair_id")
 
-    The winner has the least ambiguity (the greatest where genomes are hybrid), then the longest reads, then the
-    first coordinates and pair_id.
+
+def _marked(contacts: DataFrame, s: DedupeSettings, partitions: int | None = None) -> tuple[DataFrame, list[str]]:
+    """contacts with winner, run and _counted (the repeats that the winner gets), and the columns that a run's rows share.
+
+    Runs of lines come from ranges of the sorted lines, whose borders are compared afterwards: no chromosome is one task's.
     """
-    by = keys(s)
-    df = contacts
+    by, df = keys(s), contacts
+    length, ties = _length(), [F.col(c) for c in LINE]
     if s.adjacent_only:
-        text = F.concat_ws(" ", *[F.col(c).cast("string") for c in ("chr_a", "start_a", "end_a", "f_start_a", "f_end_a", "strand_a", "chr_b", "start_b", "end_b", "f_start_b", "f_end_b", "strand_b", "pair_id")])
-        df = df.withColumn("_line", text)
-        order = Window.partitionBy("chr_a").orderBy("_line")
-        new = F.lit(False)
-        for k in by:
-            new = new | ~F.col(k).eqNullSafe(F.lag(k).over(order))
-        df = df.withColumn("_new", new.cast("int")).withColumn("_run", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-        by = ["chr_a", "_run"]
+        line = F.concat_ws(" ", *[F.col(c).cast("string") for c in TEXT])
+        df = equal_runs(df.withColumn("_line", line), ["_line"], by, partitions)
+        by, ties = ["run_no"], [F.col("row_no")]
+        length = F.when(F.col("row_no") == 0, F.abs(F.col("end_b") - F.col("start_b"))).otherwise(length)
     w = Window.partitionBy(*by)
     ambiguity = F.col("ambig_size").desc() if s.hybrid else F.col("ambig_size").asc()
-    best = F.row_number().over(w.orderBy(ambiguity, _length().desc(), *LINE))
+    best = F.row_number().over(w.orderBy(ambiguity, length.desc(), *ties))
     df = df.withColumn("winner", best == 1).withColumn("run", F.count("*").over(w))
-    return df.drop("_line", "_new", "_run")
+    last = F.col("run_no") == F.col("n_runs") - 1 if s.adjacent_only else F.lit(False)
+    return df.withColumn("_counted", F.when(F.col("winner") & ~last, F.col("run")).otherwise(0)), by
+
+
+def winners(contacts: DataFrame, s: DedupeSettings = DedupeSettings(), partitions: int | None = None) -> DataFrame:
+    """contacts with `winner`, `run` (rows with the same key) per row.
+
+    The winner has the least ambiguity (the greatest where genomes are hybrid), then the longest reads, then the
+    first coordinates and pair_id.
+    """
+    return _marked(contacts, s, partitions)[0].select(*contacts.columns, "winner", "run")
 
 
 def _gathered(contacts: DataFrame, s: DedupeSettings) -> DataFrame:
-    """contacts with, over all rows of a pair_id, _out (it lost a key to another one), _repeats and _size.
+    """contacts with, over all rows of a pair_id, _out (it lost a run to another one), _repeats and _size.
 
-    Two windows, by key and by pair_id; no row meets itself in a join.
+    Two windows, by run and by pair_id; no row meets itself in a join.
     """
-    won = winners(contacts, s)
-    owner = F.max(F.when(F.col("winner"), F.col("pair_id"))).over(Window.partitionBy(*keys(s)))
+    won, by = _marked(contacts, s)
+    owner = F.max(F.when(F.col("winner"), F.col("pair_id"))).over(Window.partitionBy(*by))
     marked = won.withColumn("_lost", ~F.col("winner") & (owner != F.col("pair_id")))
     mine = Window.partitionBy("pair_id")
-    return marked.withColumns(
-        {
-            "_out": F.max("_lost").over(mine),
-            "_repeats": F.sum(F.when(F.col("winner"), F.col("run")).otherwise(0)).over(mine).cast("long"),
-            "_size": F.max("ambig_size").over(mine),
-        }
-    ).drop("_lost")
+    return marked.withColumns({"_out": F.max("_lost").over(mine), "_repeats": F.sum("_counted").over(mine).cast("long"), "_size": F.max("ambig_size").over(mine)}).select(
+        *contacts.columns, "_out", "_repeats", "_size"
+    )
 
 
 def dedupe(contacts: DataFrame, s: DedupeSettings = DedupeSettings()) -> DataFrame:

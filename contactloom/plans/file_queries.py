@@ -13,13 +13,13 @@ from pyspark.sql import functions as F
 
 from contactloom.functions import files, sites
 from contactloom.functions.plan import new_path
-from contactloom.operators import barcodes, classify, clip, contact_map, contact_stats, dedupe, disambiguate, pairing
+from contactloom.operators import barcodes, classify, clip, contact_map, contact_stats, dedupe, digest, disambiguate, pairing
 from contactloom.plans import queries as q
 from contactloom.plans import views
 from contactloom.plans.oracle import ORACLE as ORACLE_PLAIN
 from contactloom.plans.oracle import AL, BC, CD, CO, FR, FR2, LOADED, NORMAL, PAIRS, POS, R, SCORES, T, V
 from contactloom.sources import contacts as contact_files
-from contactloom.sources import fastq, genome, stats_io
+from contactloom.sources import fastq, fastq_source, genome, stats_io
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -52,13 +52,19 @@ def _number(header: str = "header"):
 
 @twin(f"SELECT read_no, seq, '+' AS plus, qual FROM ({R}) r")
 def a2_fastq(spark, d):
+    path = _put(spark, fastq.fastq_text(_reads(spark, d)), "fastq")
+    return fastq_source.scan_fastq(spark, path, 1 << 20).select(_number(), "seq", "plus", "qual")
+
+
+@twin(f"SELECT read_no, seq, '+' AS plus, qual FROM ({R}) r")
+def a2_fastq_numbered(spark, d):
     path = _put(spark, fastq.fastq_text(_reads(spark, d)), "fastq")
     return fastq.read_fastq(spark, path).select(_number(), "seq", "plus", "qual")
 
 
-@twin(f"SELECT read_no, length(seq) AS n FROM ({R}) r WHERE read_no % 7 = 0")
+@twin(f"SELECT read_no, length(seq) AS n FROM ({R}) r")
 def a15_fastq_gzip(spark, d):
-    path = _put(spark, fastq.fastq_text(_reads(spark, d).filter("read_no % 7 = 0")), "fastq", "gzip")
+    path = _put(spark, fastq.fastq_text(_reads(spark, d)), "fastq", "gzip")
     return fastq.read_fastq(spark, path).select(_number(), F.length("seq").cast("long").alias("n"))
 
 
@@ -71,12 +77,28 @@ def a3_fastq_errors(spark, d):
     return fastq.validate_fastq(fastq.numbered_lines(spark, path), head=1 << 40).select("value")
 
 
-@twin(f"SELECT cast(contig AS varchar) AS contig, md5(upper(seq)) AS seq_md5, length(seq) AS size FROM ({CO}) c")
-def a4_fasta(spark, d):
+def _fasta(spark, d) -> str:
+    """A FASTA file of all contigs, lines of 60 bases."""
     c = views.view(spark, d, views.CONTIGS["spark"], "documents")
     lines = F.regexp_replace("seq", "(.{60})", "$1\n")
-    path = _put(spark, c.select(F.concat(F.lit(">"), F.col("contig").cast("string"), F.lit(" a>b note\n"), lines).alias("value")), "fasta")
-    return genome.read_fasta(spark, path).select("contig", F.md5("seq").alias("seq_md5"), F.length("seq").cast("long").alias("size"))
+    return _put(spark, c.select(F.concat(F.lit(">"), F.col("contig").cast("string"), F.lit(" a>b note\n"), lines).alias("value")), "fasta")
+
+
+@twin(f"SELECT cast(contig AS varchar) AS contig, md5(upper(seq)) AS seq_md5, length(seq) AS size FROM ({CO}) c")
+def a4_fasta(spark, d):
+    return genome.read_fasta(spark, _fasta(spark, d)).select("contig", F.md5("seq").alias("seq_md5"), F.length("seq").cast("long").alias("size"))
+
+
+@twin(f"""WITH c AS ({CO}), b AS (SELECT contig, seq, unnest(range(0, cast(ceil(length(seq) / 1000.0) AS bigint))) AS block FROM c WHERE length(seq) > 0)
+ SELECT cast(contig AS varchar) AS contig, block, block * 1000 AS start, least(length(seq) - block * 1000, 1000) AS bases, md5(substr(seq, block * 1000 + 1, 1030)) AS seq_md5 FROM b""")
+def a4_fasta_blocks(spark, d):
+    blocks = genome.read_fasta_blocks(spark, _fasta(spark, d), 1000, 30)
+    return blocks.select("contig", "block", "start", "bases", F.md5("seq").alias("seq_md5"))
+
+
+@twin(ORACLE_PLAIN["d1_fragments"].replace("SELECT contig, idx AS frag_idx", "SELECT cast(contig AS varchar) AS contig, idx AS frag_idx"))
+def d1_file_fragments(spark, d):
+    return digest.fragments_in_blocks(genome.read_fasta_blocks(spark, _fasta(spark, d), q.SMALL, 3), "^GATC_")
 
 
 def _sam(spark, d, extra: str = "") -> str:
@@ -110,6 +132,36 @@ def a6_ncc(spark, d):
     return contact_files.read_ncc(spark, path).select("pair_id", *[c for c in contact_files.NCC if c not in ("ambig", "pair_id")], "ambig_size", "active")
 
 
+#: An order of a group's rows without ties that matter.
+GROUP_ORDER = "line_no, start_a, start_b, chr_a, chr_b, strand_a, strand_b"
+
+
+def _ncc_without_numbers(spark, d) -> str:
+    """An NCC file of 13 columns, its groups one after another in parts that cut through groups."""
+    v = views.contacts(spark, d)
+    k = F.row_number().over(q.Window.partitionBy("pair_id").orderBy(*GROUP_ORDER.split(", "))) - 1
+    rows = v.withColumn("k", k).selectExpr("pair_id", "k", *NCC_SIDES.split(", "), "concat(CASE WHEN k = 0 THEN ambig_size ELSE 0 END, CASE WHEN line_no % 4 <> 0 THEN '.1' ELSE '.0' END) AS code")
+    lines = rows.repartitionByRange(7, "pair_id", "k").sortWithinPartitions("pair_id", "k")
+    return _put(spark, lines.select(F.concat_ws(" ", *[F.col(c).cast("string") for c in contact_files.NCC[:12]], "code").alias("value")), "ncc")
+
+
+NUMBERED = f"""v AS ({V}), s AS (SELECT *, row_number() OVER (PARTITION BY pair_id ORDER BY {GROUP_ORDER}) - 1 AS k FROM v),
+ n AS (SELECT *, row_number() OVER (ORDER BY pair_id, k) - 1 AS ln, sum(CASE WHEN k = 0 THEN 1 ELSE 0 END) OVER (ORDER BY pair_id, k) AS g FROM s)"""
+
+
+@twin(f"WITH {NUMBERED} SELECT ln AS line_no, cast(g AS bigint) AS group_no, chr_a, start_a, chr_b, start_b, cast(CASE WHEN k = 0 THEN ambig_size ELSE 0 END AS int) AS marker, n.line_no % 4 <> 0 AS active FROM n")
+def h1_group_numbers(spark, d):
+    return contact_files.read_ncc_groups(spark, _ncc_without_numbers(spark, d)).select("line_no", "group_no", "chr_a", "start_a", "chr_b", "start_b", "marker", "active")
+
+
+@twin(f"""WITH {NUMBERED}, c AS (SELECT *, CASE WHEN chr_a <> chr_b THEN 2 WHEN abs(CASE WHEN strand_a = '+' THEN end_a ELSE start_a END - CASE WHEN strand_b = '+' THEN end_b ELSE start_b END) < 10000 THEN 0 ELSE 1 END AS code FROM n),
+ gr AS (SELECT g, count(*) AS m, max(code) AS code FROM c GROUP BY g) SELECT count(*) AS total_contacts, count(*) FILTER (m > 1) AS ambig_contacts, cast(sum(m) AS bigint) AS total_pairs,
+ round(coalesce(sum(m) FILTER (m > 1), 0) / greatest(count(*) FILTER (m > 1), 1), 6) AS mean_ambiguity, count(*) FILTER (code = 0) AS cis_near, count(*) FILTER (code = 1) AS cis_far, count(*) FILTER (code = 2) AS trans, count(*) FILTER (code = 3) AS homolog_trans FROM gr""")
+def g5_numbered_stats(spark, d):
+    groups = contact_files.read_ncc_groups(spark, _ncc_without_numbers(spark, d)).withColumnRenamed("group_no", "pair_id")
+    return contact_stats.contact_stats(groups)
+
+
 SAM_SQL = f"""WITH al AS ({AL}), b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY read_no, "end" ORDER BY as_score DESC, contig, pos) AS r FROM al) WHERE r = 1),
  p AS (SELECT x.read_no, x."end" = 1 AS is_a, x.flag AS f1, x.contig AS c1, x.pos AS p1, x.seq, x.qual, y.flag AS f2, y.contig AS c2, y.pos AS p2 FROM b x JOIN b y ON x.read_no = y.read_no AND x."end" <> y."end"),
  o AS (SELECT *, CASE WHEN (read_no % 2 = 1) = (NOT is_a) THEN 64 ELSE 128 END AS first FROM p)"""
@@ -158,12 +210,16 @@ def c7_partners(spark, d):
     return _names(spark, d)[1].select("chr", "partner")
 
 
-REGIONS = "SELECT 'chr' || (s_suppkey % 3 + 1) AS contig, s_suppkey * 5000 AS start, s_suppkey * 5000 + 2000 AS stop FROM supplier"
+#: Short regions; every tenth supplier's is 50 million bases long and holds others, every fifteenth's goes over 100 thousand.
+REGIONS = """SELECT contig, start, start + CASE WHEN k % 40 = 7 THEN 50000000 WHEN k % 15 = 3 THEN 100000 ELSE 2000 END AS stop
+ FROM (SELECT s_suppkey AS k, 'chr' || (s_suppkey % 3 + 1) AS contig, s_suppkey * 5000 + CASE WHEN s_suppkey % 40 = 7 THEN 4000000 ELSE 0 END AS start FROM supplier) s"""
 
 
 def _regions(spark, d) -> str:
-    s = spark.read.parquet(f"{d}/supplier.parquet")
-    return _put(spark, s.select(F.concat_ws("\t", F.concat(F.lit("chr"), (F.col("s_suppkey") % 3 + 1).cast("string")), (F.col("s_suppkey") * 5000).cast("string"), (F.col("s_suppkey") * 5000 + 2000).cast("string")).alias("value")), "regions")
+    s = spark.read.parquet(f"{d}/supplier.parquet").selectExpr("s_suppkey AS k")
+    start = F.col("k") * 5000 + F.when(F.col("k") % 40 == 7, 4_000_000).otherwise(0)
+    size = F.when(F.col("k") % 40 == 7, 50_000_000).when(F.col("k") % 15 == 3, 100_000).otherwise(2000)
+    return _put(spark, s.select(F.concat_ws("\t", F.concat(F.lit("chr"), (F.col("k") % 3 + 1).cast("string")), start.cast("string"), (start + size).cast("string")).alias("value")), "regions")
 
 
 @twin(f"WITH v AS ({V}), r AS ({REGIONS}) SELECT pair_id, line_no, EXISTS (SELECT 1 FROM r WHERE r.contig = v.chr_a AND v.start_a BETWEEN r.start AND r.stop) AS in_region FROM v")
@@ -341,6 +397,28 @@ def c16_dual_codes(spark, d):
     return barcodes.demultiplex(two, valid, 1, dual=True).select("read_no", "code_1", "code_2", "match_1", "match_2", "distance_1", "distance_2", "sample", "valid")
 
 
+ORACLE["c16_dual_codes_2"] = ORACLE["c16_dual_codes"].replace("<= 1)", "<= 2)")
+
+
+def c16_dual_codes_2(spark, d):
+    reads, codes = q._codes(spark, d)
+    second = F.concat(F.substring("code", 4, 10), F.substring("code", 1, 3)).alias("code_2")
+    two = reads.select("read_no", F.col("code").alias("code_1"), second)
+    valid = codes.select(F.col("code").alias("code_1"), second, "sample")
+    return barcodes.demultiplex(two, valid, 2, dual=True).select("read_no", "code_1", "code_2", "match_1", "match_2", "distance_1", "distance_2", "sample", "valid")
+
+
+QUERIES["c16_dual_codes_2"] = c16_dual_codes_2
+
+
+@twin("""WITH c AS (SELECT substr(md5(cast(event_id AS varchar)), 1, 16) AS code, event_id % 3 + 1 AS n FROM events)
+ SELECT code, sum(n)::bigint AS n, round(100.0 * sum(n) / sum(sum(n)) OVER (), 6) AS percent, 'sample_' || row_number() OVER (ORDER BY sum(n) DESC, code DESC) AS sample FROM c GROUP BY code""")
+def a24_many_samples(spark, d):
+    e = spark.read.parquet(f"{d}/events.parquet")
+    reads = e.select(F.substring(F.md5(F.col("event_id").cast("string").cast("binary")), 1, 16).alias("code"), F.explode(F.sequence(F.lit(0), F.col("event_id") % 3)).alias("i"))
+    return barcodes.name_samples(barcodes.count_codes(reads)).select("code", "n", "percent", "sample")
+
+
 @twin(f"WITH bc AS ({BC}), cd AS ({CD}) SELECT read_no, CASE WHEN code LIKE 'A%' THEN 'AA' ELSE code END || '_x' AS cell FROM bc WHERE code IN (SELECT code FROM cd WHERE code NOT LIKE 'C%')")
 def c17_cells(spark, d):
     reads, codes = q._codes(spark, d)
@@ -377,13 +455,34 @@ def c7_homolog_contacts(spark, d):
 LINE_TEXT = " || ' ' || ".join(f"cast({c} AS varchar)" for c in ("chr_a", "start_a", "end_a", "f_start_a", "f_end_a", "strand_a", "chr_b", "start_b", "end_b", "f_start_b", "f_end_b", "strand_b", "pair_id"))
 
 
-@twin(f"""WITH {T}, l AS (SELECT *, {LINE_TEXT} AS line FROM acc), c AS (SELECT *, CASE WHEN (f_start_a, strand_a, chr_b, f_start_b, strand_b) IS NOT DISTINCT FROM lag((f_start_a, strand_a, chr_b, f_start_b, strand_b)) OVER (PARTITION BY chr_a ORDER BY line) THEN 0 ELSE 1 END AS new FROM l),
- g AS (SELECT *, sum(new) OVER (PARTITION BY chr_a ORDER BY line ROWS UNBOUNDED PRECEDING) AS g FROM c)
- SELECT pair_id, line_no, row_number() OVER (PARTITION BY chr_a, g ORDER BY ambig_size, abs(end_a - start_a) + abs(end_b - start_b) DESC, start_a, end_a, start_b, end_b, pair_id) = 1 AS winner, count(*) OVER (PARTITION BY chr_a, g) AS run FROM g""")
+#: Runs of equal keys over all lines in order, with winners; a pair lives if every run it is in is its own.
+RUNS_OF_LINES = f"""WITH {T}, l AS (SELECT *, {LINE_TEXT} AS line FROM acc), o AS (SELECT *, row_number() OVER (ORDER BY line) AS ln FROM l),
+ c AS (SELECT *, CASE WHEN (chr_a, f_start_a, strand_a, chr_b, f_start_b, strand_b) IS NOT DISTINCT FROM lag((chr_a, f_start_a, strand_a, chr_b, f_start_b, strand_b)) OVER (ORDER BY ln) THEN 0 ELSE 1 END AS new FROM o),
+ g AS (SELECT *, sum(new) OVER (ORDER BY ln ROWS UNBOUNDED PRECEDING) AS g, CASE WHEN ln = 1 THEN 0 ELSE abs(end_a - start_a) END + abs(end_b - start_b) AS len FROM c),
+ w AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY ambig_size, len DESC, ln) = 1 AS winner, count(*) OVER (PARTITION BY g) AS run, max(g) OVER () AS top FROM g)"""
+
+
+@twin(f"{RUNS_OF_LINES} SELECT pair_id, line_no, winner, run FROM w")
 def h2_adjacent_runs(spark, d):
     return dedupe.winners(q._accepted(spark, d), dedupe.DedupeSettings(adjacent_only=True)).select("pair_id", "line_no", "winner", "run")
 
 
+#: What a pair has gathered over the runs.
+GATHERED_LINES = f"""{RUNS_OF_LINES}, x AS (SELECT *, max(CASE WHEN winner THEN pair_id END) OVER (PARTITION BY g) AS owner FROM w),
+ p AS (SELECT pair_id, max(CASE WHEN NOT winner AND owner <> pair_id THEN 1 ELSE 0 END) AS lost, sum(CASE WHEN winner AND g < top THEN run ELSE 0 END) AS repeats, max(ambig_size) AS size FROM x GROUP BY 1)"""
+
+
+@twin(f"{GATHERED_LINES} SELECT acc.pair_id, line_no, cast(repeats AS bigint) AS repeats FROM acc JOIN p USING (pair_id) WHERE lost = 0 AND repeats / p.size >= 2")
+def g1_dedupe_lines(spark, d):
+    return dedupe.dedupe(q._accepted(spark, d), dedupe.DedupeSettings(adjacent_only=True)).select("pair_id", "line_no", "repeats")
+
+
+@twin(f"""{GATHERED_LINES} SELECT count(*) AS input_reads, count(*) FILTER (lost = 1) AS redundant, count(*) FILTER (lost = 0) AS effective, count(*) FILTER (lost = 0 AND repeats / size < 2) AS unique_reads,
+ count(*) FILTER (lost = 0 AND repeats / size >= 2) AS supported, round(sum(repeats) FILTER (lost = 0) / count(*) FILTER (lost = 0), 6) AS mean_redundancy FROM p""")
+def g2_dedupe_lines_stats(spark, d):
+    return dedupe.dedupe_stats(q._accepted(spark, d), dedupe.DedupeSettings(adjacent_only=True))
+
+
 @twin(f"""WITH {T}, {POS}, tr AS (SELECT chr, count(*) AS n FROM (SELECT chr_a AS chr FROM pos WHERE chr_a <> chr_b UNION ALL SELECT chr_b FROM pos WHERE chr_a <> chr_b) GROUP BY 1), sp AS (SELECT lim.chr, hi - lo + 1 AS span, coalesce(n, 0) AS n FROM lim LEFT JOIN tr USING (chr))
  SELECT chr, round(CASE WHEN n > 0 THEN log2((n / sum(n) OVER ()) / (span / sum(span) OVER ())) END, 9) AS deviation FROM sp""")
 def j3_ploidy(spark, d):
@@ -459,11 +558,9 @@ def c14_files_by_root(spark, d):
     return contact_stats.join_by_root(spark.createDataFrame([("a/cell1.ncc",), ("a/cell2.ncc",)], "path string"), spark.createDataFrame([("b/cell1_stats.json",)], "path string"))
 
 
-@twin(f"WITH co AS ({CO}) SELECT cast(contig AS varchar) AS contig, length(seq) AS size FROM co WHERE contig % 5 = 0")
+@twin(f"WITH co AS ({CO}) SELECT cast(contig AS varchar) AS contig, length(seq) AS size FROM co")
 def a18_contig_sizes(spark, d):
-    c = views.view(spark, d, views.CONTIGS["spark"], "documents").filter("contig % 5 = 0")
-    path = _put(spark, c.select(F.concat(F.lit(">"), F.col("contig").cast("string"), F.lit("\n"), F.regexp_replace("seq", "(.{60})", "$1\n")).alias("value")), "fasta")
-    return genome.contig_sizes(spark, path).select("contig", F.col("size").cast("long").alias("size"))
+    return genome.contig_sizes(spark, _fasta(spark, d)).select("contig", F.col("size").cast("long").alias("size"))
 
 
 @twin(f"SELECT chr, frag_idx, frag_start, frag_end FROM ({FR2}) f")

@@ -130,16 +130,20 @@ def b12_quality_scheme(spark, d):
     return clip.quality_scheme(_reads(spark, d))
 
 
+#: Bases of a block in queries: the tables' contigs have up to 0.1 million bases, so most of them go over several blocks.
+SMALL = 1 << 12
+
+
 def d1_fragments(spark, d):
-    return digest.fragments(views.view(spark, d, views.CONTIGS["spark"], "documents"), "^GATC_")
+    return digest.fragments(views.view(spark, d, views.CONTIGS["spark"], "documents"), "^GATC_", block=SMALL)
 
 
 def d2_star_sites(spark, d):
-    return digest.star_sites(views.view(spark, d, views.CONTIGS["spark"], "documents"), ["^GATC_", "^AATN_"])
+    return digest.star_sites(views.view(spark, d, views.CONTIGS["spark"], "documents"), ["^GATC_", "^AATN_"], block=SMALL)
 
 
 def d4_windows(spark, d):
-    return digest.windows(views.view(spark, d, views.CONTIGS["spark"], "documents"), 200, 150).select("contig", "start", "end", "lead", "tail", F.md5("window").alias("window_md5"))
+    return digest.windows(views.view(spark, d, views.CONTIGS["spark"], "documents"), 200, 150, block=SMALL).select("contig", "start", "end", "lead", "tail", F.md5("window").alias("window_md5"))
 
 
 def _alignments(spark, d):

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from contactloom.functions.ordered import file_lines, running_in_files
+
 NCC = ("chr_a", "start_a", "end_a", "f_start_a", "f_end_a", "strand_a", "chr_b", "start_b", "end_b", "f_start_b", "f_end_b", "strand_b", "ambig", "pair_id", "swap_pair")
 TEXT = ("chr_a", "strand_a", "chr_b", "strand_b", "ambig")
 
@@ -46,6 +48,23 @@ def read_ncc(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return df.withColumn("ambig_size", F.count("*").over(group).cast("int")).withColumn("k", (F.row_number().over(order) - 1).cast("long")).drop("ambig")
 
 
+def read_ncc_groups(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Contacts of NCC files by the running number of their group, for files without read numbers (13 columns) as well as with
+    them: (line_no, group_no, the first twelve columns, marker, active). A group begins where the ambiguity column is above
+    zero and goes on up to the next such line; files of a folder follow each other. Numbers begin with 1, lines with 0;
+    lines before the first group have group 0.
+
+    The numbers are running sums over splits: lines are not shuffled, and no task has more than its split.
+    """
+    f = F.split("value", " ")
+    marker = F.expr("try_cast(substring_index(get(split(value, ' '), 12), '.', 1) as int)")
+    lines = running_in_files(file_lines(spark.read.text(paths)), {"group_no": marker > 0, "line_no": F.lit(1)}, joined=True)
+    kind = lambda c: "string" if c in TEXT else "long"
+    sides = [F.get(f, F.lit(i)).cast(kind(c)).alias(c) for i, c in enumerate(NCC[:12])]
+    code = F.get(f, F.lit(12))
+    return lines.select((F.col("line_no") - 1).alias("line_no"), "group_no", *sides, marker.alias("marker"), (~F.contains(code, F.lit(".")) | ~F.endswith(code, F.lit(".0"))).alias("active"))
+
+
 def ncc_text(contacts: DataFrame) -> DataFrame:
     """One line a contact, the group's size on its first row; for write.text."""
     size = F.when(F.col("k") == 0, F.col("ambig_size")).otherwise(0)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from contactloom.sources.fastq import numbered_lines
+from contactloom.functions.ordered import file_lines, running_in_files
+from contactloom.functions.plan import broadcast_if_small, written
 
 
 def read_fasta(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -21,6 +22,53 @@ def read_fasta(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return got.select(name.alias("contig"), F.upper(F.regexp_replace(F.coalesce(F.get(head, F.lit(1)), F.lit("")), r"\s+", "")).alias("seq")).filter("contig <> ''")
 
 
+#: Bases of a contig in one row.
+BLOCK = 1 << 20
+
+
+def read_fasta_blocks(spark: SparkSession, paths: str | list[str], size: int = BLOCK, overlap: int = 0) -> DataFrame:
+    """(contig, block, start, bases, seq): the entries in blocks of `size` bases, upper-cased; seq (binary) runs on for `overlap`
+    bases more where the contig does, bases are the block's own ones.
+
+    Lines get their entry and their place in it by running sums over the splits of a file, so no contig is ever one
+    value and no task reads a contig. Only a > that begins a line is a header; lines before the first one belong to no
+    contig; an entry without bases has no block.
+    """
+    text = F.regexp_replace("value", r"\s+", "")
+    head = F.startswith("value", F.lit(">"))
+    lines = file_lines(spark.read.text(paths))
+    placed = running_in_files(lines, {"_entry": head, "_bases": F.when(head, 0).otherwise(F.length(text))})
+    name = F.regexp_extract("value", r"^>\s*(\S+)", 1)
+    heads = placed.filter(head).select("path", "_entry", F.col("_bases").alias("_skip"), name.alias("contig")).filter("contig <> ''")
+    rows = placed.filter(~head).select("path", "_entry", "_bases", F.upper(text).cast("binary").alias("_seq")).filter("length(_seq) > 0")
+    rows = rows.join(broadcast_if_small(heads), ["path", "_entry"])  # a row a contig
+    at = F.col("_bases") - F.col("_skip") - F.length("_seq")
+    rows = rows.select("path", "_entry", "contig", at.alias("_at"), "_seq")
+    return _blocks(rows, ["path", "_entry", "contig"], size, overlap).drop("path", "_entry")
+
+
+def blocks_of(contigs: DataFrame, size: int = BLOCK, overlap: int = 0, name: str = "contig", seq: str = "seq") -> DataFrame:
+    """The blocks of contigs that are values: (contig, block, start, bases, seq) as of read_fasta_blocks."""
+    whole = contigs.select(F.col(name).alias("contig"), F.col(seq).cast("binary").alias("_seq")).filter("length(_seq) > 0")
+    n = F.ceil(F.length("_seq") / size).cast("int")
+    part = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(i.cast("long").alias("block"), F.substring("_seq", i * size + 1, F.lit(size + overlap)).alias("seq")))
+    rows = whole.select("contig", F.explode(part).alias("x")).select("contig", "x.block", (F.col("x.block") * size).alias("start"), "x.seq")
+    return rows.select("contig", "block", "start", F.least(F.length("seq"), F.lit(size)).cast("long").alias("bases"), "seq")
+
+
+def _blocks(rows: DataFrame, by: list[str], size: int, overlap: int) -> DataFrame:
+    """Stretches (by, _at, _seq) put together to blocks; a stretch goes to each block that it meets."""
+    end = F.col("_at") + F.length("_seq")
+    first, last = F.greatest(F.floor((F.col("_at") - overlap) / size), F.lit(0)), F.floor((end - 1) / size)
+    rows = rows.withColumn("block", F.explode(F.sequence(first, last)))
+    low, high = F.greatest(F.col("_at"), F.col("block") * size), F.least(end, (F.col("block") + 1) * size + overlap)
+    piece = F.substring("_seq", (low - F.col("_at") + 1).cast("int"), (high - low).cast("int"))
+    pieces = F.sort_array(F.collect_list(F.struct(low.alias("at"), piece.alias("seq"))))
+    joined = F.array_join(F.transform(pieces, lambda x: x["seq"].cast("string")), "").cast("binary")
+    got = rows.groupBy(*by, "block").agg(joined.alias("seq"))
+    return got.select(*by, "block", (F.col("block") * size).alias("start"), F.least(F.length("seq"), F.lit(size)).cast("long").alias("bases"), "seq")
+
+
 def read_names(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """(contig, chr) from lines of two words, # comments aside; raises where either is given twice."""
     rows = spark.read.text(paths).select(F.split(F.trim(F.regexp_replace("value", "#.*", "")), r"\s+").alias("w")).filter("size(w) >= 2")
@@ -78,20 +126,47 @@ def read_fragments_text(spark: SparkSession, path: str) -> DataFrame:
     return df.select(F.col("Source").alias("chr"), F.col("Contig").alias("contig"), idx.cast("long").alias("frag_idx"), F.col("Frag_Start").alias("frag_start"), F.col("Frag_End").alias("frag_end"), F.col("Mappability").alias("mappability"))
 
 
-def regions(spark: SparkSession, path: str, bin_size: int = 100_000) -> DataFrame:
-    """(contig, start, end, bin): three-column regions, a row for each bin that they meet."""
+#: Bases of the smallest bin, and how many bins of one level make one of the next.
+SMALLEST, FACTOR, LEVELS = 1 << 14, 8, 8
+
+
+def bin_of(pos: Column, level: int | Column) -> Column:
+    """The bin of a level that holds a position; the highest level has one bin."""
+    level = F.lit(level)
+    size = F.lit(SMALLEST) * F.pow(F.lit(FACTOR), level).cast("long")
+    return F.when(level == LEVELS, F.lit(0)).otherwise(F.floor(pos / size)).cast("long")
+
+
+def regions(spark: SparkSession, path: str) -> DataFrame:
+    """(contig, start, end, level, bin): three-column regions, each in the smallest bin that holds it.
+
+    Bins of level k have SMALLEST * FACTOR ** k bases, so a region is one row whatever its length, and a long one that
+    holds many short ones costs no more than they do.
+    """
     w = F.split(F.trim("value"), r"\s+")
     df = spark.read.text(path).filter("not startswith(value, '#')").select(w.alias("w")).filter("size(w) >= 3")
     df = df.select(F.col("w")[0].alias("contig"), F.col("w")[1].cast("long").alias("start"), F.col("w")[2].cast("long").alias("end"))
-    return df.withColumn("bin", F.explode(F.sequence(F.floor(F.col("start") / bin_size), F.floor(F.col("end") / bin_size))))
+    level = F.lit(LEVELS)
+    for k in reversed(range(LEVELS)):
+        level = F.when(bin_of(F.col("start"), k) == bin_of(F.col("end"), k), k).otherwise(level)
+    return df.withColumn("level", level).withColumn("bin", bin_of(F.col("start"), F.col("level")))
+
 
+def in_regions(rows: DataFrame, marked: DataFrame, chr_col: str, pos_col: str) -> DataFrame:
+    """rows with `in_region`: whether the position lies in one of the regions (of `regions`).
 
-def in_regions(rows: DataFrame, marked: DataFrame, chr_col: str, pos_col: str, bin_size: int = 100_000) -> DataFrame:
-    """rows with `in_region`: whether the position lies in a region, by an equi-join on bins and a semi join's residual."""
-    r = marked.select(F.col("contig").alias("_c"), F.col("bin").alias("_b"), F.col("start").alias("_s"), F.col("end").alias("_e"))
-    on = (F.col(chr_col) == F.col("_c")) & (F.floor(F.col(pos_col) / bin_size) == F.col("_b")) & (F.col(pos_col) >= F.col("_s")) & (F.col(pos_col) <= F.col("_e"))
-    inside = rows.join(r, on, "left_semi").withColumn("in_region", F.lit(True))
-    return inside.unionByName(rows.join(r, on, "left_anti").withColumn("in_region", F.lit(False)))
+    A position asks its bin at each level that regions have; a bin's regions come as one list, so no row multiplies. A
+    list holds what lies in a smallest bin, or crosses a border between bins of the level below: long regions do not
+    gather in short bins. A null position lies in none.
+    """
+    lists = written("regions", marked.groupBy("contig", "level", "bin").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("_r")))
+    levels = sorted(r.level for r in lists.select("level").distinct().collect())  # at most LEVELS + 1
+    df, inside = rows, F.lit(False)
+    for k in levels:
+        mine = lists.filter(F.col("level") == k).select(F.col("contig").alias(f"_c{k}"), F.col("bin").alias(f"_b{k}"), F.col("_r").alias(f"_r{k}"))
+        df = df.join(broadcast_if_small(mine), (F.col(chr_col) == F.col(f"_c{k}")) & (bin_of(F.col(pos_col), k) == F.col(f"_b{k}")), "left")
+        inside = inside | F.coalesce(F.exists(f"_r{k}", lambda r: (F.col(pos_col) >= r["start"]) & (F.col(pos_col) <= r["end"])), F.lit(False))
+    return df.select(*rows.columns, inside.alias("in_region"))
 
 
 def mappability(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
@@ -104,12 +179,11 @@ def mappability(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
 
 
 def contig_sizes(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(contig, header, size) of FASTA entries, counted over lines, so that no sequence is held as one value."""
-    lines = numbered_lines(spark, paths)
-    new = F.startswith("value", F.lit(">")).cast("int")
-    w = Window.partitionBy("path").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
-    df = lines.withColumn("_entry", F.sum(new).over(w)).filter("_entry > 0")
-    got = df.groupBy("path", "_entry").agg(F.max(F.when(new == 1, F.substring("value", F.lit(2), F.length("value")))).alias("header"), F.sum(F.when(new == 0, F.length(F.trim("value"))).otherwise(0)).alias("size"))
+    """(contig, header, size) of FASTA entries, counted over lines, so that no sequence is held as one value. Lines learn their
+    entry from running counts of headers; sizes are summed before the shuffle."""
+    new = F.startswith("value", F.lit(">"))
+    df = running_in_files(file_lines(spark.read.text(paths)), {"_entry": new}).filter("_entry > 0")
+    got = df.groupBy("path", "_entry").agg(F.max(F.when(new, F.substring("value", F.lit(2), F.length("value")))).alias("header"), F.sum(F.when(~new, F.length(F.trim("value"))).otherwise(0)).alias("size"))
     return got.select(F.regexp_extract("header", r"^\s*(\S+)", 1).alias("contig"), "header", "size")
 
 
