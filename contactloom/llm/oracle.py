@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from contactloom.llm import quality_rules
 
-_L = quality_rules.Limits()
-_WORDS = "CASE lang " + " ".join("WHEN '{}' THEN [{}]".format(k, ", ".join(f"'{w}'" for w in ws)) for k, ws in quality_rules.COMMON.items()) + " END"
+_L = quality_rules.PIPELINE
+_N = _L.n_common
+_WORDS = "[{}]".format(", ".join(f"'{w}'" for w in quality_rules.EVERY))
 _COUNT = lambda cls: f"length(regexp_replace(t, '[^{cls}]', '', 'g'))"
 _TERM = lambda x, y: f"CASE WHEN {x} > 0 THEN {x} * log2(2 * {x} / ({x} + {y})) ELSE 0 END"
 
@@ -24,12 +25,14 @@ f AS (SELECT w.r, doc_id, lang, n, len(ws) AS n_words, length(array_to_string(ws
   {_COUNT('a-z')} AS lo, {_COUNT('A-Z')} AS up, {_COUNT('0-9')} AS dg, {_COUNT('\\x20\\x09-\\x0D')} AS sp, {_COUNT('\\x00-\\x7F')} AS ascii_, list_transform({_WORDS}, lambda c: len(list_filter(ws, lambda y: y = c))) AS hits
   FROM w LEFT JOIN rep ON w.r = rep.r LEFT JOIN ln ON w.r = ln.r),
 s AS (SELECT *, list_transform([lo, sp, up, n_symbols, dg, ascii_ - lo - sp - up - n_symbols - dg, n - ascii_], lambda v: v / greatest(n, 1)) AS cs,
-  list_transform(list_append(coalesce(hits, list_transform(range(12), lambda z: 0)), n_words - coalesce(list_sum(hits), 0)), lambda v: v / greatest(n_words, 1)) AS wd FROM f),
-ref AS (SELECT lang AS k, {", ".join(f"round(avg(cs[{i}]), 9) AS c{i}" for i in range(1, 8))}, {", ".join(f"round(avg(wd[{i}]), 9) AS w{i}" for i in range(1, 14))} FROM s WHERE n >= {_L.judge_chars} AND n_words >= {_L.judge_words} GROUP BY 1),
-g AS (SELECT s.*, n >= {_L.judge_chars} AND n_words >= {_L.judge_words} AS long, [{", ".join(f"c{i}" for i in range(1, 8))}] AS rc, [{", ".join(f"w{i}" for i in range(1, 14))}] AS rw, n_words < {_L.min_words} OR 100 * n_repeat_words > {_L.repeat_percent} * n_words AS base_failed
-  FROM s LEFT JOIN ref ON s.lang = ref.k),
-h AS (SELECT *, CASE WHEN long THEN {_distance("cs", "rc", 7)} END AS char_distance, CASE WHEN long AND lang <> '_other' THEN {_distance("wd", "rw", 13)} END AS word_distance FROM g)
+  list_transform(list_append(hits, n_words - coalesce(list_sum(hits), 0)), lambda v: v / greatest(n_words, 1)) AS wd FROM f),
+ref AS (SELECT lang AS k, {", ".join(f"round(avg(cs[{i}]) FILTER (n >= {_L.judge_chars}), 9) AS c{i}" for i in range(1, 8))}, {", ".join(f"round(avg(wd[{i}]) FILTER (n_words >= {_L.judge_words}), 9) AS w{i}" for i in range(1, _N + 2))}
+  FROM s WHERE n >= {_L.judge_chars} OR n_words >= {_L.judge_words} GROUP BY 1),
+g AS (SELECT s.*, [{", ".join(f"c{i}" for i in range(1, 8))}] AS rc, [{", ".join(f"w{i}" for i in range(1, _N + 2))}] AS rw, [{", ".join(["0.0::double"] * _N)}, 1.0::double] AS bare,
+  n_words < {_L.min_words} OR 100 * n_repeat_words > {_L.repeat_percent} * n_words AS base_failed FROM s LEFT JOIN ref ON s.lang = ref.k),
+h AS (SELECT *, CASE WHEN n >= {_L.judge_chars} THEN {_distance("cs", "rc", 7)} END AS char_distance, CASE WHEN n_words >= {_L.judge_words} AND lang <> '_other' THEN {_distance("wd", "rw", _N + 1)} END AS word_distance,
+  {_distance("bare", "rw", _N + 1)} AS bare_distance FROM g)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND coalesce(char_distance, 0) <= {_L.max_char_distance} AND coalesce(word_distance, 0) <= {_L.max_word_distance} AS kept, char_distance, word_distance FROM h"""
+  NOT base_failed AND coalesce(char_distance, 0) <= {_L.max_char_distance} AND coalesce(word_distance, 0) <= coalesce(CASE WHEN bare_distance > 0 THEN {_L.word_reach} * bare_distance ELSE 1.0 END, 1.0) AS kept, char_distance, word_distance FROM h"""
 
 ORACLE = {"op5_quality_rules": QUALITY}

@@ -64,7 +64,7 @@ class Limits:
         return 12 if self.word_reach is None else len(EVERY)
 
 
-#: What the pipeline drops by. The registered query keeps the defaults, which its SQL twin states.
+#: What the pipeline and the registered query drop by.
 PIPELINE = Limits(word_reach=0.85, apart=True)
 
 
@@ -211,8 +211,8 @@ def keep_good(spark: SparkSession, docs: DataFrame, limits: Limits = PIPELINE) -
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op5: counts and verdict of every document."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
-    rows = write_table(spark, features(docs).select("doc_id", "_q"), "quality")
+    rows = write_table(spark, features(docs, limits=PIPELINE).select("doc_id", "_q"), "quality")
     out = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    return judge(rows, references(rows)).select(
+    return judge(rows, references(rows, PIPELINE), PIPELINE).select(
         "doc_id", *[F.col(f"_q.{c}") for c in out], "base_failed", "kept", "char_distance", "word_distance"
     )
