@@ -1,4 +1,4 @@
-"""Names and pairs of files. Plain driver-side helpers; data never passes through them."""
+"""Names and pairs of files: driver-side helpers for the few files of a run, and the same for tables of any number of paths."""
 
 from __future__ import annotations
 
@@ -6,6 +6,9 @@ import os
 import re
 from collections.abc import Iterable
 
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
 
 class FileError(ValueError):
     """Files that can't be used or paired."""
@@ -78,3 +81,29 @@ def check_regular(path: str) -> str:
     if not os.access(path, os.R_OK):
         raise FileError(f"{path} is not readable")
     return path
+
+
+def root_and_extension(path: Column) -> tuple[Column, Column]:
+    """As split_extension, of a column."""
+    parts = r"^(.*?[^/])((?:\.[^./]*)?(?:\.gz|\.gzip)|\.[^./]*)?$"
+    return F.regexp_extract(path, parts, 1), F.regexp_extract(path, parts, 2)
+
+
+def merged_roots(first: Column, second: Column, sep: str = "_") -> Column:
+    """As merged_root, of columns."""
+    name = lambda p: F.split(F.element_at(F.split(root_and_extension(p)[0], "/"), -1), "[_.]")
+    both = F.zip_with(name(first), name(second), lambda x, y: F.when(x.eqNullSafe(y), F.array(x)).otherwise(F.array_compact(F.array(x, y))))
+    return F.concat(F.regexp_extract(first, "^(.*/)?", 0), F.array_join(F.flatten(both), sep))
+
+
+def pair_table(paths: DataFrame, tags: tuple[str, str] = ("r_1", "r_2")) -> DataFrame:
+    """(first, second, error) of a table of distinct paths (path): mates joined by name, and for a path that can't be paired, why."""
+    name = F.element_at(F.split("path", "/"), -1)
+    folder = F.regexp_extract("path", "^(.*/)?", 0)
+    has = [F.contains(name, F.lit(t)) for t in tags]
+    df = paths.select("path", has[0].alias("_1"), has[1].alias("_2"), F.concat(folder, F.replace(name, F.lit(tags[0]), F.lit(tags[1]))).alias("_mate"))
+    odd = df.filter(F.col("_1") == F.col("_2")).select(F.col("path").alias("first"), F.lit(None).cast("string").alias("second"), F.lit("one tag wanted").alias("error"))
+    a, b = df.filter("_1 and not _2").select(F.col("path").alias("first"), "_mate"), df.filter("_2 and not _1").select(F.col("path").alias("second"))
+    met = a.join(b, F.col("_mate") == F.col("second"), "full")
+    alone = F.when(F.col("first").isNull() | F.col("second").isNull(), F.lit("no partner"))
+    return met.select("first", "second", alone.alias("error")).unionByName(odd)

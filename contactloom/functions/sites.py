@@ -1,4 +1,5 @@
-"""Restriction sites: the `^`/`_` notation, recognition sequences, ligation junctions. All work is at plan time."""
+"""Restriction sites: the `^`/`_` notation, recognition sequences, ligation junctions; at plan time for the sites of a run, and
+as columns for tables of sites."""
 
 from __future__ import annotations
 
@@ -6,6 +7,9 @@ import re
 from collections.abc import Iterable, Mapping
 from pathlib import Path
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
 #: Common enzymes in the site notation.
 ENZYMES = {
     "BglII": "A^GATC_T",
@@ -84,3 +88,31 @@ def parse_sizes(text: str) -> tuple[int, float]:
     if not sizes:
         raise SiteError(f"no size in {text!r}")
     return (sizes[0], 1e16) if len(sizes) == 1 else (sizes[0], sizes[-1])
+
+
+def site_error(site: Column) -> Column:
+    """What check_site would say of a column's sites, null where they are fit."""
+    s = F.upper(site)
+    count = lambda c: F.length(s) - F.length(F.replace(s, F.lit(c), F.lit("")))
+    return F.when(~s.rlike(r"^[\^_GCATN]*$"), "characters").when((count("^") != 1) | (count("_") > 1), "marks")
+
+
+def recognitions(site: Column) -> Column:
+    return F.regexp_replace(F.upper(site), r"[\^_]", "")
+
+
+def junctions(site: Column) -> Column:
+    """As junction, of a column of fit sites."""
+    s = F.upper(site)
+    parts = F.split(s, r"[\^_]")
+    left, middle, right = (F.get(parts, F.lit(i)) for i in range(3))
+    return F.when(F.contains(s, F.lit("_")), F.concat(left, middle, middle, right)).otherwise(recognitions(site))
+
+
+def site_patterns(site: Column) -> Column:
+    return F.replace(recognitions(site), F.lit("N"), F.lit("[AGCT]"))
+
+
+def bases_fit(seq: Column, alphabet: str) -> Column:
+    """Whether a column's sequences are over an alphabet of letters, in either case."""
+    return F.upper(seq).rlike(f"^[{alphabet}]*$")

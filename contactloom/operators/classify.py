@@ -146,8 +146,8 @@ def filter_pairs(pairs: DataFrame, re1: DataFrame | None, s: FilterSettings = Fi
 def filter_counts(filtered: DataFrame) -> DataFrame:
     """(tag, n, percent) of all outcomes."""
     counts = filtered.groupBy("tag").agg(F.count("*").alias("n"))
-    total = filtered.agg(F.count("*").alias("total"))
-    return counts.crossJoin(F.broadcast(total)).select("tag", "n", F.round(100.0 * F.col("n") / F.col("total"), 6).alias("percent"))  # one row
+    total = F.sum("n").over(Window.partitionBy())  # over a row an outcome
+    return counts.select("tag", "n", F.round(100.0 * F.col("n") / total, 6).alias("percent"))
 
 
 def separations(classified: DataFrame) -> DataFrame:
@@ -171,3 +171,21 @@ def junction_histogram(classified: DataFrame, width: int = 10, bins: int = 100)
     ends = F.array(*[F.struct(F.col(f"strand_{x}").alias("strand"), F.floor(F.col(f"delta_{x}") / width).cast("long").alias("bin")) for x in "ab"])
     df = classified.filter("known").select(F.explode(ends).alias("x")).select("x.strand", "x.bin")
     return df.filter(F.col("bin") < bins).groupBy("strand", "bin").agg(F.count("*").alias("n"))
+
+
+def size_density(histogram: DataFrame) -> DataFrame:
+    """size_histogram with `edge` (log10 of the bin's least size) and `percent`: of the accepted pairs of its series, for `all` of
+    all accepted ones; a series without pairs counts as one."""
+    total = lambda k: F.sum(F.when(F.col("series") == k, F.col("n")).otherwise(0)).over(Window.partitionBy())
+    share = lambda t: F.when(t == 0, F.lit(1.0)).otherwise(0.01 * t)
+    df = histogram.withColumn("_cis", share(total("cis"))).withColumn("_trans", share(total("trans")))  # over a row a bin
+    part = F.when(F.col("series") == "cis", F.col("_cis")).when(F.col("series") == "trans", F.col("_trans")).otherwise(F.col("_cis") + F.col("_trans"))
+    return df.select("series", "bin", (F.col("bin") / 10.0).alias("edge"), "n", F.round(F.col("n") / part, 9).alias("percent"))
+
+
+def junction_density(histogram: DataFrame, width: int = 10, bins: int = 100) -> DataFrame:
+    """(strand, edge, per_base) of junction_histogram over all bins of both strands: the bin's upper edge, and pairs a base."""
+    spark = histogram.sparkSession
+    every = spark.range(bins).select(F.col("id").alias("bin"), F.explode(F.array(F.lit("+"), F.lit("-"))).alias("strand"))
+    df = every.join(histogram, ["strand", "bin"], "left")
+    return df.select("strand", ((F.col("bin") + 1) * width).alias("edge"), (F.coalesce("n", F.lit(0)) / width).alias("per_base"))

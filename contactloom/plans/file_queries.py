@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contactloom.functions import files, sites
+from contactloom.functions.ordered import file_lines, running_in_files
 from contactloom.functions.plan import new_path
 from contactloom.operators import barcodes, classify, clip, contact_map, contact_stats, dedupe, digest, disambiguate, pairing
 from contactloom.plans import queries as q
@@ -181,9 +182,29 @@ def a8_sam_pairs(spark, d):
     return back.select(F.substring("value", 1, 10).cast("long").alias("read_no"), F.md5("value").alias("line_md5"))
 
 
-@twin(f"SELECT chr, chr AS contig, row_number() OVER (PARTITION BY chr ORDER BY frag_start) - 1 AS frag_idx, frag_start, frag_end, cast(1 AS int) AS mappability FROM ({FR}) f")
+PAIR_LINE = """printf('%010d', read_no) || chr(9) || cast(CASE WHEN (f1 & 4) <> 0 OR (f2 & 4) <> 0 THEN 0 ELSE f1 | 3 | CASE WHEN (f2 & 16) <> 0 THEN 32 ELSE 0 END | first END AS varchar) || chr(9) || c1 || chr(9)
+ || cast(p1 AS varchar) || chr(9) || '255' || chr(9) || cast(length(seq) AS varchar) || 'M' || chr(9) || CASE WHEN c1 = c2 THEN '=' ELSE c2 END || chr(9) || cast(p2 AS varchar) || chr(9) || '0' || chr(9) || seq || chr(9) || qual"""
+
+
+@twin(f"{SAM_SQL}, n AS (SELECT row_number() OVER (ORDER BY read_no, first) + 1 AS line_no, {PAIR_LINE} AS line FROM o) SELECT line_no, md5(line) AS line_md5 FROM n UNION ALL SELECT 0, md5('@HD' || chr(9) || 'VN:1.0') UNION ALL SELECT 1, md5('@PG' || chr(9) || 'ID:contactloom')")
+def a8_sam_file(spark, d):
+    source = _sam(spark, d)
+    a = contact_files.read_sam(spark, source, 1).drop("end").join(q._alignments(spark, d).select("read_no", "end", "flag", "contig", "pos", "seq", "as_score"), ["read_no", "flag", "contig", "pos", "seq", "as_score"])
+    pairs = a.select(F.col("read_no").alias("pair_id"), (F.col("read_no") % 2).alias("swap_pair")).distinct()
+    path = new_path(spark, "sam")
+    contact_files.write_sam(pairs, a, path, contact_files.sam_header(spark, source), "contactloom")
+    back = running_in_files(file_lines(spark.read.text(path)), {"line_no": F.lit(1)}, joined=True)
+    return back.select((F.col("line_no") - 1).alias("line_no"), F.md5("value").alias("line_md5"))
+
+
+def _digest(spark, d, site: str = "^GATC_") -> DataFrame:
+    contigs = views.view(spark, d, views.CONTIGS["spark"], "documents").withColumn("contig", F.concat(F.lit("chr"), F.col("contig").cast("string")))
+    return digest.fragments(contigs, site, block=q.SMALL).withColumnRenamed("contig", "chr")
+
+
+@twin(f"SELECT 'chr' || contig AS chr, 'chr' || contig AS contig, frag_idx, frag_start, frag_end, cast(1 AS int) AS mappability FROM ({ORACLE_PLAIN['d1_fragments']}) f")
 def a10_fragment_file(spark, d):
-    path = _put(spark, genome.fragments_text(views.fragments(spark)), "frags")
+    path = _put(spark, genome.fragments_text(_digest(spark, d)), "frags")
     return genome.read_fragments_text(spark, path)
 
 
@@ -243,45 +264,53 @@ def a14_stats_file(spark, d):
         return stats_io.read_stats(spark, f"{folder}/stats.json", "s").select("section", "key", "value")
 
 
-@twin("""WITH g AS (SELECT doc_id, text, row_number() OVER (PARTITION BY doc_id % 2 = 0 ORDER BY doc_id) AS k FROM documents WHERE doc_id % 7 = 0 AND length(text) > 2000)
- SELECT 'acc' || doc_id AS contig, CASE WHEN doc_id % 2 = 0 THEN 'chr1_unloc_' || row_number() OVER (PARTITION BY doc_id % 2 = 0 ORDER BY 'acc' || doc_id) WHEN doc_id % 21 = 0 THEN 'chrMt' ELSE 'acc' || doc_id END AS chr FROM g""")
+@twin("""SELECT 'acc' || doc_id AS contig, CASE WHEN doc_id % 2 = 0 THEN 'chr1_unloc_' || row_number() OVER (PARTITION BY doc_id % 2 = 0 ORDER BY 'acc' || doc_id) WHEN doc_id % 21 = 0 THEN 'chrMt' ELSE 'acc' || doc_id END AS chr FROM documents""")
 def a19_contig_names(spark, d):
-    docs = spark.read.parquet(f"{d}/documents.parquet").filter((F.col("doc_id") % 7 == 0) & (F.length("text") > 2000))
+    docs = spark.read.parquet(f"{d}/documents.parquet")
     c = docs.select(F.concat(F.lit("acc"), F.col("doc_id").cast("string")).alias("contig"), F.lit(1_000_000).alias("size"), "doc_id")
     even = F.col("doc_id") % 2 == 0
     meta = c.select(F.col("contig").alias("accession"), F.when(even, "1").otherwise("").alias("chromosome"), F.when(~even & (F.col("doc_id") % 21 == 0), "Mitochondrion").otherwise("").alias("organelle"), even.alias("unlocalized"))
     return genome.name_contigs(c.select("contig", "size"), meta)
 
 
-FILES = ["/x/s1_r_1.fq.gz", "/x/s1_r_2.fq.gz", "/y/t_r_2.fq", "/y/t_r_1.fq"]
+@twin("""WITH f AS (SELECT c_custkey AS k, '/x' || c_custkey % 10 || CASE WHEN c_custkey % 11 = 5 THEN '/t' || c_custkey ELSE '/s' || c_custkey || '_r_1' END || CASE WHEN c_custkey % 2 = 0 THEN '.fq.gz' ELSE '.fastq' END AS a FROM customer)
+ SELECT a AS first, CASE WHEN k % 11 <> 5 AND k % 9 <> 4 THEN replace(a, 'r_1', 'r_2') END AS second, CASE WHEN k % 11 = 5 THEN 'one tag wanted' WHEN k % 9 = 4 THEN 'no partner' END AS error,
+ CASE WHEN k % 11 <> 5 AND k % 9 <> 4 THEN '/x' || k % 10 || '/s' || k || '_r_1_2' END AS root, split_part(a, '.', 1) || '_clipped' || CASE WHEN k % 2 = 0 THEN '.fq.gz' ELSE '.fastq' END AS clipped FROM f""")
+def a20_file_pairs(spark, d):
+    k = F.col("c_custkey")
+    name = F.when(k % 11 == 5, F.concat(F.lit("/t"), k)).otherwise(F.concat(F.lit("/s"), k, F.lit("_r_1")))
+    first = F.concat(F.lit("/x"), k % 10, name, F.when(k % 2 == 0, ".fq.gz").otherwise(".fastq"))
+    c = spark.read.parquet(f"{d}/customer.parquet").select("c_custkey", first.alias("path"))
+    mates = c.filter("c_custkey % 11 <> 5 and c_custkey % 9 <> 4").select(F.replace("path", F.lit("r_1"), F.lit("r_2")).alias("path"))
+    pairs = files.pair_table(c.select("path").unionByName(mates))
+    root, extension = files.root_and_extension(F.col("first"))
+    return pairs.select("first", "second", "error", F.when(F.col("second").isNotNull(), files.merged_roots(F.col("first"), F.col("second"))).alias("root"), F.concat(root, F.lit("_clipped"), extension).alias("clipped"))
 
 
-@twin("SELECT * FROM (VALUES ('/x/s1_r_1.fq.gz', '/x/s1_r_2.fq.gz', '/x/s1_r_1_2', '/x/s1_r_1_clipped.fq.gz'), ('/y/t_r_1.fq', '/y/t_r_2.fq', '/y/t_r_1_2', '/y/t_r_1_clipped.fq')) t(first, second, root, clipped)")
-def a20_file_pairs(spark, d):
-    rows = [(a, b, files.merged_root(a, b), files.tagged(a, "clipped")) for a, b in files.pair_files(FILES)]
-    return spark.createDataFrame(rows, "first string, second string, root string, clipped string")
+#: Sites from parts: cut marks at i and n - i, some blunt, some with an N at the end.
+SITES = """WITH a AS (SELECT p_partkey AS k, translate(substr(md5(cast(p_partkey AS varchar)), 1, cast(4 + p_partkey % 3 AS int)), '0123456789abcdef', 'ACGTACGTACGTACGT') AS s, cast(p_partkey % 5 AS int) AS i FROM part),
+ b AS (SELECT k, CASE WHEN k % 7 = 0 THEN substr(s, 1, length(s) - 1) || 'N' ELSE s END AS s, least(i, length(s)) AS i FROM a), c AS (SELECT *, least(i, length(s) - i) AS lo, greatest(i, length(s) - i) AS hi, k % 6 = 1 AS blunt FROM b),
+ p AS (SELECT *, substr(s, 1, cast(lo AS int)) AS l, substr(s, cast(lo + 1 AS int), cast(hi - lo AS int)) AS m, substr(s, cast(hi + 1 AS int)) AS r FROM c),
+ x AS (SELECT k, s, l, m, r, blunt, CASE WHEN blunt THEN l || '^' || m || r WHEN i <= length(s) - i THEN l || '^' || m || '_' || r ELSE l || '_' || m || '^' || r END AS site FROM p)"""
 
 
-@twin("""SELECT * FROM (VALUES ('^GATC_', 'GATC', 'GATCGATC', 'GATC'), ('A^AGCT_T', 'AAGCTT', 'AAGCTAGCTT', 'AAGCTT'), ('AG^CT', 'AGCT', 'AGCT', 'AGCT'), ('A^GATC_T', 'AGATCT', 'AGATCGATCT', 'AGATCT'), ('^AATN_', 'AATN', 'AATNAATN', 'AAT[AGCT]')) t(site, recognition, junction, pattern)""")
+@twin(SITES + " SELECT k AS part, site, s AS recognition, CASE WHEN blunt THEN s ELSE l || m || m || r END AS junction, replace(s, 'N', '[AGCT]') AS pattern FROM x")
 def b14_sites(spark, d):
-    rows = [(s, sites.recognition(s), sites.junction(s), sites.site_regex(s)) for s in ("^GATC_", "A^AGCT_T", "AG^CT", "A^GATC_T", "^AATN_")]
-    return spark.createDataFrame(rows, "site string, recognition string, junction string, pattern string")
+    table = spark.sql(SITES.replace("varchar", "string").replace("FROM part", "FROM {part}") + " SELECT k AS part, site FROM x", part=spark.read.parquet(f"{d}/part.parquet"))
+    site = F.col("site")
+    return table.select("part", "site", sites.recognitions(site).alias("recognition"), sites.junctions(site).alias("junction"), sites.site_patterns(site).alias("pattern"))
 
 
-def _fits(call, value) -> bool:
-    try:
-        call(value)
-    except sites.SiteError:
-        return False
-    return True
+#: Of every part a site, a junction and an adapter, some of them unfit.
+UNFIT = "CASE WHEN k % 9 = 2 THEN replace(site, '^', '') WHEN k % 9 = 3 THEN site || '^' WHEN k % 9 = 4 THEN site || 'X' WHEN k % 9 = 5 THEN lower(site) ELSE site END AS site, CASE WHEN k % 8 = 1 THEN s || '-' ELSE s END AS junction, s AS adapter"
 
 
-@twin("SELECT * FROM (VALUES ('site', '^GATC_', true), ('site', 'GATC', false), ('site', '^G^ATC', false), ('site', '^GAXC_', false), ('junction', 'GATCNGATC', true), ('junction', 'GAT-C', false), ('adapter', 'AGATCGG', true), ('adapter', 'AGANCGG', false)) t(kind, value, ok)")
+@twin(f"{SITES}, u AS (SELECT k, {UNFIT} FROM x) SELECT k AS part, 'site' AS kind, site AS value, k % 9 NOT IN (2, 3, 4) AS ok FROM u UNION ALL SELECT k, 'junction', junction, k % 8 <> 1 FROM u UNION ALL SELECT k, 'adapter', adapter, NOT contains(adapter, 'N') FROM u")
 def b15_checks(spark, d):
-    rows = [("site", s, _fits(sites.check_site, s)) for s in ("^GATC_", "GATC", "^G^ATC", "^GAXC_")]
-    rows += [("junction", s, _fits(sites.check_junction, s)) for s in ("GATCNGATC", "GAT-C")]
-    rows += [("adapter", s, _fits(sites.check_adapters, [s])) for s in ("AGATCGG", "AGANCGG")]
-    return spark.createDataFrame(rows, "kind string, value string, ok boolean")
+    u = spark.sql(SITES.replace("varchar", "string").replace("FROM part", "FROM {part}") + f" SELECT k AS part, {UNFIT} FROM x", part=spark.read.parquet(f"{d}/part.parquet"))
+    fit = {"site": sites.site_error(F.col("site")).isNull(), "junction": sites.bases_fit(F.col("junction"), "AGCTN"), "adapter": sites.bases_fit(F.col("adapter"), "GCAT")}
+    rows = F.array(*[F.struct(F.lit(c).alias("kind"), F.col(c).alias("value"), ok.alias("ok")) for c, ok in fit.items()])
+    return u.select("part", F.explode(rows).alias("x")).select("part", "x.*")
 
 
 @twin(f"SELECT read_no, substr(seq, 6, greatest(length(seq) - 12, 0)) AS seq, substr(qual, 6, greatest(length(seq) - 12, 0)) AS qual FROM ({R}) r WHERE read_no <= 5000 AND length(seq) - 12 >= 18")
@@ -290,12 +319,12 @@ def b2_fixed_trim(spark, d):
     return clip.clip(_reads(spark, d).select("read_no", "seq", "qual"), s)
 
 
-@twin(f"""WITH r AS ({R}), a AS (SELECT *, instr(seq, 'GATC') AS i FROM r WHERE read_no % 3 = 0 AND read_no % 5 <> 3) SELECT read_no, CASE WHEN i > 0 THEN substr(seq, 1, cast(i AS int) - 1) || 'GATCGAT' ELSE seq END AS seq,
- CASE WHEN i = 0 THEN qual ELSE rpad(substr(qual, 1, cast(i AS int) + 6), cast(i AS int) + 6, right(substr(qual, 1, cast(i AS int) + 6), 1)) END AS qual FROM a""")
+@twin(f"""WITH r AS ({R}), a AS (SELECT *, instr(seq, 'GATC') AS i, CASE WHEN read_no % 5 = 3 THEN 3 ELSE 0 END AS tail FROM r)
+ SELECT read_no, CASE WHEN i > 0 THEN substr(seq, 1, cast(i AS int) - 1) || 'GATCGAT' ELSE substr(seq, 1, cast(length(seq) - tail AS int)) END AS seq,
+ CASE WHEN i = 0 THEN substr(qual, 1, cast(length(qual) - tail AS int)) ELSE rpad(substr(qual, 1, cast(i AS int) + 6), cast(i AS int) + 6, right(substr(qual, 1, cast(i AS int) + 6), 1)) END AS qual FROM a""")
 def b8_padded_quality(spark, d):
     s = clip.ClipSettings("GATC", "GATCGAT", min_quality=0, min_length=0, adapters=())
-    rows = clip.clip_all(_reads(spark, d).select("read_no", "seq", "qual").filter("read_no % 3 = 0 and read_no % 5 <> 3"), s)
-    return rows.select("read_no", "seq", "qual")
+    return clip.clip_all(_reads(spark, d).select("read_no", "seq", "qual"), s).select("read_no", "seq", "qual")
 
 
 @twin(f"""WITH r AS ({R}), c AS (SELECT read_no, seq, instr(seq, 'GATCGATC') AS j FROM r), p AS (SELECT CASE WHEN j > 0 THEN instr(substr(seq, 1, cast(j AS int) - 1), 'GATC') ELSE instr(seq, 'GATC') END AS i FROM c),
@@ -553,9 +582,11 @@ def i10_disambiguated(spark, d):
     return disambiguate.disambiguate(q._numbered(spark, d), q.PLACE).filter("active").select("pair_id", "k")
 
 
-@twin("SELECT * FROM (VALUES ('cell1', 'a/cell1.ncc', 'b/cell1_stats.json'), ('cell2', 'a/cell2.ncc', NULL)) t(root, ncc_path, json_path)")
+@twin("SELECT 'cell' || s_suppkey AS root, 'a/cell' || s_suppkey || '.ncc' AS ncc_path, CASE WHEN s_suppkey % 3 = 0 THEN 'b/cell' || s_suppkey || '_stats.json' END AS json_path FROM supplier")
 def c14_files_by_root(spark, d):
-    return contact_stats.join_by_root(spark.createDataFrame([("a/cell1.ncc",), ("a/cell2.ncc",)], "path string"), spark.createDataFrame([("b/cell1_stats.json",)], "path string"))
+    s = spark.read.parquet(f"{d}/supplier.parquet")
+    path = lambda folder, end: F.concat(F.lit(folder + "/cell"), F.col("s_suppkey").cast("string"), F.lit(end)).alias("path")
+    return contact_stats.join_by_root(s.select(path("a", ".ncc")), s.filter("s_suppkey % 3 = 0").select(path("b", "_stats.json")))
 
 
 @twin(f"WITH co AS ({CO}) SELECT cast(contig AS varchar) AS contig, length(seq) AS size FROM co")
@@ -563,10 +594,29 @@ def a18_contig_sizes(spark, d):
     return genome.contig_sizes(spark, _fasta(spark, d)).select("contig", F.col("size").cast("long").alias("size"))
 
 
-@twin(f"SELECT chr, frag_idx, frag_start, frag_end FROM ({FR2}) f")
+@twin(f"SELECT 'chr' || contig AS chr, frag_idx, frag_start, frag_end FROM ({ORACLE_PLAIN['d1_fragments'].replace('GATC', 'AGCT')}) f")
 def d3_fragment_cache(spark, d):
     path = new_path(spark, "cache")
-    genome.write_fragments(views.fragments(spark), path, "MboI")
-    genome.write_fragments(views.fragments_2(spark), path, "AluI")
+    genome.write_fragments(_digest(spark, d), path, "MboI")
+    genome.write_fragments(_digest(spark, d, "AG^CT"), path, "AluI")
     return genome.read_fragments(spark, path, "AluI").select("chr", "frag_idx", "frag_start", "frag_end")
 
+
+@twin(f"WITH {NORMAL} SELECT read_no, mate, CASE chr WHEN 'c1' THEN 'NATION_1' WHEN 'c2' THEN 'NATION_2' ELSE chr END AS chr, start FROM no")
+def c6_renamed(spark, d):
+    names = spark.read.parquet(f"{d}/nation.parquet").filter("n_nationkey in (1, 2)").select(F.concat(F.lit("c"), F.col("n_nationkey").cast("string")).alias("contig"), F.col("n_name").alias("chr"))
+    return pairing.normalise(q._alignments(spark, d), names).select("read_no", F.col("end").alias("mate"), "aln.chr", "aln.start")
+
+
+DENSITY = """, s AS (SELECT *, CASE WHEN sum(n) FILTER (series = 'cis') OVER () > 0 THEN 0.01 * sum(n) FILTER (series = 'cis') OVER () ELSE 1.0 END AS c, CASE WHEN sum(n) FILTER (series = 'trans') OVER () > 0 THEN 0.01 * sum(n) FILTER (series = 'trans') OVER () ELSE 1.0 END AS r FROM h)
+ SELECT series, bin, bin / 10.0 AS edge, n, round(n / CASE series WHEN 'cis' THEN c WHEN 'trans' THEN r ELSE c + r END, 9) AS percent FROM s"""
+
+
+@twin(f"WITH h AS ({ORACLE_PLAIN['f_size_histogram']}){DENSITY}")
+def f15_size_density(spark, d):
+    return classify.size_density(classify.size_histogram(q._tagged(spark, d)))
+
+
+@twin(f"WITH h AS ({ORACLE_PLAIN['f_junction_histogram']}), e AS (SELECT bin, strand FROM (SELECT unnest(range(100)) AS bin) b CROSS JOIN (VALUES ('+'), ('-')) t(strand)) SELECT e.strand, (e.bin + 1) * 10 AS edge, coalesce(n, 0) / 10.0 AS per_base FROM e LEFT JOIN h USING (strand, bin)")
+def f15_junction_density(spark, d):
+    return classify.junction_density(classify.junction_histogram(q._tagged(spark, d)))

@@ -102,6 +102,21 @@ def sam_pairs(contacts: DataFrame, alignments: DataFrame) -> DataFrame:
     return df.select("read_no", F.explode(F.array(line(1, 2), line(2, 1))).alias("x")).select("read_no", "x.first", "x.value")
 
 
-def write_sam(contacts: DataFrame, alignments: DataFrame, path: str) -> None:
-    """SAM body sorted by read number over all files (range partitions, in order)."""
-    sam_pairs(contacts, alignments).orderBy("read_no", "first").select("value").write.text(path)
+def sam_header(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """(line_no, value) of the @ lines that stand before the first alignment of a file; over a folder's parts, in order."""
+    body = ~F.startswith("value", F.lit("@"))
+    lines = running_in_files(file_lines(spark.read.text(paths)), {"_body": body, "line_no": F.lit(1)}, joined=True)
+    return lines.filter("_body = 0").select((F.col("line_no") - 1).alias("line_no"), "value")
+
+
+def write_sam(contacts: DataFrame, alignments: DataFrame, path: str, header: DataFrame | None = None, program: str | None = None) -> None:
+    """SAM in text parts that make up one file when read or put together in order: first the header lines (line_no, value) and
+    an @PG line for `program`, then the body by read number, the first mate first. Range partitions sort it; no part has
+    more than its range."""
+    body = sam_pairs(contacts, alignments).select(F.lit(1).alias("_k"), F.col("read_no").alias("_n"), F.col("first").cast("long").alias("_m"), "value")
+    if header is not None:
+        body = header.select(F.lit(-1).alias("_k"), F.col("line_no").alias("_n"), F.lit(0).cast("long").alias("_m"), "value").unionByName(body)
+    if program is not None:
+        line = contacts.sparkSession.range(1).select(F.lit(0).alias("_k"), F.col("id").alias("_n"), F.lit(0).cast("long").alias("_m"), F.lit(f"@PG\tID:{program}").alias("value"))
+        body = body.unionByName(line)
+    body.orderBy("_k", "_n", "_m").select("value").write.text(path)
