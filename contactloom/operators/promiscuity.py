@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from contactloom.functions.plan import written
+
 RESOLVE, CLOSE_CIS = 1_000, 10_000
 
 
@@ -19,7 +21,8 @@ def end_classes(contacts: DataFrame, copies: int = 2, resolve: int = RESOLVE, cl
         F.col(f"chr_{x}").alias("chr"), F.col(f"f_start_{x}").alias("pos"), F.col(f"strand_{x}").alias("strand"),
         F.struct(F.col(f"chr_{y}").alias("chr"), F.col(f"f_start_{y}").alias("pos"), F.col(f"strand_{y}").alias("strand"), F.col("pair_id")).alias("other"),
     )
-    ends = contacts.select(F.explode(F.array(side("a", "b"), side("b", "a"))).alias("x")).select("x.*").distinct()
+    # read three times below, so written once; repeated ends go before the shuffle
+    ends = written("ends", contacts.select(F.explode(F.array(side("a", "b"), side("b", "a"))).alias("x")).select("x.*").distinct())
     sums = ends.groupBy("chr", "pos", "strand").agg(F.count("*").alias("n_ends"), F.countDistinct("other.pair_id").alias("n_groups"))
     busy = sums.filter((F.col("n_ends") > copies) & (F.col("n_groups") > copies))
     few = busy.filter(F.col("n_ends") == copies + 1).select("chr", "pos", "strand")

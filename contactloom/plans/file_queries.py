@@ -620,3 +620,40 @@ def f15_size_density(spark, d):
 @twin(f"WITH h AS ({ORACLE_PLAIN['f_junction_histogram']}), e AS (SELECT bin, strand FROM (SELECT unnest(range(100)) AS bin) b CROSS JOIN (VALUES ('+'), ('-')) t(strand)) SELECT e.strand, (e.bin + 1) * 10 AS edge, coalesce(n, 0) / 10.0 AS per_base FROM e LEFT JOIN h USING (strand, bin)")
 def f15_junction_density(spark, d):
     return classify.junction_density(classify.junction_histogram(q._tagged(spark, d)))
+
+
+SAMPLES = f"""WITH {NORMAL}, {T}, {POS}, z_mp AS (SELECT read_no, "end", count(*) FILTER ((flag & 4) = 0) AS n FROM al GROUP BY 1, 2),
+ z_m AS (SELECT read_no % 4 AS s, count(*) AS reads, count(*) FILTER (n > 0) AS mapped FROM z_mp GROUP BY 1),
+ z_rd AS (SELECT DISTINCT read_no FROM no), z_kp AS (SELECT read_no, max(size) AS size, max(best) AS best FROM kept GROUP BY 1),
+ z_pr AS (SELECT read_no % 4 AS s, count(*) AS total, count(*) FILTER (best >= -24 AND z_kp.size > 1) AS amb FROM z_rd LEFT JOIN z_kp USING (read_no) GROUP BY 1),
+ z_fl AS (SELECT pair_id % 4 AS s, count(*) AS total, count(*) FILTER (tag = 'accepted') AS acc, count(*) FILTER (tag IN ('adjacent_re1', 'overhang_re1', 'too_close', 'no_insert', 'too_small', 'too_big', 'no_end_re2', 'internal_re2')) AS other FROM t GROUP BY 1),
+ z_gr AS (SELECT pair_id, max(CASE WHEN chr_a <> chr_b THEN 2 WHEN abs(pos_a - pos_b) < 10000 THEN 0 ELSE 1 END) AS code FROM pos GROUP BY 1),
+ z_fi AS (SELECT pair_id % 4 AS s, count(*) AS total, count(*) FILTER (code = 0) AS near, count(*) FILTER (code = 1) AS far, count(*) FILTER (code = 2) AS trans FROM z_gr GROUP BY 1)
+ SELECT 's' || s AS sample, reads, round(100.0 * mapped / reads, 6) AS pc_map, round(100.0 * amb / z_pr.total, 6) AS pc_ambiguous, round(100.0 * acc / z_fl.total, 6) AS pc_accepted, round(100.0 * other / z_fl.total, 6) AS pc_other,
+ round(100.0 * near / z_fi.total, 6) AS pc_near, round(100.0 * far / z_fi.total, 6) AS pc_far, round(100.0 * trans / z_fi.total, 6) AS pc_trans FROM z_m JOIN z_pr USING (s) JOIN z_fl USING (s) JOIN z_fi USING (s)"""
+
+
+@twin(SAMPLES)
+def g14_sample_table_whole(spark, d):
+    """All columns of the table, of samples told by the last two bits of read numbers."""
+    of = lambda c: F.concat(F.lit("s"), (F.col(c) % 4).cast("string")).alias("sample")
+
+    def tidy(df: DataFrame, section: str, *sums) -> DataFrame:
+        wide = df.groupBy("sample").agg(*sums)
+        pairs = F.array(*[F.struct(F.lit(c).alias("key"), F.col(c).cast("double").alias("value")) for c in wide.columns[1:]])
+        return wide.select("sample", F.lit(section).alias("section"), F.explode(pairs).alias("x")).select("sample", "section", "x.*")
+
+    def outcomes(df: DataFrame, section: str, key: str, total: str) -> DataFrame:
+        counts = df.groupBy("sample", F.col(key).alias("key")).agg(F.count("*").cast("double").alias("value"))
+        return counts.select("sample", F.lit(section).alias("section"), "key", "value").unionByName(tidy(df, section, F.count("*").alias(total)))
+
+    alignments = q._alignments(spark, d)
+    n = F.count_if(F.col("flag").bitwiseAND(4) == 0)
+    mapped = alignments.groupBy("read_no", "end").agg(n.alias("n")).select(of("read_no"), "n")
+    stats = tidy(mapped, "map", F.count("*").alias("n_reads"), F.count_if(F.col("n") == 1).alias("uniq"), F.count_if(F.col("n") > 1).alias("ambiguous"))
+    stats = stats.unionByName(outcomes(pairing.pair_reads(pairing.normalise(alignments)).select(of("read_no"), "outcome"), "pair", "outcome", "total"))
+    tagged = q.written("tagged", q._tagged(spark, d))
+    stats = stats.unionByName(outcomes(tagged.select(of("pair_id"), "tag"), "filter", "tag", "input_pairs"))
+    final = contact_stats.group_classes(tagged.filter("tag = 'accepted'")).select(of("pair_id"), "code")
+    sums = [F.count("*").alias("total_contacts"), *[F.count_if(F.col("code") == i).alias(c) for i, c in enumerate(("cis_near", "cis_far", "trans"))]]
+    return contact_stats.sample_table(stats.unionByName(tidy(final, "final", *sums)))

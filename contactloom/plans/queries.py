@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from contactloom.functions import sites
-from contactloom.functions.plan import written  # noqa: F401
+from contactloom.functions.plan import written
 from contactloom.operators import assign, barcodes, classify, clip, contact_map, contact_stats, dedupe, digest, disambiguate, pairing, promiscuity
 from contactloom.plans import views
 
@@ -92,7 +92,7 @@ def g3_promiscuous_ends(spark, d):
 
 
 def g4_promiscuity_stats(spark, d):
-    return promiscuity.promiscuity_stats(promiscuity.mark_promiscuous(_accepted(spark, d)))
+    return promiscuity.promiscuity_stats(promiscuity.mark_promiscuous(written("accepted", _accepted(spark, d))))
 
 
 def g5_contact_stats(spark, d):
