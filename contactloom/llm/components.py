@@ -1,4 +1,8 @@
-"""Connected components of a graph, by least labels and pointer jumping."""
+"""Connected components of a graph, by least labels and pointer jumping.
+
+Edge cases: an edge from a node to itself says nothing, and a node that has no other is in no row; edges may be repeated and go
+either way; null nodes are left out; without edges there are no rows; other columns are not read.
+"""
 
 from __future__ import annotations
 

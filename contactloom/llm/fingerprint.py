@@ -15,7 +15,7 @@ of every 16th place). The blocks of a row go together again in the task that mad
 The edited text is the first half of a row's text and the first part of the next one's, so its fingerprint is made of
 blocks of both, and only the windows where they meet, and the last ones, are new.
 
-Edge cases: a null text counts as empty; an empty text selects nothing (empty fingerprint); a text of under k bytes
+Edge cases: doc_id is cast to long (an id that is no number fails or is null, by Spark's ANSI setting); a null text counts as empty; an empty text selects nothing (empty fingerprint); a text of under k bytes
 is one k-gram; two empty fingerprints are alike (1.0), an empty and another one are not (0.0); equal keys go by text.
 """
 
@@ -118,8 +118,8 @@ def likeness(a: Column, b: Column) -> Column:
 def in_order(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, Window]:
     """Rows (key, text, bucket, tail) and a window over which lead() is the next row by descending key, cyclic.
 
-    Keys are cut into ranges by approximate quantiles, those of a repeated key by a hash of the text; a window never
-    spans ranges. The first row of the following range is added to each range as a tail row (drop it afterwards).
+    Keys are cut into ranges by approximate quantiles; a window never spans ranges, and rows of a repeated key share one,
+    so very many rows of one key are one task. The first row of the following range is added to each range as a tail row (drop it afterwards).
     Nulls come last, equal keys go by text.
     """
     null = -(1 << 63)

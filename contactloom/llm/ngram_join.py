@@ -11,7 +11,7 @@ Neither step emits pairs: a bucket gives the edges of a spanning star of its sur
 of verified links and, again, a star. Buckets and groups over `block` nodes are cut to pairs of blocks. So a group with
 thousands of different near copies costs comparisons, spread over tasks, but no rows.
 
-Edge cases: null texts are empty; texts without words have no n-grams and no links, and are one class; texts of fewer
+Edge cases: doc_id is cast to long (an id that is no number fails or is null, by Spark's ANSI setting); null texts are empty; texts without words have no n-grams and no links, and are one class; texts of fewer
 than n words are one n-gram; copies share class, text_id and n_links; a null doc_id is a row like any other, and a
 class whose rows all have null ids has a null class_id; other columns are ignored by `join`.
 """

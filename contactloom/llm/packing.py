@@ -12,7 +12,7 @@ A step handles all equal pieces and all equal gaps at once, so a plan is a list
 ranks lo..hi go to sequences base.., at this offset". The rank of a piece among those of its length is counted in
 salted groups, as many as the length's count asks for, so a length that a third of all pieces share is dealt out too.
 
-Edge cases: a null text is empty, and an empty text is a piece of one id (the end mark); repeated rows are packed as
+Edge cases: doc_id is cast to long (an id that is no number fails or is null, by Spark's ANSI setting); a null text is empty, and an empty text is a piece of one id (the end mark); repeated rows are packed as
 often as they occur; with no rows there is no sequence; a null doc_id is an id like any other.
 """
 

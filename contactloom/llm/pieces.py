@@ -8,7 +8,7 @@ Spaces are written as U+2581, one more stands before the text. No piece of the m
 a U+2581, so the best path of a text is the best paths of its words, and each distinct word is walked once. A U+2581
 in the text itself is spelled in bytes, so decoding gives back every text exactly.
 
-Edge cases: a null text counts as empty; an empty text has no ids; repeated rows give equal results; other columns are
+Edge cases: doc_id is cast to long (an id that is no number fails or is null, by Spark's ANSI setting); a null text counts as empty; an empty text has no ids; repeated rows give equal results; other columns are
 ignored.
 """
 

@@ -21,7 +21,7 @@ All pairs (word, context) of a word meet in one bucket, those of the heaviest wo
 
 Nothing else is kept; documents are read twice. Words are told apart by 64-bit hashes, contexts of one word by 40 bits.
 
-Edge cases: a null text is empty (its only token is the end); a null doc_id counts as the empty text for the split,
+Edge cases: doc_id is cast to long (an id that is no number fails or is null, by Spark's ANSI setting); a null text is empty (its only token is the end); a null doc_id counts as the empty text for the split,
 and so is held out; with no training documents all counts are zero and scores are those of the uniform base; repeated
 rows count each time; other columns are ignored.
 """
@@ -62,6 +62,10 @@ class Settings:
     #: the model; a word that the sample misses only makes its bucket larger.
     bucket_bytes: int = 16 << 20
     routing_docs: int = 2000
+    routing_bytes: int = 16 << 20
+
+
+LEAST_BUCKETS = 8
 
 
 class Tokens:
@@ -361,8 +365,17 @@ def _replies(sent: DataFrame) -> DataFrame:
 
 
 def heavy_words(rows: DataFrame, n: int, cfg: Settings) -> np.ndarray:
-    """Hashes of words that are over a quarter of a bucket's share, by a sample; at most 4 * n."""
-    some = rows.limit(cfg.routing_docs).toArrow()
+    """Hashes of words that are over a quarter of a bucket's share, by a sample; at most 4 * n.
+
+    The sample is the texts with the least hashes of their ids and sizes, up to routing_docs texts and routing_bytes bytes, so
+    it is the same however the rows are dealt; the driver gets no text before it knows that all fit.
+    """
+    keyed = rows.select("doc_id", "text", F.xxhash64("doc_id", F.octet_length("text")).alias("_h"))
+    least = keyed.select("_h", F.coalesce(F.octet_length("text"), F.lit(0)).alias("size")).orderBy("_h", "size").limit(cfg.routing_docs).collect()
+    fits = np.flatnonzero(np.cumsum([r["size"] for r in least]) <= cfg.routing_bytes)
+    if not len(fits):
+        return np.zeros(0, np.uint64)
+    some = keyed.filter(F.col("_h") <= least[fits[-1]]["_h"]).orderBy("_h").limit(len(fits)).select("doc_id", "text").toArrow()
     texts = [batch for _, batch in slices(iter(some.to_batches()), 1 << 30, part=0)]
     tok = np.concatenate([np.concatenate([words_of(b, lower=True)[2], np.full(b.n, END)]) for b in texts]) if texts else np.zeros(0, np.uint64)
     words, count = np.unique(tok, return_counts=True)
@@ -373,7 +386,7 @@ def score(spark: SparkSession, docs: DataFrame, cfg: Settings = Settings()) -> D
     """Scores of every row of docs (doc_id, text), by a model of those not held out."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = int(max(2 * spark.sparkContext.defaultParallelism, -(-size // cfg.bucket_bytes)))
+    n = int(max(LEAST_BUCKETS, -(-size // cfg.bucket_bytes)))  # by the data alone: one result on any cluster
     heavy = heavy_words(rows, n, cfg)
     asked = _ask(rows, n, heavy, cfg, False)
 

@@ -14,9 +14,10 @@ each other by content-chosen anchors, and suffixes are sorted only where a passa
    window of a run repeats where its document is not the run's first. Only the order and the bytes decide here.
 
 Anchors are only a filter that never misses; whole contexts are told apart by 64-bit hashes. A passage that most documents
-hold costs each batch one entry a round, so no bucket gets more than one row a batch for it.
+hold in equal surroundings costs each batch one entry a round. A known limit: a phrase shorter than `length` that stands in
+ever different surroundings can be the anchor of as many contexts, and all contexts of an anchor go to one bucket.
 
-Edge cases: a null text is empty; texts under `length` bytes lose nothing; a null doc_id counts as later than all
+Edge cases: doc_id is cast to long (an id that is no number fails or is null, by Spark's ANSI setting); a null text is empty; texts under `length` bytes lose nothing; a null doc_id counts as later than all
 others; rows with equal doc_ids don't remove anything from each other; other columns are ignored by `removals`, and
 travel with the rows through `rewrite`; an empty table has no rows in both.
 """

@@ -713,3 +713,23 @@ def test_equal_pieces_are_packed_whole(spark, monkeypatch):
 
 def test_empty_pages(spark):
     assert url_filter.judge(spark, spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_lm_scores_do_not_depend_on_how_rows_are_dealt(spark, docs):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    got = []
+    for parts, shuffles in ((1, "2"), (9, "7")):
+        spark.conf.set("spark.sql.shuffle.partitions", shuffles)
+        try:
+            cfg = pitman_yor.Settings(bucket_bytes=1 << 12, batch_bytes=1 << 11)
+            got.append({r.doc_id: r.score for r in pitman_yor.score(spark, docs.repartition(parts), cfg).collect()})
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert got[0] == pytest.approx(got[1], rel=1e-9)
+
+
+def test_routing_sample_is_bounded_by_bytes(spark):
+    df = spark.createDataFrame([(i, "w " * 3000) for i in range(40)] + [(99, None)], "doc_id long, text string")
+    some = pitman_yor.heavy_words(df, 2, pitman_yor.Settings(routing_bytes=20_000))
+    assert len(some) == 1 and not len(pitman_yor.heavy_words(df, 2, pitman_yor.Settings(routing_bytes=10)))
+
