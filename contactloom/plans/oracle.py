@@ -194,7 +194,9 @@ ORACLE: dict[str, str] = {
   FROM (SELECT *, CASE WHEN own THEN d1 <> 0 AND d2 <> 0 ELSE abs(d1) < 50000 AND abs(d2) < 50000 END AS fits FROM d) GROUP BY 1),
  iso AS (SELECT sg.pair_id FROM sg LEFT JOIN sc USING (pair_id) WHERE NOT coalesce(own, false) OR coalesce(score, 0) < 0.01)
  SELECT pair_id, count(*) FILTER (CASE WHEN m = 0 OR pair_id IN (SELECT pair_id FROM iso) THEN false WHEN m < n AND m > 1 THEN keep ELSE true END) AS kept FROM km GROUP BY 1""",
-    "i5_missing_cis": f"WITH {T}, {LOADED.replace('lb AS (', 'lb AS MATERIALIZED (').replace('AS bin_b, n FROM ld)', 'AS bin_b, n FROM ld WHERE chr_a <> ' + chr(39) + 'chr2' + chr(39) + ' OR chr_b <> ' + chr(39) + 'chr2' + chr(39) + ' OR pair_id % 5000 = 1)')}, {PAIRS} SELECT chr FROM (SELECT chr_a AS chr FROM lb UNION SELECT chr_b FROM lb) c LEFT JOIN (SELECT chr_a AS chr, n_unambig FROM pc WHERE chr_a = chr_b) USING (chr) WHERE coalesce(n_unambig, 0) < 5",
+    "i5_missing_cis": f"""WITH {T}, {LOADED.replace('lb AS (', 'l0 AS MATERIALIZED (')}, mv AS (SELECT *, chr_a = 'chr2' AND chr_b = 'chr2' AND pair_id % 5000 <> 1 AS moved FROM l0),
+ lb AS (SELECT n, CASE WHEN moved THEN 'chr1.a' ELSE chr_a END AS chr_a, CASE WHEN moved THEN 'chr1.a' ELSE chr_b END AS chr_b FROM mv), {PAIRS}
+ SELECT chr FROM (SELECT chr_a AS chr FROM lb UNION SELECT chr_b FROM lb) c LEFT JOIN (SELECT chr_a AS chr, n_unambig FROM pc WHERE chr_a = chr_b) USING (chr) WHERE coalesce(n_unambig, 0) < 5""",
     "i7_trans_relay": f"""WITH {T}, {LOADED}, {PAIRS}, b2 AS (SELECT chr_a, chr_b, n_unambig FROM pc WHERE chr_a <> chr_b UNION ALL SELECT chr_b, chr_a, n_unambig FROM pc WHERE chr_a <> chr_b)
  SELECT chr_a, chr_b, round(sum(v), 6) AS relay FROM (SELECT x.chr_a, y.chr_a AS chr_b, sqrt(x.n_unambig * y.n_unambig) AS v FROM b2 x JOIN b2 y ON x.chr_b = y.chr_b AND x.chr_a < y.chr_a
  UNION ALL SELECT chr_a, chr_b, 5.0::double * n_unambig FROM pc WHERE chr_a <> chr_b) GROUP BY 1, 2""",

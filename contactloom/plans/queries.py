@@ -228,8 +228,11 @@ def i4_without_isolated(spark, d):
 
 
 def i5_missing_cis(spark, d):
-    few = "chr_a <> 'chr2' or chr_b <> 'chr2' or pair_id % 5000 = 1"
-    return disambiguate.missing_cis(disambiguate.load(_numbered(spark, d), PLACE).filter(few), PLACE)
+    """chr2 is made rare by counting nearly all of its cis pairs to another chromosome."""
+    df = disambiguate.load(_numbered(spark, d), PLACE)
+    moved = (F.col("chr_a") == "chr2") & (F.col("chr_b") == "chr2") & (F.col("pair_id") % 5000 != 1)
+    other = lambda c: F.when(moved, "chr1.a").otherwise(F.col(c)).alias(c)
+    return disambiguate.missing_cis(df.select(*[other(c) if c in ("chr_a", "chr_b") else c for c in df.columns]), PLACE)
 
 
 def i7_trans_relay(spark, d):
