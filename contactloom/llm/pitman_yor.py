@@ -60,7 +60,7 @@ class Settings:
     batch_bytes: int = 8 << 20
     #: Bytes of text for each bucket, and documents in the sample that tells which words are dealt out. Neither changes
     #: the model; a word that the sample misses only makes its bucket larger.
-    bucket_bytes: int = 16 << 20
+    bucket_bytes: int = 10 << 20
     routing_docs: int = 2000
     routing_bytes: int = 16 << 20
 
