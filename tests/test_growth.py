@@ -2,10 +2,12 @@
 
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from contactloom.operators import assign
+from contactloom.functions import neighbours
+from contactloom.operators import assign, disambiguate
 from contactloom.plans import queries, views
 
 
@@ -46,3 +48,32 @@ def test_the_jvm_compiles_the_filter(spark, small_broadcasts, name):
     """The JVM only compiles methods of up to 8000 bytes; the filter's were longer and so interpreted, row by row."""
     code = _text(queries.QUERIES[name](spark, "/root/testdata/sf0.001"), "codegen")
     assert max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", code))) <= 8000
+
+
+@pytest.mark.parametrize("block", [1 << 21, 64])
+def test_sums_around_places_are_those_of_all_pairs(monkeypatch, block):
+    monkeypatch.setattr(neighbours, "BLOCK", block)
+    rng = np.random.default_rng(5)
+    a, b = 1000 + rng.integers(0, 40, 60) * 25, 2000 + rng.integers(0, 40, 60) * 25
+    bins = {(i, j): (1000 * (1 + i) + rng.integers(0, 40, 50) * 25, 1000 * (2 + j) + rng.integers(0, 40, 50) * 25, rng.integers(1, 9, 50).astype(float)) for i in (-1, 0, 1) for j in (-1, 0, 1)}
+    got = neighbours.sums_around(a, b, bins, 1000, 100)
+    want = np.zeros((4, 60))
+    for (i, j), (p, o, w) in bins.items():
+        for n in range(60):
+            x, y = p - a[n], o - b[n]
+            near = (x != 0) & (y != 0) if i == j == 0 else (abs(x) < 1000) & (abs(y) < 1000)
+            want[0, n] += w[near].sum()
+            want[1, n] += w[near].sum() if (i, j) != (0, 0) else 0
+            for d in (x, y):
+                k = w * neighbours.kernel(d, 1000, 100)
+                want[2, n] += k[near & (d < 0)].sum()
+                want[3, n] += k[near & (d >= 0)].sum()
+    assert np.allclose(got, want, atol=1e-9)
+
+
+def test_places_are_not_multiplied(spark, small_broadcasts):
+    """Each place of a query goes to its bin once; it went to 72 keys."""
+    rows = spark.createDataFrame([(1, 0, "chr1", "chr1", 10, 20, 0, 0, 1)], "pair_id long, k long, chr_a string, chr_b string, pos_a long, pos_b long, bin_a long, bin_b long, n long")
+    plan = _text(disambiguate.network_scores(rows, rows, queries.PLACE), "simple")
+    # the steps of contacts alone
+    assert plan.count("Generate explode") <= 3 and "SortMergeJoin" not in plan
