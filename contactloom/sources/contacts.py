@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from contactloom.functions.ordered import file_lines, running_in_files
+from contactloom.functions.ordered import file_lines, row_numbers, running_in_files
+from contactloom.functions.plan import written
 
 NCC = ("chr_a", "start_a", "end_a", "f_start_a", "f_end_a", "strand_a", "chr_b", "start_b", "end_b", "f_start_b", "f_end_b", "strand_b", "ambig", "pair_id", "swap_pair")
 TEXT = ("chr_a", "strand_a", "chr_b", "strand_b", "ambig")
@@ -84,10 +85,12 @@ def sam_pairs(contacts: DataFrame, alignments: DataFrame) -> DataFrame:
     alignments are those of read_sam for both ends; the best one of each end is taken.
     """
     ids = contacts.groupBy(F.col("pair_id").alias("read_no")).agg(F.max("swap_pair").alias("swap"))
-    best = F.row_number().over(Window.partitionBy("read_no", "end").orderBy(F.col("as_score").desc_nulls_last(), "contig", "pos"))
-    one = alignments.withColumn("_r", best).filter("_r = 1")
-    side = lambda e: one.filter(F.col("end") == e).select("read_no", *[F.col(c).alias(f"{c}_{e}") for c in ("flag", "contig", "pos", "seq", "qual", "header")])
-    df = ids.join(side(1), "read_no").join(side(2), "read_no")
+    # one aggregation by read, which begins where a file's lines are read: what is not the best never moves
+    order = F.struct(F.col("as_score").isNull(), F.bitwise_not("as_score"), "contig", "pos")
+    rest = ("flag", "contig", "pos", "seq", "qual", "header")
+    best = [F.min_by(F.struct(*rest), F.when(F.col("end") == e, order)).alias(f"_{e}") for e in (1, 2)]
+    both = alignments.groupBy("read_no").agg(*best).filter("_1 is not null and _2 is not null")
+    df = ids.join(both.select("read_no", *[F.col(f"_{e}.{c}").alias(f"{c}_{e}") for e in (1, 2) for c in rest]), "read_no")
 
     def line(x: int, y: int):
         unmapped = lambda e: F.col(f"flag_{e}").bitwiseAND(4) != 0
@@ -104,9 +107,11 @@ def sam_pairs(contacts: DataFrame, alignments: DataFrame) -> DataFrame:
 
 def sam_header(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """(line_no, value) of the @ lines that stand before the first alignment of a file; over a folder's parts, in order."""
-    body = ~F.startswith("value", F.lit("@"))
-    lines = running_in_files(file_lines(spark.read.text(paths)), {"_body": body, "line_no": F.lit(1)}, joined=True)
-    return lines.filter("_body = 0").select((F.col("line_no") - 1).alias("line_no"), "value")
+    head = F.startswith("value", F.lit("@"))
+    lines = file_lines(spark.read.text(paths)).withColumn("_at", F.struct("path", "_block", "_line"))
+    first = lines.filter(~head).agg(F.min("_at").alias("_body"))
+    before = lines.filter(head).crossJoin(F.broadcast(first)).filter("_body is null or _at < _body")  # one row
+    return row_numbers(written("header", before.select("path", "_block", "_line", "value")), ["path", "_block", "_line"], "line_no").select("line_no", "value")
 
 
 def write_sam(contacts: DataFrame, alignments: DataFrame, path: str, header: DataFrame | None = None, program: str | None = None) -> None:

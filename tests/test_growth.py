@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from contactloom.functions import neighbours
 from contactloom.operators import assign, disambiguate
 from contactloom.plans import queries, views
+from contactloom.sources import contacts
 
 
 def _text(df, mode: str) -> str:
@@ -77,3 +78,23 @@ def test_places_are_not_multiplied(spark, small_broadcasts):
     plan = _text(disambiguate.network_scores(rows, rows, queries.PLACE), "simple")
     # the steps of contacts alone
     assert plan.count("Generate explode") <= 3 and "SortMergeJoin" not in plan
+
+
+def test_sam_lines_are_read_once(spark, small_broadcasts, tmp_path):
+    """Each end's file went through two joins, for either mate by itself."""
+    for e in (1, 2):
+        (tmp_path / f"{e}.sam").write_text(f"@HD\tVN:1.0\n7\t0\tc\t{e}\t255\t2M\t*\t0\t0\tAC\tII\tAS:i:-{e}\n7\t0\tc\t5\t255\t2M\t*\t0\t0\tAC\tII\tAS:i:-9\n@not a header\n")
+    a = contacts.read_sam(spark, str(tmp_path / "1.sam"), 1).unionByName(contacts.read_sam(spark, str(tmp_path / "2.sam"), 2))
+    got = contacts.sam_pairs(spark.createDataFrame([(7, 1), (8, 0)], "pair_id long, swap_pair long"), a)
+    plan = _text(got, "simple")
+    assert plan.count("FileScan text") == 2 and "Window" not in plan
+    assert [(r.first, r.value.split("\t")[3]) for r in got.orderBy("first").collect()] == [(64, "2"), (128, "1")]
+    assert [tuple(r) for r in contacts.sam_header(spark, str(tmp_path / "1.sam")).collect()] == [(0, "@HD\tVN:1.0")]
+
+
+def test_the_best_alignment_is_that_of_the_order(spark):
+    """Scores that are missing come last; then contig and position."""
+    schema = "read_no long, end int, flag int, contig string, pos long, seq string, qual string, as_score long, header string"
+    rows = [(1, 1, 0, "b", 5, "A", "I", None, "1"), (1, 1, 0, "c", 3, "A", "I", -2, "1"), (1, 1, 0, "a", 9, "A", "I", -2, "1"), (1, 1, 0, "a", 4, "A", "I", -7, "1"), (1, 2, 0, "d", 8, "C", "I", None, "1"), (2, 1, 0, "d", 8, "C", "I", 0, "2")]
+    got = contacts.sam_pairs(spark.createDataFrame([(1, 0), (2, 0)], "pair_id long, swap_pair long"), spark.createDataFrame(rows, schema))
+    assert sorted(tuple(r.value.split("\t")[2:4]) for r in got.collect()) == [("a", "9"), ("d", "8")]
