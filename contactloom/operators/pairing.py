@@ -1,16 +1,17 @@
 """Pairing of alignments: each read's alignments per end, scored pairs, and ambiguity groups as NCC rows.
 
-One shuffle on read_no brings all ends of a read together; the rest is on arrays of structs.
+One shuffle on read_no brings all ends of a read together; the rest is on arrays of structs. Generators stand between its
+steps, as a filter on outcomes would else unfold them into each other and pair a read's ends many times.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from contactloom.functions.plan import broadcast_if_small
+from contactloom.functions.plan import apart, broadcast_if_small
 from contactloom.functions.sites import QUALITY_ZERO
 
 ALIGNMENT = "struct<chr:string,start:bigint,end:bigint,strand:string,score:bigint,genome:int>"
@@ -90,10 +91,11 @@ def pair_reads(alignments: DataFrame, s: PairSettings = PairSettings()) -> DataF
             df = df.select("read_no", *[F.when(one, perfect(F.col(c))).otherwise(narrowed(F.col(c), s)).alias(c) for c in "ab"])
         else:
             df = df.select("read_no", *[narrowed(F.col(c), s).alias(c) for c in "ab"])
+    df = apart(df, "a", "b")
     pairs = F.flatten(F.transform("a", lambda x: F.transform("b", lambda y: F.struct((x["score"] + y["score"]).alias("sum"), x.alias("a"), y.alias("b")))))
-    df = df.withColumn("pairs", F.sort_array(pairs, asc=False)).withColumn("best", F.array_max(F.transform("pairs", lambda p: p["sum"])))
+    df = apart(df.withColumn("pairs", F.sort_array(pairs, asc=False)), "pairs").withColumn("best", F.get("pairs", F.lit(0))["sum"])
     if not s.unique_map:
-        df = df.withColumn("pairs", F.filter("pairs", lambda p: p["sum"] >= F.col("best") - s.tolerance))
+        df = apart(df.withColumn("pairs", F.filter("pairs", lambda p: p["sum"] >= F.col("best") - s.tolerance)), "pairs")
     genomes = F.size(F.array_distinct(F.transform("pairs", lambda p: F.struct(p["a"]["genome"], p["b"]["genome"]))))
     many = F.lit("ambiguous") if not s.hybrid else F.when(genomes == F.size("pairs"), "genome_ambiguous").otherwise("position_ambiguous")
     outcome = (
@@ -102,7 +104,8 @@ def pair_reads(alignments: DataFrame, s: PairSettings = PairSettings()) -> DataF
         .when(F.size("pairs") == 1, "unique")
         .otherwise(many)
     )
-    return df.select("read_no", outcome.alias("outcome"), F.when(outcome.isin("unmapped_end", "all_poor"), F.array()).otherwise(F.col("pairs")).alias("pairs"))
+    df = apart(df.withColumn("outcome", outcome), "outcome")
+    return df.select("read_no", "outcome", F.when(F.col("outcome").isin("unmapped_end", "all_poor"), F.array()).otherwise(F.col("pairs")).alias("pairs"))
 
 
 def canonical(pairs: DataFrame) -> DataFrame:
@@ -111,13 +114,12 @@ def canonical(pairs: DataFrame) -> DataFrame:
     Columns are those of NCC: chr_a, start_a, end_a, strand_a, ..b, ambig_size (rows of the group), marker (the size
     on the group's first row, else 0), active, pair_id, swap_pair.
     """
-    rows = pairs.select("read_no", F.posexplode("pairs").alias("k", "p"))
+    rows = pairs.select("read_no", F.size("pairs").cast("long").alias("_n"), F.posexplode("pairs").alias("k", "p"))
     a, b = F.col("p.a"), F.col("p.b")
     swap = (a["chr"] > b["chr"]) | ((a["chr"] == b["chr"]) & (a["start"] > b["start"]))
     pick = lambda first, f: F.when(swap, (b if first else a)[f]).otherwise((a if first else b)[f])
     cols = [pick(x == "a", f).alias(f"{f}_{x}") for x in "ab" for f in ("chr", "start", "end", "strand")]
-    size = F.count("*").over(Window.partitionBy("read_no"))
-    return rows.select(*cols, size.alias("ambig_size"), "k", F.col("read_no").alias("pair_id"), swap.cast("int").alias("swap_pair")).select(
+    return rows.select(*cols, F.col("_n").alias("ambig_size"), "k", F.col("read_no").alias("pair_id"), swap.cast("int").alias("swap_pair")).select(
         *[f"{f}_{x}" for x in "ab" for f in ("chr", "start", "end", "strand")],
         "ambig_size",
         F.when(F.col("k") == 0, F.col("ambig_size")).otherwise(0).alias("marker"),

@@ -98,3 +98,9 @@ def test_the_best_alignment_is_that_of_the_order(spark):
     rows = [(1, 1, 0, "b", 5, "A", "I", None, "1"), (1, 1, 0, "c", 3, "A", "I", -2, "1"), (1, 1, 0, "a", 9, "A", "I", -2, "1"), (1, 1, 0, "a", 4, "A", "I", -7, "1"), (1, 2, 0, "d", 8, "C", "I", None, "1"), (2, 1, 0, "d", 8, "C", "I", 0, "2")]
     got = contacts.sam_pairs(spark.createDataFrame([(1, 0), (2, 0)], "pair_id long, swap_pair long"), spark.createDataFrame(rows, schema))
     assert sorted(tuple(r.value.split("\t")[2:4]) for r in got.collect()) == [("a", "9"), ("d", "8")]
+
+
+def test_reads_are_paired_once_and_in_one_shuffle(spark, small_broadcasts):
+    """A filter on outcomes unfolded the pairing into itself, and a window and a second shuffle brought reads together again."""
+    plan = _text(queries.QUERIES["e8_contact_rows"](spark, "/root/testdata/sf0.001"), "simple")
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("flatten(") == 1 and "Window" not in plan
