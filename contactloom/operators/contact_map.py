@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -42,12 +42,12 @@ def trans_density(contacts: DataFrame) -> DataFrame:
 
 def ploidy_deviation(contacts: DataFrame) -> DataFrame:
     """(chr, deviation): how far a chromosome's trans contacts are from the share that its span lets expect, as log2."""
-    spans = chromosome_limits(contacts).withColumn("span", F.col("hi") - F.col("lo") + 1)
-    trans = contacts.filter("chr_a <> chr_b").select(F.explode(F.array("chr_a", "chr_b")).alias("chr")).groupBy("chr").agg(F.count("*").alias("n"))
-    df = spans.join(trans, "chr", "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    total = df.agg(F.sum("n").alias("_n"), F.sum("span").alias("_s"))
-    ratio = (F.col("n") / F.col("_n")) / (F.col("span") / F.col("_s"))
-    return df.crossJoin(F.broadcast(total)).select("chr", F.round(F.when(F.col("n") > 0, F.log2(ratio)), 9).alias("deviation"))  # one row
+    trans = F.when(F.col("chr_a") != F.col("chr_b"), 1).otherwise(0)
+    ends = contacts.select(F.explode(F.array(*[F.struct(F.col(f"chr_{x}").alias("chr"), F.col(f"pos_{x}").alias("pos"), trans.alias("trans")) for x in "ab"])).alias("e"))
+    df = ends.groupBy("e.chr").agg((F.max("e.pos") - F.min("e.pos") + 1).alias("span"), F.sum("e.trans").alias("n"))
+    total = lambda c: F.sum(c).over(Window.partitionBy())  # over a row a chromosome
+    ratio = (F.col("n") / total("n")) / (F.col("span") / total("span"))
+    return df.select("chr", F.round(F.when(F.col("n") > 0, F.log2(ratio)), 9).alias("deviation"))
 
 
 def isolated_fraction(contacts: DataFrame, near: int = 2_000_000) -> DataFrame:

@@ -104,3 +104,8 @@ def test_reads_are_paired_once_and_in_one_shuffle(spark, small_broadcasts):
     """A filter on outcomes unfolded the pairing into itself, and a window and a second shuffle brought reads together again."""
     plan = _text(queries.QUERIES["e8_contact_rows"](spark, "/root/testdata/sf0.001"), "simple")
     assert plan.count("Exchange hashpartitioning") == 1 and plan.count("flatten(") == 1 and "Window" not in plan
+
+
+def test_ploidy_filters_once(spark, small_broadcasts):
+    plan = _text(queries.QUERIES["j3_ploidy"](spark, "/root/testdata/sf0.001"), "simple")
+    assert plan.count("FileScan parquet") == 1
