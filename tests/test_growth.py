@@ -109,3 +109,9 @@ def test_reads_are_paired_once_and_in_one_shuffle(spark, small_broadcasts):
 def test_ploidy_filters_once(spark, small_broadcasts):
     plan = _text(queries.QUERIES["j3_ploidy"](spark, "/root/testdata/sf0.001"), "simple")
     assert plan.count("FileScan parquet") == 1
+
+
+def test_star_sizes_measure_once(spark, small_broadcasts):
+    got = queries.QUERIES["f12_star_sizes"](spark, "/root/testdata/sf0.001")
+    assert _text(got, "simple").count("FileScan parquet") == 1
+    assert max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", _text(got, "codegen")))) <= 8000
