@@ -111,6 +111,11 @@ def test_ploidy_filters_once(spark, small_broadcasts):
     assert plan.count("FileScan parquet") == 1
 
 
+def test_a_sample_table_pairs_once(spark, small_broadcasts):
+    plan = _text(queries.QUERIES["g14_sample_table_whole"](spark, "/root/testdata/sf0.001"), "simple")
+    assert plan.count("flatten(") == 1
+
+
 def test_star_sizes_measure_once(spark, small_broadcasts):
     got = queries.QUERIES["f12_star_sizes"](spark, "/root/testdata/sf0.001")
     assert _text(got, "simple").count("FileScan parquet") == 1
