@@ -120,3 +120,14 @@ def test_star_sizes_measure_once(spark, small_broadcasts):
     got = queries.QUERIES["f12_star_sizes"](spark, "/root/testdata/sf0.001")
     assert _text(got, "simple").count("FileScan parquet") == 1
     assert max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", _text(got, "codegen")))) <= 8000
+
+
+@pytest.mark.parametrize("name", ["g9_pair_counts", "i1_loaded"])
+def test_groups_are_brought_together_once(spark, small_broadcasts, name):
+    """Before the fragments are looked up, and not again with the wider rows that come of it."""
+    plan = _text(queries.QUERIES[name](spark, "/root/testdata/sf0.001"), "simple")
+    assert plan.count("Exchange hashpartitioning(l_orderkey") == 1 and "Exchange hashpartitioning(pair_id" not in plan
+
+
+def test_contacts_to_disambiguate_are_narrow(spark):
+    assert len(queries._numbered(spark, "/root/testdata/sf0.001").columns) == 11
